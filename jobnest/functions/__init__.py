@@ -2,6 +2,7 @@
 
 from jobnest.functions.json import (
     parse_body,
+    parse_once,
     flatten_struct_columns,
     infer_json_schema,
     lists_as_text,
@@ -26,7 +27,7 @@ from jobnest.functions.nested import (
 )
 
 __all__ = [
-    "parse_body", "flatten_struct_columns", "infer_json_schema", "lists_as_text",
+    "parse_body", "parse_once", "flatten_struct_columns", "infer_json_schema", "lists_as_text",
     "strict_int", "strict_long", "dotted_component", "url_key", "split_list_param",
     "translate_name", "day_before", "audit_timestamp", "bookkeeping_columns",
     "first_id", "first_nested_id", "pluck", "all_present", "flag",

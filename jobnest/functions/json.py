@@ -15,6 +15,20 @@ def parse_body(col: str | Column, schema: T.DataType | str) -> Column:
     return F.from_json(c, schema, {"mode": "PERMISSIVE"})
 
 
+def parse_once(df: DataFrame, parsed: Column, project, keep: list[str] | None = None) -> DataFrame:
+    """Project columns out of one parsed document so the parse runs once per row.
+
+    Catalyst pushes a later filter on a projected column below the projection
+    and inlines the parse into the filter, once per referenced field.  Emitting
+    the projected row through a one-element ``inline`` (a Generate) stops that:
+    predicates on generated columns stay above it.
+    """
+    keep = keep or []
+    staged = df.select(*keep, parsed.alias("_doc"))
+    row = F.struct(*[F.col(c) for c in keep], *project(F.col("_doc")))
+    return staged.select(F.inline(F.array(row)))
+
+
 def infer_json_schema(df: DataFrame, col: str) -> T.StructType:
     """Merge the schema of every JSON object in ``col`` (one aggregate, one row back).
 

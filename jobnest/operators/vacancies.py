@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from jobnest.functions.json import parse_body
+from jobnest.functions.json import parse_body, parse_once
 from jobnest.functions.nested import all_present, first_id, first_nested_id, flag, pluck
 
 _ID = T.StructType([T.StructField("id", T.StringType())])
@@ -122,10 +122,8 @@ def vacancy_project(df: DataFrame, body_col: str = "body", keep: list[str] | Non
 
     ``keep`` carries extra input columns through (page keys, positions, urls).
     """
-    keep = keep or []
-    parsed = df.select(*keep, parse_body(body_col, VACANCY_SCHEMA).alias("_v"))
-    v = F.col("_v")
-    return parsed.select(*keep, *_projection(v), _bad_reason(v).alias("_bad_reason"))
+    return parse_once(df, parse_body(body_col, VACANCY_SCHEMA),
+                      lambda v: [*_projection(v), _bad_reason(v).alias("_bad_reason")], keep)
 
 
 def quarantine(projected: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -31,10 +31,12 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "jobnest") -> SparkSession:
+                app_name: str = "jobnest", extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
