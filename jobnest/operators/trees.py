@@ -52,9 +52,11 @@ def area_flatten(bodies: DataFrame, body_col: str = "body", root_order_col: str
                               F.posexplode(F.from_json(F.col(body_col), NODE_LIST)).alias("pos", "n"))
         roots = roots.select("n", "root_order", F.array(F.col("pos")).alias("path"))
     else:
-        roots = bodies.select(order.alias("root_order"), F.from_json(F.col(body_col), NODE).alias("n"),
+        # explode of a one-element list drops unparsable bodies without a filter
+        # that Catalyst would push below the parse (and parse twice)
+        parsed = F.filter(F.array(F.from_json(F.col(body_col), NODE)), lambda n: n.isNotNull())
+        roots = bodies.select(order.alias("root_order"), F.explode(parsed).alias("n"),
                               F.array().cast("array<int>").alias("path"))
-        roots = roots.where(F.col("n").isNotNull())
     roots = roots.select("n", "root_order", "path", F.lit(0).alias("depth"), F.col("n.id").alias("root_id"))
     level = _level(roots)
 

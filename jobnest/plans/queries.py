@@ -94,26 +94,26 @@ def area_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ metro
 def metro_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G2, P12, A1, E3 (+O1 on read-out)."""
-    return M.metro_lines(L.metro_bodies(spark, sf_dir))
+    return M.metro_lines(L.landed(spark, sf_dir, "metro"))
 
 
 def metro_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G3, P13, E4, E3 (+O2 on read-out)."""
-    return M.metro_stations(L.metro_bodies(spark, sf_dir)).withColumn(
+    return M.metro_stations(L.landed(spark, sf_dir, "metro")).withColumn(
         "order_station", F.col("order_station").cast("bigint"))
 
 
 # ------------------------------------------------------------------ dictionaries
 def dictionary_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary names, first-seen position and sizes."""
-    return D.dictionary_keys(L.dictionary_bodies(spark, sf_dir), order_col="body_key").select(
+    return D.dictionary_keys(L.landed(spark, sf_dir, "dictionaries"), order_col="body_key").select(
         "name", "first_body", F.col("first_pos").cast("bigint").alias("first_pos"), "n_bodies",
         F.col("n_entries").cast("bigint").alias("n_entries"))
 
 
 def dictionary_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``orders`` dictionary as dotted columns (lists kept whole)."""
-    return D.dictionary_normalize(L.dictionary_bodies(spark, sf_dir), "orders")
+    return D.dictionary_normalize(L.landed(spark, sf_dir, "dictionaries"), "orders")
 
 
 def props_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,14 +130,14 @@ def employer_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def employer_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4 + P10: landed employers that occur in good vacancies."""
-    emp = E.employer_project(L.employer_bodies(spark, sf_dir))
+    emp = E.employer_project(L.landed(spark, sf_dir, "employers"))
     return E.employers_in_vacancies(emp, S.good_vacancies(spark, sf_dir)).select(*E.EMPLOYER_COLUMNS)
 
 
 def employer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 + E5 + P10: every referenced id looked up at ``employers/{int(id)}``; error bodies -> NULLs."""
     ids = E.employer_ids(S.good_vacancies(spark, sf_dir))
-    return E.employer_lookup(ids, L.employer_bodies(spark, sf_dir))
+    return E.employer_lookup(ids, L.landed(spark, sf_dir, "employers"))
 
 
 def employer_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +185,7 @@ def page_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 def detail_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 + G7 + J1: items of the landed list pages with their detail document found by url."""
     items = S.page_items(spark, sf_dir)
-    joined = R.detail_lookup(items, L.vacancy_bodies(spark, sf_dir).select("url", "body"))
+    joined = R.detail_lookup(items, L.landed(spark, sf_dir, "vacancies").select("url", "body"))
     return joined.select(*S.PAGE_KEY, F.col("pos").cast("bigint").alias("pos"), "url",
                          F.col("body").isNotNull().alias("has_detail"))
 
@@ -228,7 +228,7 @@ def csv_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed bodies picked up day by day by an availableNow stream; then projected."""
-    bodies = L.vacancy_bodies(spark, sf_dir).select("body", "url")
+    bodies = L.landed(spark, sf_dir, "vacancies").select("body", "url")
     root = work_root(spark, "ingest", unique=True)
     first = bodies.where(F.get_json_object("body", "$.published_at") < F.lit("1998"))
     second = bodies.where(~(F.get_json_object("body", "$.published_at") < F.lit("1998")))
@@ -252,7 +252,7 @@ def replace_load_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dictionary_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 + S7: one raw table per dictionary name; rows and columns of each."""
-    bodies = L.dictionary_bodies(spark, sf_dir)
+    bodies = L.landed(spark, sf_dir, "dictionaries")
     schema = "dict_" + work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
     names = [r["name"] for r in D.dictionary_keys(bodies).select("name").collect()]  # a handful of names
     for name in names:
@@ -280,7 +280,7 @@ def clean_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_employers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Looked-up employers (with error rows) -> clean rows keyed by id."""
     ids = E.employer_ids(S.good_vacancies(spark, sf_dir))
-    raw = E.employer_lookup(ids, L.employer_bodies(spark, sf_dir)).drop("requested_id")
+    raw = E.employer_lookup(ids, L.landed(spark, sf_dir, "employers")).drop("requested_id")
     cleaned, _ = C.clean_table(raw, "employers")
     return cleaned.select(*E.EMPLOYER_COLUMNS)
 
@@ -297,8 +297,8 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "raw_" + work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
     flat = S.area_nodes(spark, sf_dir)
     replace_load(TR.node_rows(flat), schema, "areas", S.RUN_TS)
-    replace_load(M.metro_lines(L.metro_bodies(spark, sf_dir)), schema, "metro_lines", S.RUN_TS)
-    replace_load(M.metro_stations(L.metro_bodies(spark, sf_dir)), schema, "metro_stations", S.RUN_TS,
+    replace_load(M.metro_lines(L.landed(spark, sf_dir, "metro")), schema, "metro_lines", S.RUN_TS)
+    replace_load(M.metro_stations(L.landed(spark, sf_dir, "metro")), schema, "metro_stations", S.RUN_TS,
                  audit_col="raw_timestamp")
     replace_load(S.good_vacancies(spark, sf_dir).drop("url"), schema, "vacancies", S.RUN_TS)
     parts = [read_table(spark, schema, t).agg(F.count(F.lit(1)).alias("rows")).select(

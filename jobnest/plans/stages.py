@@ -22,7 +22,7 @@ PAGE_KEY = ["root_area", "term", "day", "page"]
 
 def projected_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 over every landed vacancy detail (good and bad rows, with ``_bad_reason``)."""
-    return vacancy_project(L.vacancy_bodies(spark, sf_dir), keep=["url"])
+    return vacancy_project(L.landed(spark, sf_dir, "vacancies"), keep=["url"])
 
 
 def good_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def good_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def area_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 over the landed area forest (one tree per customer root)."""
-    return area_flatten(L.area_bodies(spark, sf_dir), root_order_col="root_key")
+    return area_flatten(L.landed(spark, sf_dir, "areas"), root_order_col="root_key")
 
 
 def area_to_root(flat: DataFrame) -> DataFrame:
@@ -60,8 +60,8 @@ def assigned_pages(spark: SparkSession, sf_dir: str, terms: str = TERMS) -> Data
     return R.assign_pages(search_hits(spark, sf_dir, terms), SEARCH_KEY, ["id"])
 
 
-def list_page_bodies(spark: SparkSession, sf_dir: str, terms: str = TERMS) -> DataFrame:
-    """S2 stand-in: the landed list pages ``{found, pages, items[{url}]}`` (<= 100 items each)."""
+def build_list_pages(spark: SparkSession, sf_dir: str, terms: str = TERMS) -> DataFrame:
+    """S2 stand-in: the search service's list pages ``{found, pages, items[{url}]}`` (<= 100 items each)."""
     hits = search_hits(spark, sf_dir, terms)
     counts = R.search_counts(hits, SEARCH_KEY)
     pages = R.assign_pages(hits, SEARCH_KEY, ["id"])
@@ -72,18 +72,22 @@ def list_page_bodies(spark: SparkSession, sf_dir: str, terms: str = TERMS) -> Da
     return per_page.join(counts, SEARCH_KEY).select(*PAGE_KEY, body.alias("body"))
 
 
-def page_items(spark: SparkSession, sf_dir: str, terms: str = TERMS, page_mode: str = "default") -> DataFrame:
+def list_page_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed list pages (built once per data set)."""
+    return L.landed(spark, sf_dir, "list_pages", build_list_pages)
+
+
+def page_items(spark: SparkSession, sf_dir: str, page_mode: str = "default") -> DataFrame:
     """Requested pages (G4 plan semi-joined to landed pages) -> items."""
-    landed = list_page_bodies(spark, sf_dir, terms)
-    parsed = R.parse_list_pages(landed)
+    parsed = R.parse_list_pages(list_page_bodies(spark, sf_dir))
     plan = R.plan_requests(parsed.select(*SEARCH_KEY, "found", "pages").distinct(), page_mode)
     requested = parsed.join(plan.select(*PAGE_KEY), PAGE_KEY, "left_semi")
     return R.list_items(requested, PAGE_KEY)
 
 
-def page_details(spark: SparkSession, sf_dir: str, terms: str = TERMS, page_mode: str = "default") -> DataFrame:
+def page_details(spark: SparkSession, sf_dir: str, page_mode: str = "default") -> DataFrame:
     """J1 + P1: every requested item with its projected detail and ``_bad_reason``."""
-    items = page_items(spark, sf_dir, terms, page_mode)
-    joined = R.detail_lookup(items, L.vacancy_bodies(spark, sf_dir).select("url", "body"))
+    items = page_items(spark, sf_dir, page_mode)
+    joined = R.detail_lookup(items, L.landed(spark, sf_dir, "vacancies").select("url", "body"))
     # a missing detail parses to NULL and is reported as a bad 'document'
     return vacancy_project(joined, keep=[*PAGE_KEY, "pos", "url"])
