@@ -9,9 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def parse_body(col: str | Column, schema: T.DataType | str) -> Column:
-    """Permissive JSON parse; malformed text gives NULL instead of failing."""
+CORRUPT = "_corrupt_record"
+
+
+def parse_body(col: str | Column, schema: T.DataType | str, keep_corrupt: bool = False) -> Column:
+    """Permissive JSON parse; malformed text does not fail the job.
+
+    Malformed text yields a struct of NULL fields; with ``keep_corrupt`` the
+    struct also carries the raw text in ``_corrupt_record`` so callers can tell
+    a broken document from an empty one.
+    """
     c = F.col(col) if isinstance(col, str) else col
+    if keep_corrupt and isinstance(schema, T.StructType):
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        return F.from_json(c, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     return F.from_json(c, schema, {"mode": "PERMISSIVE"})
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from jobnest.functions.json import parse_body, parse_once
+from jobnest.functions.json import CORRUPT, parse_body, parse_once
 from jobnest.functions.nested import all_present, first_id, first_nested_id, flag, pluck
 
 _ID = T.StructType([T.StructField("id", T.StringType())])
@@ -95,7 +95,7 @@ def _first_present(arr: Column) -> Column:
 def _bad_reason(v: Column) -> Column:
     """First failing strict rule, in source order; NULL when the document is good."""
     checks: list[tuple[str, Column]] = [
-        ("document", v.isNotNull()),
+        ("document", v.isNotNull() & v[CORRUPT].isNull()),
         ("area", v["area"].isNotNull()),
         ("experience", v["experience"].isNotNull()),
         ("schedule", v["schedule"].isNotNull()),
@@ -122,7 +122,7 @@ def vacancy_project(df: DataFrame, body_col: str = "body", keep: list[str] | Non
 
     ``keep`` carries extra input columns through (page keys, positions, urls).
     """
-    return parse_once(df, parse_body(body_col, VACANCY_SCHEMA),
+    return parse_once(df, parse_body(body_col, VACANCY_SCHEMA, keep_corrupt=True),
                       lambda v: [*_projection(v), _bad_reason(v).alias("_bad_reason")], keep)
 
 
