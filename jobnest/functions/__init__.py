@@ -15,6 +15,7 @@ from jobnest.functions.scalars import (
     split_list_param,
     translate_name,
     day_before,
+    month_before,
     audit_timestamp,
     bookkeeping_columns,
 )
@@ -29,6 +30,6 @@ from jobnest.functions.nested import (
 __all__ = [
     "parse_body", "parse_once", "flatten_struct_columns", "infer_json_schema", "lists_as_text",
     "strict_int", "strict_long", "dotted_component", "url_key", "split_list_param",
-    "translate_name", "day_before", "audit_timestamp", "bookkeeping_columns",
+    "translate_name", "day_before", "month_before", "audit_timestamp", "bookkeeping_columns",
     "first_id", "first_nested_id", "pluck", "all_present", "flag",
 ]

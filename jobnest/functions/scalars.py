@@ -55,6 +55,11 @@ def day_before(run_date: str | dt.date) -> Column:
     return F.date_sub(F.lit(str(run_date)).cast("date"), 1)
 
 
+def month_before(run_date: str | dt.date) -> Column:
+    """The same day one month earlier (calendar-aware, unlike replacing '05' by '04' in the text)."""
+    return F.add_months(F.lit(str(run_date)).cast("date"), -1)
+
+
 def audit_timestamp(run_ts: str | dt.datetime) -> Column:
     """One TIMESTAMP instant for the whole load (never current_timestamp())."""
     if isinstance(run_ts, dt.datetime):
