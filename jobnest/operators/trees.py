@@ -84,6 +84,11 @@ def area_flatten(bodies: DataFrame, body_col: str = "body", root_order_col: str
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
+    # materialise the result in the shared checkpoint folder, then release the
+    # per-level caches (a long-lived session would otherwise keep them all)
+    out = out.checkpoint(eager=True)
+    for lv in keep:
+        lv.unpersist()
     return out
 
 

@@ -69,7 +69,7 @@ def vacancy_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(url, vacancy_key, body): one vacancy detail document per order."""
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    items = order_items(spark, sf_dir)
+    items = landed(spark, sf_dir, "order_items", order_items)
     d = (o.join(items, o.o_orderkey == items.l_orderkey, "left")
           .join(c, o.o_custkey == c.c_custkey, "left"))
     s, p, ok = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_orderkey")
@@ -156,18 +156,15 @@ def employer_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- area forest
 def area_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(root_key, body): one area tree per customer root (customer -> orders -> lineitems)."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    items = landed(spark, sf_dir, "order_items", order_items)
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     node_t = "array<struct<id:string,parent_id:string,name:string,areas:array<string>>>"
-    leaf = F.struct(
-        line_area_id(F.col("l_orderkey"), F.col("l_linenumber")).cast("string").alias("id"),
+    leaves = items.select("l_orderkey", F.transform("items", lambda x: F.struct(
+        line_area_id(F.col("l_orderkey"), x["l_linenumber"]).cast("string").alias("id"),
         order_area_id(F.col("l_orderkey")).cast("string").alias("parent_id"),
-        F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("name"),
-        _empty("array<string>").alias("areas"))
-    leaves = (li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
-        "l_linenumber", "l_partkey", "l_suppkey", leaf.alias("n")))).alias("kids"))
-        .select("l_orderkey", F.transform("kids", lambda k: k["n"]).alias("kids")))
+        F.concat(F.lit("line "), x["l_linenumber"].cast("string")).alias("name"),
+        _empty("array<string>").alias("areas"))).alias("kids"))
     mid = o.join(leaves, o.o_orderkey == leaves.l_orderkey, "left").select(
         "o_custkey", "o_orderkey",
         F.struct(order_area_id(F.col("o_orderkey")).cast("string").alias("id"),
@@ -197,7 +194,7 @@ def metro_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    items = order_items(spark, sf_dir)
+    items = landed(spark, sf_dir, "order_items", order_items)
     s, p, ok = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_orderkey")
     lines = (o.join(items, o.o_orderkey == items.l_orderkey, "left")
               .select("*", F.explode(F.when(s == "F", F.array(F.lit(1), F.lit(2)))
