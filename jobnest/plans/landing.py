@@ -281,7 +281,11 @@ def landed(spark: SparkSession, sf_dir: str, name: str, builder: Builder | None
     if name not in done:
         build = builder or BUILDERS[name]
         path = work_root(spark, "landing", name, unique=True)
-        build(spark, sf_dir).write.mode("overwrite").parquet(path)
+        # spread the landed files so readers get parallel splits whatever
+        # partitioning the builder ended with (a broadcast join keeps the
+        # partitioning of one small scan)
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        build(spark, sf_dir).repartition(n).write.mode("overwrite").parquet(path)
         done[name] = path
     return spark.read.parquet(done[name])
 
