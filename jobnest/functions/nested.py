@@ -31,8 +31,8 @@ def first_nested_id(arr: str | Column, inner: str, field: str = "id") -> Column:
 
 
 def pluck(arr: str | Column, field: str) -> Column:
-    """Array of structs -> array of one field."""
-    return F.transform(_c(arr), lambda x: x[field])
+    """Array of structs -> array of one field (plain field extraction, no lambda)."""
+    return _c(arr)[field]
 
 
 def all_present(arr: str | Column, field: str) -> Column:

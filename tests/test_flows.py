@@ -20,6 +20,34 @@ def _land(spark, root):
     L.landed(spark, SF_SMALL, "employers").select("url", "body").write.parquet(f"{root}/employers")
 
 
+def _busiest_run_date(spark):
+    import datetime
+    busiest = (stages.list_page_bodies(spark, SF_SMALL).groupBy("day").count()
+               .orderBy(F.desc("count"), "day").first()["day"])
+    return busiest, str(busiest + datetime.timedelta(days=1))
+
+
+def test_run_daily_original_behaviour(spark):
+    """';' text staging, page abort and the original page numbering, run twice (accumulation)."""
+    root = work_root(spark, "t", "flow2", unique=True)
+    _land(spark, f"{root}/landing")
+    busiest, run_date = _busiest_run_date(spark)
+    suffix = root.rsplit("/", 1)[-1][:8]
+    cfg = flows.RunConfig(run_date=run_date, run_ts="2024-04-23 05:05:00", terms=stages.TERMS,
+                          raw_schema=f"oraw_{suffix}", clean_schema=f"oclean_{suffix}",
+                          staging_dir=f"{root}/staging", staging_fmt="csv", on_error="abort_page",
+                          page_mode="reference", body_layout="lines", bookkeeping=True)
+    first = flows.run_daily(spark, f"{root}/landing", cfg)["vacancies"]["rows"]
+    second = flows.run_daily(spark, f"{root}/landing", cfg)["vacancies"]["rows"]
+    details = stages.page_details(spark, SF_SMALL, page_mode="reference").where(F.col("day") == busiest)
+    from jobnest.operators.vacancies import page_abort
+    expected = page_abort(details, stages.PAGE_KEY, "pos").count()
+    assert first == expected > 0 and second == 2 * first        # staging is never emptied (K4)
+    clean = read_table(spark, cfg.clean_schema, "vacancies")
+    assert clean.count() == first                                # clean de-duplicates
+    assert "md_is_activ" in clean.columns
+
+
 def test_run_daily(spark):
     root = work_root(spark, "t", "flow", unique=True)
     _land(spark, f"{root}/landing")
