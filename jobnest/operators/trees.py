@@ -63,8 +63,8 @@ def area_flatten(bodies: DataFrame, body_col: str = "body", root_order_col: str
     levels: list[DataFrame] = []
     keep: list[DataFrame] = []
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    level = level.persist(StorageLevel.MEMORY_AND_DISK)
     for depth in range(max_depth + 1):
-        level = level.persist(StorageLevel.MEMORY_AND_DISK)
         keep.append(level)
         levels.append(level.drop("_children"))
         # only nodes with a non-empty child list are expanded (explode drops NULL/[]).
@@ -75,8 +75,11 @@ def area_flatten(bodies: DataFrame, body_col: str = "body", root_order_col: str
                          F.concat(F.col("path"), F.array(F.col("pos"))).alias("path"))
         nxt = _level(nxt).repartition(n_parts, "root_id", "path")
         if (depth + 1) % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=False)
+            nxt = nxt.checkpoint(eager=True)
+        # persist before the emptiness probe so the level is computed once
+        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
         if nxt.isEmpty():
+            nxt.unpersist()
             break
         level = nxt
     else:
