@@ -52,11 +52,15 @@ def search_hits(index: DataFrame, terms: str, area_col: str = "root_area", title
 
 
 def search_filter(index: DataFrame, area, day, term: str, area_col: str = "root_area",
-                  title_col: str = "name", day_col: str = "day") -> DataFrame:
-    """F1 for one request: area equality, closed day range [day, day], title contains term."""
-    d = F.lit(str(day)).cast("date")
-    return index.where((F.col(area_col) == F.lit(area)) & F.col(day_col).between(d, d)
-                       & F.contains(F.lower(F.col(title_col)), F.lower(F.lit(term))))
+                  title_col: str = "name", day_col: str = "day", day_to=None) -> DataFrame:
+    """area equality (``None`` = every area), closed day range [day, day_to or day],
+    title contains term (case-insensitive)."""
+    d0 = F.lit(str(day)).cast("date")
+    d1 = F.lit(str(day_to if day_to is not None else day)).cast("date")
+    cond = F.col(day_col).between(d0, d1) & F.contains(F.lower(F.col(title_col)), F.lower(F.lit(term)))
+    if area is not None:
+        cond = cond & (F.col(area_col) == F.lit(area))
+    return index.where(cond)
 
 
 def search_counts(hits: DataFrame, key_cols: list[str] | None = None, per_page: int = PER_PAGE) -> DataFrame:

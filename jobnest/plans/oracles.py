@@ -185,6 +185,18 @@ SELECT o_orderkey AS id, o_orderstatus AS status, o_orderpriority AS "priority.i
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
     "props_normalize": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "employer_ids": _q("SELECT id FROM emp_ids"),
+    "employer_project": """
+SELECT c.c_custkey AS employer_key,
+       CASE WHEN c.c_acctbal >= 0 THEN c.c_custkey END AS id,
+       CASE WHEN c.c_acctbal >= 0 THEN c.c_name END AS name,
+       CASE WHEN c.c_acctbal >= 0 THEN c.c_mktsegment END AS type,
+       CASE WHEN c.c_acctbal >= 0 THEN 'site/' || CAST(c.c_custkey AS VARCHAR) END AS site_url,
+       CASE WHEN c.c_acctbal >= 0 THEN 'vacancies?employer_id=' || CAST(c.c_custkey AS VARCHAR) END AS vacancies_url,
+       CASE WHEN c.c_acctbal >= 0 AND c.c_mktsegment <> 'AUTOMOBILE' THEN CAST(c.c_nationkey AS BIGINT) END AS area_id,
+       CASE WHEN c.c_acctbal >= 0 THEN CAST(coalesce(o.n, 0) AS BIGINT) END AS open_vacancies
+FROM customer c
+LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey) o
+  ON c.c_custkey = o.o_custkey""",
     "employer_semi": _q("""
 SELECT id, name, type, site_url, vacancies_url, area_id, open_vacancies
 FROM emp WHERE id IN (SELECT id FROM emp_ids)"""),
@@ -204,6 +216,9 @@ FROM kept"""),
     "search_groups": """
 SELECT c_custkey * 10 + 1 AS area, t.term, replace(t.term, ' ', '_') AS group_name
 FROM customer, """ + TERMS_SQL,
+    "search_filter": _q("""
+SELECT root_area, day, id, name FROM idx
+WHERE day BETWEEN DATE '1997-01-01' AND DATE '1997-12-31' AND contains(lower(name), 'ring')"""),
     "request_plan": _q("""
 SELECT root_area, term, day, CAST(page AS BIGINT) AS page
 FROM counts, unnest(range(0, pages)) AS r(page)

@@ -128,6 +128,12 @@ def employer_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.employer_ids(S.good_vacancies(spark, sf_dir))
 
 
+def employer_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: every landed employer document projected; error bodies stay as all-NULL rows."""
+    return E.employer_project(L.landed(spark, sf_dir, "employers"), keep=["employer_key"]).select(
+        "employer_key", *E.EMPLOYER_COLUMNS)
+
+
 def employer_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4 + P10: landed employers that occur in good vacancies."""
     emp = E.employer_project(L.landed(spark, sf_dir, "employers"))
@@ -158,6 +164,12 @@ def search_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.search_counts(S.search_hits(spark, sf_dir), S.SEARCH_KEY)
 
 
+def search_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 over the whole index: titles containing 'ring' published in 1997, every area."""
+    return R.search_filter(S.search_index(spark, sf_dir), None, "1997-01-01", "ring",
+                           day_to="1997-12-31").select("root_area", "day", "id", "name")
+
+
 def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 + F2 + G4 (pages 0..pages-1)."""
     counts = R.search_counts(S.search_hits(spark, sf_dir), S.SEARCH_KEY)
@@ -321,12 +333,14 @@ QUERIES: dict[str, Query] = {
     "dictionary_normalize": dictionary_normalize,
     "props_normalize": props_normalize,
     "employer_ids": employer_ids,
+    "employer_project": employer_project,
     "employer_semi": employer_semi,
     "employer_lookup": employer_lookup,
     "employer_batches": employer_batches,
     "employer_batches_drop_last": employer_batches_drop_last,
     "search_counts": search_counts,
     "search_groups": search_groups,
+    "search_filter": search_filter,
     "request_plan": request_plan,
     "request_plan_reference": request_plan_reference,
     "page_assign": page_assign,
