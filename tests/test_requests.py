@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from jobnest.operators import employers as E
 from jobnest.operators import requests as R
@@ -85,3 +86,25 @@ def test_row_index_with_hot_group(spark):
         assert [i for _, i in rows] == list(range(len(rows))), g
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+@settings(max_examples=12, deadline=None)
+@given(sizes=st.lists(st.integers(min_value=0, max_value=120), min_size=1, max_size=6),
+       hot=st.integers(min_value=0, max_value=600), ranges=st.integers(min_value=1, max_value=9))
+def test_row_index_property(spark, sizes, hot, ranges):
+    """Exact 0..n-1 numbering per group in key order, whatever the group sizes and range count."""
+    rows = [(f"g{g}", k * 7 % 1009 + g) for g, n in enumerate(sizes) for k in range(n)]
+    rows += [("hot", k) for k in range(hot)]
+    if not rows:
+        return
+    df = spark.createDataFrame(rows, "g string, k long")
+    got = {}
+    for r in with_row_index(df, ["k"], ["g"], "i", num_ranges=ranges).collect():
+        got.setdefault(r["g"], []).append((r["k"], r["i"]))
+    expect = {}
+    for g, k in sorted(rows):
+        expect.setdefault(g, []).append(k)
+    for g, ks in expect.items():
+        pairs = sorted(got[g], key=lambda x: x[1])
+        assert [i for _, i in pairs] == list(range(len(ks)))
+        assert sorted(k for k, _ in pairs) == ks and [k for k, _ in pairs] == sorted(k for k, _ in pairs)
