@@ -35,6 +35,15 @@ def _level(nodes: DataFrame) -> DataFrame:
         F.col("n.areas").alias("_children"))
 
 
+def area_flatten_records(records: DataFrame, root_order_col: str | None = "root_order", **kw) -> DataFrame:
+    """G1 over roots already read as records (columns id, parent_id, name, areas-as-text)."""
+    order = F.col(root_order_col) if root_order_col else F.lit(0)
+    roots = records.select(F.struct(*[F.col(f.name) for f in NODE.fields]).alias("n"),
+                           order.cast("bigint").alias("root_order"),
+                           F.array().cast("array<int>").alias("path"))
+    return _flatten_roots(roots, **kw)
+
+
 def area_flatten(bodies: DataFrame, body_col: str = "body", root_order_col: str | None = None,
                  body_is_array: bool = False, max_depth: int = 64,
                  checkpoint_every: int = 8) -> DataFrame:
@@ -44,8 +53,6 @@ def area_flatten(bodies: DataFrame, body_col: str = "body", root_order_col: str
     response, a JSON array of roots.  ``root_order_col`` orders roots for the
     pre-order (defaults to the root's position inside its body).
     """
-    spark = bodies.sparkSession
-    checkpoint_root(spark)  # lineage cuts go to the shared checkpoint folder
     order = F.col(root_order_col) if root_order_col else F.lit(0)
     if body_is_array:
         roots = bodies.select(order.alias("root_order"),
@@ -57,6 +64,13 @@ def area_flatten(bodies: DataFrame, body_col: str = "body", root_order_col: str
         parsed = F.filter(F.array(F.from_json(F.col(body_col), NODE)), lambda n: n.isNotNull())
         roots = bodies.select(order.alias("root_order"), F.explode(parsed).alias("n"),
                               F.array().cast("array<int>").alias("path"))
+    return _flatten_roots(roots, max_depth=max_depth, checkpoint_every=checkpoint_every)
+
+
+def _flatten_roots(roots: DataFrame, max_depth: int = 64, checkpoint_every: int = 8) -> DataFrame:
+    """Walk the tree from parsed roots (columns n, root_order, path) one level at a time."""
+    spark = roots.sparkSession
+    checkpoint_root(spark)  # lineage cuts go to the shared checkpoint folder
     roots = roots.select("n", "root_order", "path", F.lit(0).alias("depth"), F.col("n.id").alias("root_id"))
     level = _level(roots)
 

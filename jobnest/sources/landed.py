@@ -7,7 +7,7 @@ column plus the file it came from; parsing happens later with ``from_json``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def read_bodies(spark: SparkSession, path: str, whole_text: bool = True) -> DataFrame:
@@ -19,3 +19,15 @@ def read_bodies(spark: SparkSession, path: str, whole_text: bool = True) -> Data
 def read_keyed_bodies(spark: SparkSession, path: str, key_col: str = "url") -> DataFrame:
     """Landed detail documents stored as (key, body) Parquet, e.g. url -> vacancy."""
     return spark.read.parquet(path).select(key_col, "body")
+
+
+def read_json_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """S1 for a response that is one JSON array: one row per top-level element.
+
+    The JSON reader streams the array element by element, so no single string
+    holds the whole response (``wholetext`` would, and rows cap at 2 GB).
+    ``root_order`` keeps each element's position for pre-order output.
+    """
+    df = (spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
+          .json(path))
+    return df.withColumn("root_order", F.monotonically_increasing_id())

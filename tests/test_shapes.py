@@ -152,3 +152,19 @@ def test_employer_lookup_url_key(spark):
     docs = spark.createDataFrame([("employers/5", json.dumps({"id": "5", "name": "E"}))], "url string, body string")
     rows = {r["requested_id"]: r for r in E.employer_lookup(ids, docs).collect()}
     assert rows[5.0]["name"] == "E" and rows[9.0]["id"] is None
+
+
+def test_json_array_response_as_records(spark, tmp_path_factory):
+    """A whole JSON-array response read element by element gives the same rows as the body path."""
+    from jobnest.session import work_root
+    from jobnest.sources.landed import read_json_records
+    tree = [node("1", None, "C1", [node("2", "1", "R", [node("4", "2", "x")]), node("3", "1", "S")]),
+            node("9", None, "C2")]
+    root = work_root(spark, "t", "records", unique=True)
+    spark.createDataFrame([(json.dumps(tree, indent=2),)], "v string").coalesce(1).write.text(f"{root}/areas")
+    spark.createDataFrame([(json.dumps([CITY], indent=2),)], "v string").coalesce(1).write.text(f"{root}/metro")
+    recs = read_json_records(spark, f"{root}/areas", TR.NODE)
+    flat = TR.area_flatten_records(recs).orderBy("root_order", "path").collect()
+    assert [r["area_id"] for r in flat] == ["1", "2", "4", "3", "9"]
+    cities = read_json_records(spark, f"{root}/metro", M.CITY)
+    assert M.metro_stations(cities, None).count() == 2 and M.metro_lines(cities, None).count() == 2
