@@ -116,6 +116,14 @@ def list_items(parsed_pages: DataFrame, key_cols: list[str]) -> DataFrame:
         *key_cols, "pos", F.col("item.url").alias("url"))
 
 
+def assert_unique_keys(df: DataFrame, key: str) -> None:
+    """J1 precondition: one detail document per key (one aggregate over the key column)."""
+    dup = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+           .select(key).limit(3).collect())
+    if dup:
+        raise ValueError(f"duplicate {key} in detail documents, e.g. {[r[key] for r in dup]}")
+
+
 def detail_lookup(items: DataFrame, details: DataFrame, url_col: str = "url",
                   body_col: str = "body") -> DataFrame:
     """Per list item, its detail document by url; duplicates are kept (left join)."""

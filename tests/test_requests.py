@@ -42,6 +42,13 @@ def test_items_keep_duplicates_across_terms(spark):
     assert R.detail_lookup(items, details).count() == 2        # U1: no de-duplication
 
 
+def test_duplicate_details_fail_fast(spark):
+    details = spark.createDataFrame([("u", "{}"), ("u", "{}"), ("v", "{}")], "url string, body string")
+    with pytest.raises(ValueError, match="duplicate url"):
+        R.assert_unique_keys(details, "url")
+    R.assert_unique_keys(details.where("url = 'v'"), "url")
+
+
 def test_search_counts_and_pages(spark):
     index = spark.createDataFrame(
         [(i, f"x{i}", "Blue Rod" if i % 3 else "ring", 7, "2024-04-21") for i in range(250)],
