@@ -18,7 +18,6 @@ from jobnest.operators import metro as M
 from jobnest.operators import requests as R
 from jobnest.operators import trees as TR
 from jobnest.operators.vacancies import VACANCY_COLUMNS, page_abort
-from jobnest.operators.vacancies import vacancy_project as project_vacancies
 from jobnest.plans import landing as L
 from jobnest.plans import stages as S
 from jobnest.session import work_root
@@ -26,7 +25,7 @@ from jobnest.sinks.staging import accumulated, append_staging
 from jobnest.sinks.tables import replace_load, safe_name
 from jobnest.sources.catalog import list_tables, read_table
 from jobnest.sources.staging import read_staging
-from jobnest.streaming.ingest import ingest_available, ingested
+from jobnest.streaming.ingest import ingest_vacancies
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -239,18 +238,18 @@ def csv_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed bodies picked up day by day by an availableNow stream; then projected."""
-    bodies = L.landed(spark, sf_dir, "vacancies").select("body", "url")
+    """I1 (+P1, X2): landed detail files picked up day by day by an availableNow stream,
+    projected per micro-batch into good and quarantined rows."""
+    bodies = L.landed(spark, sf_dir, "vacancies").select("url", "body")
     root = work_root(spark, "ingest", unique=True)
-    first = bodies.where(F.get_json_object("body", "$.published_at") < F.lit("1998"))
-    second = bodies.where(~(F.get_json_object("body", "$.published_at") < F.lit("1998")))
-    for i, batch in enumerate([first, second]):
-        batch.write.mode("overwrite").json(f"{root}/landing/batch={i}")
-        ingest_available(spark, f"{root}/landing", "body STRING, url STRING, batch INT",
-                         f"{root}/table", f"{root}/checkpoint")
-    p = project_vacancies(ingested(spark, f"{root}/table"), keep=["url"])
-    return p.select(F.regexp_extract("url", r"(\d+)$", 1).cast("bigint").alias("id"),
-                    F.col("_bad_reason").alias("bad_reason"))
+    published = F.get_json_object("body", "$.published_at")
+    batches = [bodies.where(published < F.lit("1998")), bodies.where(~(published < F.lit("1998")))]
+    for i, batch in enumerate(batches):
+        batch.write.mode("overwrite").json(f"{root}/landing/day={i}")
+        ingest_vacancies(spark, f"{root}/landing", f"{root}/good", f"{root}/bad", f"{root}/checkpoint")
+    good = spark.read.parquet(f"{root}/good").select("id", F.lit(None).cast("string").alias("bad_reason"))
+    bad = spark.read.parquet(f"{root}/bad").select("id", F.col("_bad_reason").alias("bad_reason"))
+    return good.unionByName(bad)
 
 
 def replace_load_query(spark: SparkSession, sf_dir: str) -> DataFrame:

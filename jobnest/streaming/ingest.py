@@ -9,7 +9,7 @@ micro-batch (lost executor, restarted driver) is written exactly once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def ingest_available(spark: SparkSession, landing_dir: str, schema: T.StructType | str,
@@ -34,3 +34,33 @@ def ingest_available(spark: SparkSession, landing_dir: str, schema: T.StructType
 def ingested(spark: SparkSession, target_dir: str) -> DataFrame:
     """Everything committed by the sink so far (read through its metadata log)."""
     return spark.read.parquet(target_dir)
+
+
+def ingest_vacancies(spark: SparkSession, landing_dir: str, good_dir: str, bad_dir: str,
+                     checkpoint_dir: str) -> None:
+    """I1 + P1 + X2 as one stream: new landed (url, body) files -> good rows and quarantined rows.
+
+    Two outputs need ``foreachBatch``.  Each write replaces only its own
+    ``batch_id`` partition (dynamic partition overwrite), so a micro-batch that
+    is replayed after a failure overwrites its earlier output instead of
+    duplicating it.
+    """
+    from jobnest.operators.vacancies import quarantine, vacancy_project
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        projected = vacancy_project(batch, keep=["url"]).withColumn("batch_id", F.lit(batch_id))
+        good, bad = quarantine(projected)
+        for df, path in ((good, good_dir), (bad, bad_dir)):
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(path))
+        batch.unpersist()
+
+    q = (spark.readStream.schema("url STRING, body STRING").json(landing_dir)
+         .writeStream.foreachBatch(write)
+         .option("checkpointLocation", checkpoint_dir)
+         .trigger(availableNow=True)
+         .start())
+    q.awaitTermination()
+    if q.exception() is not None:  # pragma: no cover
+        raise q.exception()

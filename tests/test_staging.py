@@ -92,3 +92,21 @@ def test_incremental_ingest_picks_up_new_files_only(spark):
     ingest_available(spark, f"{root}/landing", "body STRING, batch INT", f"{root}/table", f"{root}/ck")
     ingest_available(spark, f"{root}/landing", "body STRING, batch INT", f"{root}/table", f"{root}/ck")
     assert sorted(r["body"] for r in ingested(spark, f"{root}/table").collect()) == ["a", "b", "c"]
+
+
+def test_streaming_vacancy_ingest_is_incremental(spark):
+    import json as _json
+    from jobnest.streaming.ingest import ingest_vacancies
+    root = work_root(spark, "t", "vstream", unique=True)
+    good_doc = {"id": "1", "area": {"id": "1"}, "experience": {}, "schedule": {}, "employment": {},
+                "key_skills": [], "professional_roles": [{"id": "1"}], "employer": {"id": "2"}}
+    spark.createDataFrame([("u1", _json.dumps(good_doc)), ("u2", "{}")], "url string, body string") \
+        .write.json(f"{root}/landing/d=0")
+    args = (f"{root}/landing", f"{root}/good", f"{root}/bad", f"{root}/ck")
+    ingest_vacancies(spark, *args)
+    spark.createDataFrame([("u3", _json.dumps({**good_doc, "id": "3"}))], "url string, body string") \
+        .write.json(f"{root}/landing/d=1")
+    ingest_vacancies(spark, *args)
+    ingest_vacancies(spark, *args)            # nothing new: no change
+    assert sorted(r["id"] for r in spark.read.parquet(f"{root}/good").collect()) == [1, 3]
+    assert [r["_bad_reason"] for r in spark.read.parquet(f"{root}/bad").collect()] == ["area"]
