@@ -135,6 +135,12 @@ def test_dictionary_normalize(spark):
     assert rows[1]["l"] is None and rows[1]["a.k"] is None and rows[1]["a.m.x"] is None and rows[1]["n"] == "x"
 
 
+def test_dictionary_single_object_is_one_row(spark):
+    b = bodies(spark, [{"one": {"id": "a", "m": {"x": 1}}, "many": [{"id": "b"}, {"id": "c"}]}])
+    assert [tuple(r) for r in D.dictionary_normalize(b, "one").collect()] == [("a", 1)]
+    assert D.dictionary_normalize(b, "many").count() == 2
+
+
 def test_employer_project(spark):
     docs = [{"id": "5", "name": "E", "type": "company", "site_url": "s", "vacancies_url": "v",
              "area": {"id": "1"}, "open_vacancies": 3},
