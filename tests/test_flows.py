@@ -36,7 +36,8 @@ def test_run_daily_original_behaviour(spark):
     cfg = flows.RunConfig(run_date=run_date, run_ts="2024-04-23 05:05:00", terms=stages.TERMS,
                           raw_schema=f"oraw_{suffix}", clean_schema=f"oclean_{suffix}",
                           staging_dir=f"{root}/staging", staging_fmt="csv", on_error="abort_page",
-                          page_mode="reference", body_layout="lines", bookkeeping=True)
+                          page_mode="reference", body_layout="lines", bookkeeping=True,
+                          idempotent_days=False)
     first = flows.run_daily(spark, f"{root}/landing", cfg)["vacancies"]["rows"]
     second = flows.run_daily(spark, f"{root}/landing", cfg)["vacancies"]["rows"]
     details = stages.page_details(spark, SF_SMALL, page_mode="reference").where(F.col("day") == busiest)
@@ -59,6 +60,8 @@ def test_run_daily(spark):
                           raw_schema=f"fraw_{suffix}", clean_schema=f"fclean_{suffix}",
                           staging_dir=f"{root}/staging", body_layout="lines")
     stats = flows.run_daily(spark, f"{root}/landing", cfg)
+    again = flows.run_daily(spark, f"{root}/landing", cfg)        # same day again: replaced, not doubled
+    assert again["vacancies"]["rows"] == stats["vacancies"]["rows"]
     raw = set(list_tables(spark, cfg.raw_schema))
     assert {"areas", "metro_lines", "metro_stations", "vacancies", "employers", "orders"} <= raw
     assert set(list_tables(spark, cfg.clean_schema)) == {t for t in raw if not t.endswith("_bad")}
