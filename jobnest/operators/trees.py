@@ -1,18 +1,19 @@
 """Arbitrary-depth tree flattening (G1, P11, F5) and area selections.
 
-The tree is walked one level at a time: each node keeps its child list as raw
-JSON text, so one ``posexplode(from_json(...))`` peels exactly one level and no
-recursive schema is needed.  Every level carries ``depth``, ``root_id`` and a
-``path`` of child positions, so depth-first pre-order is simply ``ORDER BY path``
-(no driver recursion).  After each explode the level is re-spread across
-partitions, so one oversized subtree does not keep all its descendants in the
-task that parsed it.
+The tree is walked a few levels per pass: a pass parses ``LEVELS_PER_PASS``
+levels with a schema nested that deep, keeping the deepest child lists as raw
+JSON text, and emits every node of those levels with one ``inline`` over an
+array built by ``transform``/``flatten`` (no recursive schema, no driver
+recursion).  Every node carries ``depth``, ``root_id`` and a ``path`` of child
+positions, so depth-first pre-order is simply ``ORDER BY path``.  After each
+pass the rows are re-spread across partitions, so one oversized subtree does
+not keep all its descendants in the task that parsed it.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from jobnest.operators.indexing import with_row_index
 from jobnest.session import checkpoint_root
@@ -25,23 +26,60 @@ NODE = T.StructType([
 ])
 NODE_LIST = T.ArrayType(NODE)
 
+LEVELS_PER_PASS = 4
 
-def _level(nodes: DataFrame) -> DataFrame:
-    return nodes.select(
-        F.col("n.id").alias("area_id"),
-        F.col("n.parent_id").alias("parent_id"),      # the node's own field wins over nesting
-        F.col("n.name").alias("name"),
-        "depth", "path", "root_id", "root_order",
-        F.col("n.areas").alias("_children"))
+_ROW = T.StructType([
+    T.StructField("area_id", T.StringType()),
+    T.StructField("parent_id", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("rel", T.ArrayType(T.IntegerType())),   # child positions below the pass's start
+    T.StructField("kids", T.StringType()),                # unparsed child list of the deepest level
+    T.StructField("rid", T.StringType()),                 # root id
+])
+_ROWS = T.ArrayType(_ROW)
+
+
+def node_type(levels: int) -> T.StructType:
+    """A node parsed ``levels`` deep; the deepest child list stays JSON text."""
+    t = NODE
+    for _ in range(levels - 1):
+        t = T.StructType([*NODE.fields[:3], T.StructField("areas", T.ArrayType(t))])
+    return t
+
+
+def _rows(arr: Column, levels: int, prefix: Column, root: Column | None) -> Column:
+    """Every node of ``arr`` and of its next ``levels - 1`` levels, as one array of rows."""
+    def own(n, i):
+        return F.struct(
+            n["id"].alias("area_id"),
+            n["parent_id"].alias("parent_id"),            # the node's own field wins over nesting
+            n["name"].alias("name"),
+            F.concat(prefix, F.array(i)).alias("rel"),
+            (n["areas"] if levels == 1 else F.lit(None).cast("string")).alias("kids"),
+            (root if root is not None else n["id"]).alias("rid"))
+
+    rows = F.transform(arr, own)
+    if levels > 1:
+        deeper = F.flatten(F.transform(arr, lambda n, i: F.coalesce(
+            _rows(n["areas"], levels - 1, F.concat(prefix, F.array(i)),
+                  root if root is not None else n["id"]),
+            F.array().cast(_ROWS))))
+        rows = F.concat(rows, deeper)
+    return rows
+
+
+def _has_children(text: Column) -> Column:
+    """recurse only into a non-empty child list."""
+    return text.isNotNull() & (F.length(F.regexp_replace(text, r"\s", "")) > 2)
 
 
 def area_flatten_records(records: DataFrame, root_order_col: str | None = "root_order", **kw) -> DataFrame:
     """G1 over roots already read as records (columns id, parent_id, name, areas-as-text)."""
     order = F.col(root_order_col) if root_order_col else F.lit(0)
-    roots = records.select(F.struct(*[F.col(f.name) for f in NODE.fields]).alias("n"),
-                           order.cast("bigint").alias("root_order"),
-                           F.array().cast("array<int>").alias("path"))
-    return _flatten_roots(roots, **kw)
+    arr = F.array(F.struct(*[F.col(f.name) for f in NODE.fields]))
+    first = records.select(order.cast("bigint").alias("root_order"),
+                           F.inline(_rows(arr, 1, F.array().cast("array<int>"), None)))
+    return _walk(_first_level(first, wrapped=True), **kw)
 
 
 def area_flatten(bodies: DataFrame, body_col: str = "body", root_order_col: str | None = None,
@@ -54,55 +92,64 @@ def area_flatten(bodies: DataFrame, body_col: str = "body", root_order_col: str
     pre-order (defaults to the root's position inside its body).
     """
     order = F.col(root_order_col) if root_order_col else F.lit(0)
+    k = LEVELS_PER_PASS
     if body_is_array:
-        roots = bodies.select(order.alias("root_order"),
-                              F.posexplode(F.from_json(F.col(body_col), NODE_LIST)).alias("pos", "n"))
-        roots = roots.select("n", "root_order", F.array(F.col("pos")).alias("path"))
+        arr = F.from_json(F.col(body_col), T.ArrayType(node_type(k)))
     else:
-        # explode of a one-element list drops unparsable bodies without a filter
-        # that Catalyst would push below the parse (and parse twice)
-        parsed = F.filter(F.array(F.from_json(F.col(body_col), NODE)), lambda n: n.isNotNull())
-        roots = bodies.select(order.alias("root_order"), F.explode(parsed).alias("n"),
-                              F.array().cast("array<int>").alias("path"))
-    return _flatten_roots(roots, max_depth=max_depth, checkpoint_every=checkpoint_every)
-
-
-def _flatten_roots(roots: DataFrame, max_depth: int = 64, checkpoint_every: int = 8) -> DataFrame:
-    """Walk the tree from parsed roots (columns n, root_order, path) one level at a time."""
-    spark = roots.sparkSession
+        arr = F.array(F.from_json(F.col(body_col), node_type(k)))
+    # a NULL body (or NULL root element) gives no node; positions of the others are kept
+    first = bodies.select(order.alias("root_order"),
+                          F.inline(F.filter(_rows(arr, k, F.array().cast("array<int>"), None),
+                                            lambda r: r["rid"].isNotNull() | r["area_id"].isNotNull()
+                                            | r["name"].isNotNull())))
+    return _walk(_first_level(first, wrapped=not body_is_array),
+                 max_depth=max_depth, checkpoint_every=checkpoint_every)
+
+
+def _first_level(rows: DataFrame, wrapped: bool) -> DataFrame:
+    rel = F.col("rel")
+    path = F.slice(rel, 2, F.size(rel) - 1) if wrapped else rel   # a lone root has path []
+    return rows.select(F.col("area_id"), F.col("parent_id"), F.col("name"),
+                       (F.size(rel) - 1).alias("depth"), path.alias("path"),
+                       F.col("rid").alias("root_id"), "root_order", F.col("kids").alias("_children"))
+
+
+def _walk(first: DataFrame, max_depth: int = 64, checkpoint_every: int = 8) -> DataFrame:
+    """Continue below the deepest parsed level, LEVELS_PER_PASS levels per pass."""
+    spark = first.sparkSession
     checkpoint_root(spark)  # lineage cuts go to the shared checkpoint folder
-    roots = roots.select("n", "root_order", "path", F.lit(0).alias("depth"), F.col("n.id").alias("root_id"))
-    level = _level(roots)
-
-    levels: list[DataFrame] = []
-    keep: list[DataFrame] = []
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    level = level.persist(StorageLevel.MEMORY_AND_DISK)
-    for depth in range(max_depth + 1):
-        keep.append(level)
-        levels.append(level.drop("_children"))
-        # only nodes with a non-empty child list are expanded (explode drops NULL/[]).
-        nxt = level.where(F.col("_children").isNotNull()).select(
-            "root_id", "root_order", "path", "depth",
-            F.posexplode(F.from_json("_children", NODE_LIST)).alias("pos", "n"))
-        nxt = nxt.select("n", "root_id", "root_order", (F.col("depth") + 1).alias("depth"),
-                         F.concat(F.col("path"), F.array(F.col("pos"))).alias("path"))
-        nxt = _level(nxt).repartition(n_parts, "root_id", "path")
-        if (depth + 1) % checkpoint_every == 0:
+    k = LEVELS_PER_PASS
+    level = first.persist(StorageLevel.MEMORY_AND_DISK)
+    keep: list[DataFrame] = [level]
+    passes = 0
+    while True:
+        nxt = level.where(_has_children(F.col("_children"))).select(
+            "root_order", "path", "depth", "root_id",
+            F.inline(_rows(F.from_json("_children", T.ArrayType(node_type(k))), k,
+                           F.array().cast("array<int>"), F.col("root_id"))))
+        nxt = nxt.select("area_id", "parent_id", "name",
+                         (F.col("depth") + F.size("rel")).alias("depth"),
+                         F.concat(F.col("path"), F.col("rel")).alias("path"),
+                         "root_id", "root_order", F.col("kids").alias("_children"))
+        # re-spread: one oversized subtree does not stay in the task that parsed it
+        nxt = nxt.repartition(n_parts, "root_id", "path")
+        passes += 1
+        if passes % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)
-        # persist before the emptiness probe so the level is computed once
-        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)   # computed once: probe, then reuse
         if nxt.isEmpty():
             nxt.unpersist()
             break
+        if passes * k > max_depth:
+            raise ValueError(f"area tree deeper than max_depth={max_depth}")
+        keep.append(nxt)
         level = nxt
-    else:
-        raise ValueError(f"area tree deeper than max_depth={max_depth}")
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
+    out = keep[0].drop("_children")
+    for lv in keep[1:]:
+        out = out.unionByName(lv.drop("_children"))
     # materialise the result in the shared checkpoint folder, then release the
-    # per-level caches (a long-lived session would otherwise keep them all)
+    # per-pass caches (a long-lived session would otherwise keep them all)
     out = out.checkpoint(eager=True)
     for lv in keep:
         lv.unpersist()

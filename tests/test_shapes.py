@@ -47,6 +47,13 @@ def test_tree_depth_30(spark):
     assert flat.agg({"depth": "max"}).first()[0] == 29
 
 
+def test_tree_bad_bodies_give_no_nodes(spark):
+    good = json.dumps(node("1", None, "A", [node("2", "1", "B")]))
+    df = spark.createDataFrame([(good,), ("not json",), (None,)], "body string")
+    rows = TR.area_flatten(df).collect()
+    assert sorted(r["area_id"] for r in rows) == ["1", "2"]
+
+
 def test_roots_and_parents(spark):
     tree = [node("1", None, "C1", [node("2", "1", "R", [node("4", "2", "x")]), node("3", "1", "S")])]
     flat = TR.area_flatten(bodies(spark, [tree]), body_is_array=True)
