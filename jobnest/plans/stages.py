@@ -62,7 +62,8 @@ def assigned_pages(spark: SparkSession, sf_dir: str, terms: str = TERMS) -> Data
 
 def build_list_pages(spark: SparkSession, sf_dir: str, terms: str = TERMS) -> DataFrame:
     """S2 stand-in: the search service's list pages ``{found, pages, items[{url}]}`` (<= 100 items each)."""
-    hits = search_hits(spark, sf_dir, terms)
+    # both the counts and the page numbering read the hits: compute them once
+    hits = search_hits(spark, sf_dir, terms).checkpoint(eager=True)
     counts = R.search_counts(hits, SEARCH_KEY)
     pages = R.assign_pages(hits, SEARCH_KEY, ["id"])
     per_page = (pages.groupBy(*PAGE_KEY)
