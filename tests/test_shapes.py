@@ -116,6 +116,16 @@ def test_metro_stations(spark):
     assert [(r["metro_station_id"], r["metro_line_id"], r["lon"]) for r in rows] == [(10, 1, 2.0), (345, 1, 2.5)]
 
 
+def test_metro_read_out_order(spark):
+    cities = [{"id": "2", "lines": [{"id": "5", "stations": [{"id": "5.9", "order": 1}, {"id": "5.3", "order": 0}]},
+                                    {"id": "1", "stations": []}]},
+              {"id": "1", "lines": [{"id": "7", "stations": []}]}]
+    b = bodies(spark, cities)
+    assert [(r["city_id"], r["metro_line_id"]) for r in M.sorted_lines(M.metro_lines(b)).collect()] == [
+        (1, 7), (2, 1), (2, 5)]                                               # O1
+    assert [r["metro_station_id"] for r in M.sorted_stations(M.metro_stations(b)).collect()] == [3, 9]  # O2
+
+
 @pytest.mark.parametrize("bad", [
     {"id": "1", "lines": [{"id": "1", "stations": [{"id": "nodot"}]}]},
     {"id": "1", "lines": [{"id": "1", "stations": [{"id": None}]}]},
