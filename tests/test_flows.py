@@ -73,3 +73,40 @@ def test_run_daily(spark):
         "employer IS NOT NULL").distinct().count()
     areas = read_table(spark, cfg.clean_schema, "areas")
     assert areas.where("depth IS NULL").count() == 0
+
+
+def test_run_daily_whole_response_files(spark):
+    """Landing as the API returns it: one JSON object (dictionaries), one JSON array (areas, metro)."""
+    import json
+    root = work_root(spark, "t", "flow3", unique=True)
+    land = f"{root}/landing"
+    # test fixture: merge the per-customer stand-ins into single response files
+    dicts: dict = {}
+    for r in L.landed(spark, SF_SMALL, "dictionaries").orderBy("body_key").collect():
+        for k, v in json.loads(r["body"]).items():
+            dicts.setdefault(k, []).extend(v)
+    areas = [json.loads(r["body"]) for r in L.landed(spark, SF_SMALL, "areas").orderBy("root_key").collect()]
+    metro = [json.loads(r["body"]) for r in L.landed(spark, SF_SMALL, "metro").orderBy("city_key").collect()]
+    for name, doc in (("dictionaries", dicts), ("areas", areas), ("metro", metro)):
+        spark.createDataFrame([(json.dumps(doc, indent=1),)], "v string").coalesce(1).write.text(f"{land}/{name}")
+    (stages.list_page_bodies(spark, SF_SMALL).withColumnRenamed("root_area", "area")
+     .write.parquet(f"{land}/list_pages"))
+    L.landed(spark, SF_SMALL, "vacancies").select("url", "body").write.parquet(f"{land}/vacancies")
+    L.landed(spark, SF_SMALL, "employers").select("url", "body").write.parquet(f"{land}/employers")
+    busiest, run_date = _busiest_run_date(spark)
+    suffix = root.rsplit("/", 1)[-1][:8]
+    cfg = flows.RunConfig(run_date=run_date, run_ts="2024-04-23 05:05:00", terms=stages.TERMS,
+                          raw_schema=f"wraw_{suffix}", clean_schema=f"wclean_{suffix}",
+                          staging_dir=f"{root}/staging", body_layout="file")
+    stats = flows.run_daily(spark, land, cfg)
+    assert stats["areas"]["rows"] == sum(1 for _ in _nodes(areas))
+    assert stats["metro"][1]["rows"] == sum(len(l["stations"]) for c in metro for l in c["lines"])
+    assert {d["table"].split(".")[1] for d in stats["dictionaries"]} == set(dicts)
+    orders = read_table(spark, cfg.raw_schema, "orders")
+    assert orders.count() == len(dicts["orders"])
+
+
+def _nodes(trees):
+    for t in trees:
+        yield t
+        yield from _nodes(t.get("areas") or [])
