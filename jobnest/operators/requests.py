@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from jobnest.functions.scalars import split_list_param, translate_name
 from jobnest.operators.indexing import with_row_index
 
-PER_PAGE = 100          # "no more than 100 per page"
-SPLIT_THRESHOLD = 1999  # areas above it were to be split by city
+# Fixed values (must equal the original's): items per list page; hit count above
+# which an area would be split by city.
+PER_PAGE = 100
+SPLIT_THRESHOLD = 1999
 
 LIST_PAGE_SCHEMA = T.StructType([
     T.StructField("found", T.LongType()),

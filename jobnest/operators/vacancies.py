@@ -47,7 +47,7 @@ VACANCY_SCHEMA = T.StructType([
     T.StructField("approved", T.BooleanType()),
 ])
 
-# Fixed output order of the raw vacancies table.
+# Fixed values (must equal the original's): the raw vacancies columns, in order.
 VACANCY_COLUMNS = [
     "id", "relations", "name", "area", "salary_from", "salary_to", "type", "experience",
     "schedule", "employment", "description", "key_skills", "archived", "specializations",

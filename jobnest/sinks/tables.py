@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from jobnest.functions.scalars import audit_timestamp
 from jobnest.session import work_root
 
+# Fixed values (must equal the original's): the audit column of every raw table,
+# and the one table that names it differently.
+AUDIT_COL = "process_dttm"
+STATION_AUDIT_COL = "raw_timestamp"
+
 
 def ensure_schema(spark: SparkSession, schema: str) -> str:
     """Create the schema with its location under the shared folder."""
@@ -24,13 +29,13 @@ def safe_name(name: str) -> str:
     return re.sub(r"[^0-9a-zA-Z_]", "_", name).lower() or "_"
 
 
-def with_audit(df: DataFrame, run_ts: str | dt.datetime, audit_col: str = "process_dttm") -> DataFrame:
+def with_audit(df: DataFrame, run_ts: str | dt.datetime, audit_col: str = AUDIT_COL) -> DataFrame:
     """One constant audit instant for the whole load."""
     return df.withColumn(audit_col, audit_timestamp(run_ts))
 
 
 def replace_load(df: DataFrame, schema: str, table: str, run_ts: str | dt.datetime,
-                 audit_col: str = "process_dttm", partition_by: list[str] | None = None) -> dict:
+                 audit_col: str = AUDIT_COL, partition_by: list[str] | None = None) -> dict:
     """K2 + K5 + A3: overwrite ``schema.table``; report rows/columns from the write itself.
 
     The row count is an ``Observation`` on the written data, so no second pass
