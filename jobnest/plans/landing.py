@@ -284,7 +284,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str, builder: Builder | None
         # spread the landed files so readers get parallel splits whatever
         # partitioning the builder ended with (a broadcast join keeps the
         # partitioning of one small scan)
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = max(1, spark.sparkContext.defaultParallelism)   # one file per core
         build(spark, sf_dir).repartition(n).write.mode("overwrite").parquet(path)
         done[name] = path
     return spark.read.parquet(done[name])
