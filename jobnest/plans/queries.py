@@ -22,7 +22,7 @@ from jobnest.plans import landing as L
 from jobnest.plans import stages as S
 from jobnest.session import work_root
 from jobnest.sinks.staging import accumulated, append_staging
-from jobnest.sinks.tables import replace_load, safe_name
+from jobnest.sinks.tables import STATION_AUDIT_COL, replace_load, safe_name
 from jobnest.sources.catalog import list_tables, read_table
 from jobnest.sources.staging import read_staging
 from jobnest.streaming.ingest import ingest_vacancies
@@ -304,13 +304,13 @@ def clean_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S7 + S8 + K2: load the reference-data and vacancy raw tables, then list them with row counts."""
+    """S7 + K2: load the reference-data and vacancy raw tables, then list them with row counts."""
     schema = "raw_" + work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
     flat = S.area_nodes(spark, sf_dir)
     replace_load(TR.node_rows(flat), schema, "areas", S.RUN_TS)
     replace_load(M.metro_lines(L.landed(spark, sf_dir, "metro")), schema, "metro_lines", S.RUN_TS)
     replace_load(M.metro_stations(L.landed(spark, sf_dir, "metro")), schema, "metro_stations", S.RUN_TS,
-                 audit_col="raw_timestamp")
+                 audit_col=STATION_AUDIT_COL)
     replace_load(S.good_vacancies(spark, sf_dir).drop("url"), schema, "vacancies", S.RUN_TS)
     parts = [read_table(spark, schema, t).agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(t).alias("table_name"), "rows") for t in list_tables(spark, schema)]
