@@ -17,6 +17,7 @@ from jobnest.functions.scalars import (
     day_before,
     month_before,
     audit_timestamp,
+    render_in_zone,
     bookkeeping_columns,
 )
 from jobnest.functions.nested import (
@@ -30,6 +31,6 @@ from jobnest.functions.nested import (
 __all__ = [
     "parse_body", "parse_once", "flatten_struct_columns", "infer_json_schema", "lists_as_text",
     "strict_int", "strict_long", "dotted_component", "url_key", "split_list_param",
-    "translate_name", "day_before", "month_before", "audit_timestamp", "bookkeeping_columns",
+    "translate_name", "day_before", "month_before", "audit_timestamp", "render_in_zone", "bookkeeping_columns",
     "first_id", "first_nested_id", "pluck", "all_present", "flag",
 ]

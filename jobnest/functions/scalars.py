@@ -67,6 +67,15 @@ def audit_timestamp(run_ts: str | dt.datetime) -> Column:
     return F.lit(str(run_ts)).cast("timestamp")
 
 
+def render_in_zone(ts: str | Column, zone: str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """E11 (display only): an instant as wall-clock text in a named zone.
+
+    The stored value stays the instant; the zone is applied only to the rendered text.
+    """
+    utc_wall = F.to_utc_timestamp(_c(ts), F.current_timezone())   # session-zone wall clock -> UTC wall clock
+    return F.date_format(F.from_utc_timestamp(utc_wall, zone), fmt)
+
+
 def bookkeeping_columns(run_date: str | dt.date) -> list[Column]:
     """md_* bookkeeping columns (insert/update date, active and deleted flags)."""
     d = F.lit(str(run_date)).cast("date")

@@ -110,3 +110,12 @@ def test_streaming_vacancy_ingest_is_incremental(spark):
     ingest_vacancies(spark, *args)            # nothing new: no change
     assert sorted(r["id"] for r in spark.read.parquet(f"{root}/good").collect()) == [1, 3]
     assert [r["_bad_reason"] for r in spark.read.parquet(f"{root}/bad").collect()] == ["area"]
+
+
+def test_render_in_zone_keeps_the_instant(spark):
+    from jobnest.functions.scalars import audit_timestamp, render_in_zone
+    df = spark.range(1).select(audit_timestamp("2024-04-23 05:05:00").alias("ts"))
+    r = df.select("ts", render_in_zone("ts", "Europe/Berlin").alias("berlin"),
+                  render_in_zone("ts", "UTC").alias("utc")).first()
+    assert r["utc"] == "2024-04-23 05:05:00" and r["berlin"] == "2024-04-23 07:05:00"
+    assert str(r["ts"]) == "2024-04-23 05:05:00"
