@@ -43,3 +43,12 @@ def test_search_terms_are_a_generator_not_a_join(spark):
     plan = _plan(Q.search_groups(spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Generate explode" in plan
+
+
+def test_projections_do_not_shuffle(spark):
+    """Document projections stream scan -> parse -> rows: no exchange, no Python."""
+    for q in (Q.vacancy_project, Q.vacancy_quarantine, Q.metro_stations, Q.dictionary_normalize,
+              Q.props_normalize, Q.employer_project):
+        plan = _plan(q(spark, SF_SMALL))
+        assert "Exchange" not in plan, q.__name__
+        assert "Python" not in plan and "ArrowEval" not in plan, q.__name__
