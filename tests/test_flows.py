@@ -68,6 +68,11 @@ def test_run_daily(spark):
     expected = (stages.page_details(spark, SF_SMALL).where(F.col("day") == busiest)
                 .where(F.col("_bad_reason").isNull()).count())
     assert stats["vacancies"]["rows"] == expected > 0
+    vac = read_table(spark, cfg.raw_schema, "vacancies")
+    assert str(vac.select("load_day").distinct().collect()[0][0]) == run_date     # partitioned by load day
+    plan = vac.where(F.col("load_day") == run_date)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_day" in plan
+    assert "load_day" not in read_table(spark, cfg.clean_schema, "vacancies").columns
     emp = read_table(spark, cfg.raw_schema, "employers")
     assert emp.count() == read_table(spark, cfg.raw_schema, "vacancies").select("employer").where(
         "employer IS NOT NULL").distinct().count()
