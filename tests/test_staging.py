@@ -119,3 +119,11 @@ def test_render_in_zone_keeps_the_instant(spark):
                   render_in_zone("ts", "UTC").alias("utc")).first()
     assert r["utc"] == "2024-04-23 05:05:00" and r["berlin"] == "2024-04-23 07:05:00"
     assert str(r["ts"]) == "2024-04-23 05:05:00"
+
+
+def test_clean_areas_duplicate_ids_take_the_general_path(spark):
+    raw = spark.createDataFrame([("1", None, "A"), ("2", "1", "B"), ("2", "1", "B"), ("3", "2", "C"),
+                                 ("3", "1", "C2")],   # id 3 listed under two parents
+                                "area_id string, parent_id string, name string")
+    rows = sorted((r["area_id"], r["parent_id"], r["depth"], r["path"]) for r in C.clean_areas(raw).collect())
+    assert rows == [(1, None, 0, "1"), (2, 1, 1, "1/2"), (3, 1, 1, "1/3"), (3, 2, 2, "1/2/3")]
