@@ -3,16 +3,19 @@
 ``row_number()`` over an un-partitioned window (or over a hot group) funnels
 every row through one task.  Here instead:
 
-1. range-partition on (group, order) keys -> a hot group is cut across many
-   partitions by the range partitioner's sampled bounds;
-2. count rows per (range partition, group)  -> at most #partitions rows per group;
-3. running sum of those counts per group     -> each range's starting offset;
-4. join the offsets back and number rows inside (range partition, group).
-
-Every window here is bounded by one range partition, and the only data the
-per-group window sees is the count table.  Both uses of the range-partitioned
-frame must see the same partition ids, so the range-partitioned frame is
-checkpointed once (to the shared checkpoint folder) and both read that copy.
+1. range-partition on (group, order) keys and sort inside each partition ->
+   a hot group is cut across many partitions by the sampled range bounds, and
+   inside a partition each group's rows are contiguous and in order;
+2. tag rows with their partition and ``monotonically_increasing_id`` (which
+   counts rows in partition order), and checkpoint, so the tags are fixed;
+3. per (range partition, group): row count and smallest tag -> at most
+   #partitions rows per group;
+4. running sum of those counts per group -> each range's starting offset;
+5. index = offset + (tag - smallest tag): plain arithmetic, no window over data.
+
+The only windows run over the count table.  The checkpoint (in the shared
+folder) pins partition ids and tags for every later read, also after a lost
+executor.
 """
 
 from __future__ import annotations
@@ -34,20 +37,20 @@ def with_row_index(df: DataFrame, order_cols: list[str], group_cols: list[str] |
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
     checkpoint_root(spark)
-    # Partition ids must agree between the count branch and the numbering branch;
-    # the checkpoint pins them (and survives executor loss), where two planned
-    # range exchanges could sample different bounds from a reshuffled input.
-    ranged = df.repartitionByRange(n, *keys).withColumn("_rp", F.spark_partition_id()).checkpoint(eager=True)
-    counts = ranged.groupBy("_rp", *group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_rp", F.spark_partition_id())
+              .withColumn("_tag", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    counts = ranged.groupBy("_rp", *group_cols).agg(F.count(F.lit(1)).alias("_n"),
+                                                    F.min("_tag").alias("_first"))
     before = Window.partitionBy(*group_cols).orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         F.col("_rp").alias("_orp"),
         *[F.col(c).alias(f"_og_{c}") for c in group_cols],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"), "_first")
     cond = ranged["_rp"] == offsets["_orp"]
     for c in group_cols:
         cond = cond & ranged[c].eqNullSafe(offsets[f"_og_{c}"])
-    inside = Window.partitionBy("_rp", *group_cols).orderBy(*order_cols)
     return (ranged.join(offsets, cond, "inner")
-            .withColumn(index_col, F.col("_off") + F.row_number().over(inside) - 1)
-            .drop("_rp", "_orp", "_off", *[f"_og_{c}" for c in group_cols]))
+            .withColumn(index_col, F.col("_off") + F.col("_tag") - F.col("_first"))
+            .drop("_rp", "_orp", "_off", "_tag", "_first", *[f"_og_{c}" for c in group_cols]))
