@@ -55,3 +55,18 @@ def replace_load(df: DataFrame, schema: str, table: str, run_ts: str | dt.dateti
 def write_batches(batches: DataFrame, path: str) -> None:
     """K6: persist id batches as named parts (``part=N`` folders)."""
     batches.write.mode("overwrite").partitionBy("part").parquet(path)
+
+
+def replace_jdbc(df: DataFrame, url: str, table: str, run_ts: str | dt.datetime,
+                 properties: dict[str, str] | None = None, audit_col: str = AUDIT_COL,
+                 num_partitions: int | None = None) -> None:
+    """K2 + K5 into a relational database: full replace through Spark's JDBC writer.
+
+    ``truncate`` keeps the target's definition (grants, indexes) while replacing rows;
+    ``num_partitions`` bounds the number of concurrent connections.
+    """
+    out = with_audit(df, run_ts, audit_col)
+    if num_partitions:
+        out = out.coalesce(num_partitions)
+    (out.write.format("jdbc").option("url", url).option("dbtable", table).option("truncate", "true")
+     .options(**(properties or {})).mode("overwrite").save())
