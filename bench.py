@@ -37,6 +37,11 @@ HEADLINE = [
     "csv_roundtrip",
     "clean_vacancies",
     "clean_areas",
+    "search_counts",
+    "detail_lookup",
+    "employer_semi",
+    "dictionary_keys",
+    "area_parents",
 ]
 
 
