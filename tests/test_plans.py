@@ -52,3 +52,12 @@ def test_projections_do_not_shuffle(spark):
         plan = _plan(q(spark, SF_SMALL))
         assert "Exchange" not in plan, q.__name__
         assert "Python" not in plan and "ArrowEval" not in plan, q.__name__
+
+
+def test_command_line_lists_and_runs(spark, capsys):
+    from jobnest.__main__ import main
+    assert main(["queries"]) == 0
+    listed = capsys.readouterr().out
+    assert "vacancies_by_root_area" in listed and "clean_areas" in listed
+    assert main(["run", "area_roots", SF_SMALL, "--show", "2"]) == 0
+    assert "area_id" in capsys.readouterr().out
