@@ -5,6 +5,7 @@ from __future__ import annotations
 import copy
 
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from conftest import bodies
 from jobnest.operators.vacancies import VACANCY_COLUMNS, page_abort, quarantine, vacancy_project
@@ -123,3 +124,97 @@ def test_parse_runs_once(spark):
     good, _ = quarantine(vacancy_project(bodies(spark, DOCS)))
     plan = good.where("area IS NOT NULL")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+# ---- property test: random documents against a plain-Python statement of the rules ----
+MISSING = object()
+
+
+def _id_obj():
+    return st.sampled_from([MISSING, None, {}, {"id": "x1"}, {"id": None}])
+
+
+def _id_list():
+    return st.sampled_from([MISSING, None, [], [None], [{"id": "a"}], [{}], [{"id": "a"}, {"id": "b"}]])
+
+
+def _skills():
+    return st.sampled_from([MISSING, None, [], [{"name": "SQL"}], [{"name": "SQL"}, {"x": 1}],
+                            [None], [{"name": None}], [{"name": "a"}, {"name": "b"}]])
+
+
+def _langs():
+    return st.sampled_from([MISSING, None, [], [None], [{"id": "eng"}], [{"id": "eng", "level": None}],
+                            [{"id": "eng", "level": {}}], [{"id": "eng", "level": {"id": "b2"}}]])
+
+
+def _salary():
+    return st.sampled_from([MISSING, None, {}, {"from": 10.0}, {"from": 10.0, "to": 20.0}, {"to": 5.0}])
+
+
+DOC = st.fixed_dictionaries({
+    "area": _id_obj(), "salary": _salary(), "type": _id_obj(), "experience": _id_obj(),
+    "schedule": _id_obj(), "employment": _id_obj(), "key_skills": _skills(),
+    "professional_roles": _id_list(), "employer": st.sampled_from([MISSING, None, {}, {"id": "7"}]),
+    "working_days": _id_list(), "working_time_intervals": _id_list(), "working_time_modes": _id_list(),
+    "languages": _langs(),
+})
+
+
+def _expected(d):
+    """The original's access sequence: the first access that would raise names the reason."""
+    g = d.get
+    if g("area") is None:
+        return "area", None
+    for f in ("experience", "schedule", "employment"):
+        if g(f) is None:
+            return f, None
+    ks = g("key_skills")
+    if ks is None or any(k is None or k.get("name") is None for k in ks):   # DECISION: null name is bad too
+        return "key_skills", None
+    roles = g("professional_roles")
+    if not roles or roles[0] is None:
+        return "professional_roles", None
+    if g("employer") is None:
+        return "employer", None
+    for f in ("working_days", "working_time_intervals", "working_time_modes", "languages"):
+        v = g(f)
+        if v and v[0] is None:
+            return f, None
+    langs = g("languages")
+    if langs and langs[0].get("level") is None:
+        return "languages_level", None
+    sal = g("salary") or None
+
+    def first(f):
+        v = g(f)
+        return v[0].get("id") if v else None
+    emp = g("employer").get("id")
+    return None, {
+        "area": None, "salary_from": sal.get("from") if sal else None, "salary_to": sal.get("to") if sal else None,
+        "type": (g("type") or {}).get("id"), "experience": g("experience").get("id"),
+        "key_skills": [k["name"] for k in ks], "professional_roles": roles[0].get("id"),
+        "employer": int(emp) if emp is not None else None, "working_days": first("working_days"),
+        "working_time_intervals": first("working_time_intervals"),
+        "working_time_modes": first("working_time_modes"), "languages": first("languages"),
+        "languages_level": langs[0]["level"].get("id") if langs else None,
+    }
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(DOC, min_size=20, max_size=40))
+def test_rules_match_plain_python(spark, docs):
+    full = []
+    for i, d in enumerate(docs):
+        body = {k: v for k, v in d.items() if v is not MISSING}
+        body["id"] = str(i)
+        full.append(body)
+    got = {r["id"]: r for r in vacancy_project(bodies(spark, full)).collect()}
+    for i, d in enumerate(full):
+        reason, values = _expected(d)
+        r = got[i]
+        assert r["_bad_reason"] == reason, (d, r["_bad_reason"])
+        if values:
+            for k, v in values.items():
+                if k != "area":
+                    assert r[k] == v, (k, d, r[k])
