@@ -79,8 +79,8 @@ def flatten_struct_columns(schema: T.StructType, root: str, sep: str = ".") -> l
     def walk(st: T.StructType, path: list[str]) -> None:
         for f in st.fields:
             p = path + [f.name]
-            if isinstance(f.dataType, T.StructType) and f.dataType.fields:
-                walk(f.dataType, p)
+            if isinstance(f.dataType, T.StructType):
+                walk(f.dataType, p)          # an empty object contributes no column
             else:
                 ref = ".".join(f"`{x}`" for x in [root] + p)
                 out.append(F.col(ref).alias(sep.join(p)))

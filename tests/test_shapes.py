@@ -191,3 +191,50 @@ def test_json_array_response_as_records(spark, tmp_path_factory):
     assert [r["area_id"] for r in flat] == ["1", "2", "4", "3", "9"]
     cities = read_json_records(spark, f"{root}/metro", M.CITY)
     assert M.metro_stations(cities, None).count() == 2 and M.metro_lines(cities, None).count() == 2
+
+
+# ---- G6 against pandas.json_normalize on random lists of objects ----
+_LEAF = {"n": st.integers(-5, 5), "s": st.sampled_from(["a", "b", "c d"]), "l": st.lists(st.integers(0, 3), max_size=2)}
+
+
+@st.composite
+def _entries(draw):
+    # each key keeps one type, as in a real dictionary; any key may be missing from an entry
+    shape = {"k1": "n", "k2": "s", "k3": "l", "sub": {"x": "n", "deep": {"y": "s"}}}
+
+    def build(sh):
+        out = {}
+        for key, kind in sh.items():
+            if draw(st.booleans()):
+                out[key] = build(kind) if isinstance(kind, dict) else draw(_LEAF[kind])
+        return out
+    return [build(shape) for _ in range(draw(st.integers(1, 6)))]
+
+
+@settings(max_examples=8, deadline=None)
+@given(_entries())
+def test_dictionary_normalize_matches_json_normalize(spark, entries):
+    import math
+    import pandas as pd
+    expected = pd.json_normalize(entries)
+    out = D.dictionary_normalize(bodies(spark, [{"d": entries}]), "d")
+    assert set(out.columns) == set(expected.columns)
+    if not out.columns:     # no field anywhere: pandas reports no rows, Spark one empty row per entry
+        return
+    got = sorted([tuple(sorted(r.asDict().items())) for r in out.collect()], key=repr)
+
+    def norm(v):
+        if isinstance(v, float) and math.isnan(v):
+            return None
+        if isinstance(v, float) and v.is_integer():
+            return int(v)
+        return v
+    want = []
+    for rec in expected.to_dict("records"):
+        row = {}
+        for c in out.columns:
+            v = rec.get(c)
+            v = json.dumps(v, separators=(",", ":")) if isinstance(v, list) else norm(v)
+            row[c] = v
+        want.append(tuple(sorted(row.items())))
+    assert got == sorted(want, key=repr)
