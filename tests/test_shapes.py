@@ -238,3 +238,42 @@ def test_dictionary_normalize_matches_json_normalize(spark, entries):
             row[c] = v
         want.append(tuple(sorted(row.items())))
     assert got == sorted(want, key=repr)
+
+
+# ---- G2/G3/A1 against the original's loops on random cities ----
+@st.composite
+def _cities(draw):
+    cities = []
+    for c in range(draw(st.integers(1, 4))):
+        lines = []
+        for _ in range(draw(st.integers(0, 3))):
+            lid = draw(st.sampled_from(["1", "01", "2", "10"]))
+            stations = [{"id": f"{lid}.{draw(st.integers(0, 99))}", "name": "s", "lat": 1.0, "lng": 2.0,
+                         "order": draw(st.integers(0, 5))} for _ in range(draw(st.integers(0, 3)))]
+            lines.append({"id": lid, "name": draw(st.sampled_from(["L", "M"])), "hex_color": "F00",
+                          "stations": stations})
+        cities.append({"id": str(c), "lines": lines})
+    return cities
+
+
+def _expected_metro(cities):
+    seen, lines, stations = set(), [], []
+    for city in cities:
+        for line in city["lines"]:
+            row = (line["id"], city["id"], line["name"], line["hex_color"])
+            if row not in seen:                      # distinct on the text values, then the cast
+                seen.add(row)
+                lines.append((int(row[0]), int(row[1]), row[2], row[3]))
+            for s in line["stations"]:
+                stations.append((int(s["id"].split(".")[1]), int(line["id"]), s["order"]))
+    return sorted(lines), sorted(stations)
+
+
+@settings(max_examples=8, deadline=None)
+@given(_cities())
+def test_metro_matches_the_loops(spark, cities):
+    b = bodies(spark, cities)
+    lines = sorted(tuple(r) for r in M.metro_lines(b).collect())
+    stations = sorted((r["metro_station_id"], r["metro_line_id"], r["order_station"])
+                      for r in M.metro_stations(b).collect())
+    assert (lines, stations) == _expected_metro(cities)
