@@ -73,11 +73,15 @@ def main() -> None:
     landing.land_all(spark, sf_dir)
     stages.list_page_bodies(spark, sf_dir)
     timings["land_fixtures"] = round(time.perf_counter() - t0, 3)
+    errors: dict[str, str] = {}
     for name in names:
         sc.setJobGroup(name, name)
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            timings[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # one failing query must not lose the others' timings
+            errors[name] = repr(e)[:300]
 
     n_orders = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -89,6 +93,8 @@ def main() -> None:
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
     }
+    if errors:
+        out["errors"] = errors
     if "vacancy_project" in timings and timings["vacancy_project"] > 0:
         out["vacancy_rows_per_sec"] = round(n_orders / timings["vacancy_project"], 1)
         out["reference_vacancy_rows_per_sec_ceiling"] = 15.2
