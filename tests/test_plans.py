@@ -61,3 +61,16 @@ def test_command_line_lists_and_runs(spark, capsys):
     assert "vacancies_by_root_area" in listed and "clean_areas" in listed
     assert main(["run", "area_roots", SF_SMALL, "--show", "2"]) == 0
     assert "area_id" in capsys.readouterr().out
+
+
+def test_aggregations_are_two_phase(spark):
+    """Every grouping pre-aggregates map-side: a partial aggregate sits below the exchange."""
+    import re
+    for q in (Q.vacancies_by_root_area, Q.search_counts, Q.dictionary_keys, Q.employer_ids, Q.metro_lines):
+        plan = _plan(q(spark, SF_SMALL))
+        lines = plan.splitlines()
+        exch = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+        assert exch, q.__name__
+        below = "\n".join(lines[exch[0]:])
+        assert re.search(r"(HashAggregate|ObjectHashAggregate|SortAggregate)\(keys?=\[[^\]]*\], functions=\[(partial_|\])", below), \
+            q.__name__
