@@ -115,3 +115,18 @@ def test_row_index_property(spark, sizes, hot, ranges):
         pairs = sorted(got[g], key=lambda x: x[1])
         assert [i for _, i in pairs] == list(range(len(ks)))
         assert sorted(k for k, _ in pairs) == ks and [k for k, _ in pairs] == sorted(k for k, _ in pairs)
+
+
+def test_batches_persist_as_named_parts(spark):
+    """K6: one folder per part; the last part index comes back from the data."""
+    import os
+    from jobnest.session import local_path, work_root
+    from jobnest.sinks.tables import write_batches
+    ids = spark.range(1200).selectExpr("id * 2 AS id")
+    path = work_root(spark, "t", "batches", unique=True)
+    write_batches(E.employer_batches(ids, 500), path)
+    parts = sorted(d for d in os.listdir(local_path(path)) if d.startswith("part="))
+    assert parts == ["part=0", "part=1", "part=2"]
+    back = spark.read.parquet(path)
+    assert back.where("part = 2").count() == 200
+    assert E.last_part(back).first()["last_part"] == 2
