@@ -211,7 +211,7 @@ def area_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + S5: whole documents through the ``;`` staging text and back."""
     docs = L.read_table(spark, sf_dir, "documents")
-    path = work_root(spark, "staging", "documents", unique=True)
+    path = work_root(spark, "scratch", "staging", "documents", unique=True)
     append_staging(docs, path)
     return read_staging(spark, path, docs.schema)
 
@@ -231,7 +231,7 @@ STAGED_SCHEMA = ("id BIGINT, name STRING, description STRING, key_skills STRING,
 def csv_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4 + U1: two daily batches appended to the staging text, then everything loaded."""
     _, batches = _staged_vacancies(spark, sf_dir)
-    path = work_root(spark, "staging", "vacancies", unique=True)
+    path = work_root(spark, "scratch", "staging", "vacancies", unique=True)
     for b in batches:
         append_staging(b, path)
     return accumulated(spark, path, STAGED_SCHEMA)
@@ -241,7 +241,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I1 (+P1, X2): landed detail files picked up day by day by an availableNow stream,
     projected per micro-batch into good and quarantined rows."""
     bodies = L.landed(spark, sf_dir, "vacancies").select("url", "body")
-    root = work_root(spark, "ingest", unique=True)
+    root = work_root(spark, "scratch", "ingest", unique=True)
     published = F.get_json_object("body", "$.published_at")
     batches = [bodies.where(published < F.lit("1998")), bodies.where(~(published < F.lit("1998")))]
     for i, batch in enumerate(batches):

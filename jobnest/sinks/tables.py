@@ -45,7 +45,10 @@ def replace_load(df: DataFrame, schema: str, table: str, run_ts: str | dt.dateti
     ensure_schema(spark, schema)
     obs = Observation(f"load_{schema}_{table}")
     out = with_audit(df, run_ts, audit_col).observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.mode("overwrite").format("parquet")
+    # an explicit path under the schema's location: the load also works when a
+    # new session (fresh catalogue) finds the files of an earlier run there
+    location = spark.catalog.getDatabase(schema).locationUri.rstrip("/") + f"/{table}"
+    writer = out.write.mode("overwrite").format("parquet").option("path", location)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(f"`{schema}`.`{table}`")
