@@ -61,3 +61,29 @@ def test_results_exact_after_task_retries():
     code = SCRIPT.replace("ROOT", repr(ROOT)).replace("{CKPT}", ckpt).replace("CKPT", repr(ckpt))
     proc = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=900)
     assert "RESULT OK" in proc.stdout, proc.stdout[-2000:] + proc.stderr[-3000:]
+
+
+LOAD = r'''
+import sys
+sys.path.insert(0, __ROOT__)
+from pyspark.sql import SparkSession
+from jobnest.sinks.tables import replace_load
+from jobnest.sources.catalog import read_table
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", __SHARED__).getOrCreate())
+spark.sparkContext.setLogLevel("OFF")
+replace_load(spark.range(__N__).toDF("k"), "raw", "t", "2024-04-23 05:05:00")
+print("ROWS", read_table(spark, "raw", "t").count())
+'''
+
+
+def test_full_replace_load_across_sessions():
+    """A new session (fresh catalogue) replaces the files an earlier session left in the shared folder."""
+    shared = tempfile.mkdtemp(prefix="jobnest-shared-")
+    outs = []
+    for n in (3, 5):
+        code = (LOAD.replace("__ROOT__", repr(ROOT)).replace("__SHARED__", repr(shared))
+                .replace("__N__", str(n)))
+        proc = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600)
+        outs.append(proc.stdout)
+        assert f"ROWS {n}" in proc.stdout, proc.stdout[-1000:] + proc.stderr[-2000:]
