@@ -57,6 +57,7 @@ def main() -> None:
     event_dir = tempfile.mkdtemp(prefix="jobnest-bench-events-")
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app_name="jobnest-bench",
                         extra={"spark.driver.memory": "20g", "spark.eventLog.enabled": "true",
+                               **json.loads(os.environ.get("BENCH_EXTRA_CONF", "{}")),
                                "spark.eventLog.dir": f"file://{event_dir}",
                                "spark.eventLog.compress": "false"})
     sc = spark.sparkContext

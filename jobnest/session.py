@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce post-shuffle partitions to the advisory size, not to many tiny tasks
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Broadcast only what is provably small; AQE may still convert at runtime
     # from measured shuffle sizes.
