@@ -261,7 +261,13 @@ SELECT 'metro_stations', count(*) FROM lineitem l JOIN (
   SELECT o_orderkey FROM orders UNION ALL SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') c
   ON l.l_orderkey = c.o_orderkey
 UNION ALL
-SELECT 'vacancies', count(*) FROM good"""),
+SELECT 'vacancies', count(*) FROM good
+UNION ALL
+SELECT 'employers', count(*) FROM emp_ids
+UNION ALL
+SELECT 'orders', count(*) FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+UNION ALL
+SELECT lower(c_mktsegment), count(*) FROM customer GROUP BY lower(c_mktsegment)"""),
     "clean_vacancies": _q("""
 SELECT id, name, area, employer, salary_from,
        CAST(o_orderdate AS TIMESTAMP) - INTERVAL 3 HOUR AS published_ts,

@@ -304,14 +304,21 @@ def clean_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S7 + K2: load the reference-data and vacancy raw tables, then list them with row counts."""
+    """S7 + K2 + K3: the whole raw load (areas, metro, dictionaries, vacancies, employers), then
+    every raw table listed with its row count."""
     schema = "raw_" + work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
     flat = S.area_nodes(spark, sf_dir)
     replace_load(TR.node_rows(flat), schema, "areas", S.RUN_TS)
     replace_load(M.metro_lines(L.landed(spark, sf_dir, "metro")), schema, "metro_lines", S.RUN_TS)
     replace_load(M.metro_stations(L.landed(spark, sf_dir, "metro")), schema, "metro_stations", S.RUN_TS,
                  audit_col=STATION_AUDIT_COL)
-    replace_load(S.good_vacancies(spark, sf_dir).drop("url"), schema, "vacancies", S.RUN_TS)
+    good = S.good_vacancies(spark, sf_dir)
+    replace_load(good.drop("url"), schema, "vacancies", S.RUN_TS)
+    replace_load(E.employer_lookup(E.employer_ids(good), L.landed(spark, sf_dir, "employers"))
+                 .drop("requested_id"), schema, "employers", S.RUN_TS)
+    bodies = L.landed(spark, sf_dir, "dictionaries")
+    for name in [r["name"] for r in D.dictionary_keys(bodies).select("name").collect()]:   # a handful
+        replace_load(D.dictionary_normalize(bodies, name), schema, safe_name(name), S.RUN_TS)
     parts = [read_table(spark, schema, t).agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(t).alias("table_name"), "rows") for t in list_tables(spark, schema)]
     return reduce(DataFrame.unionByName, parts)
