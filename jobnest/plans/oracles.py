@@ -267,6 +267,21 @@ SELECT 'employers', count(*) FROM emp_ids
 UNION ALL
 SELECT 'orders', count(*) FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 UNION ALL
+SELECT lower(c_mktsegment), count(*) FROM customer GROUP BY lower(c_mktsegment)"""),
+    "clean_tables": _q("""
+SELECT 'areas' AS table_name, count(*) AS rows FROM (SELECT DISTINCT area_id, parent_id, name FROM nodes)
+UNION ALL
+SELECT 'metro_lines', count(*) FROM orders
+UNION ALL
+SELECT 'metro_stations', count(*) FROM (
+  SELECT DISTINCT l_partkey, l_orderkey, l_linenumber, l_quantity, l_discount FROM lineitem)
+UNION ALL
+SELECT 'vacancies', count(*) FROM good
+UNION ALL
+SELECT 'employers', count(*) FROM emp WHERE id IN (SELECT id FROM emp_ids)
+UNION ALL
+SELECT 'orders', count(*) FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+UNION ALL
 SELECT lower(c_mktsegment), count(*) FROM customer GROUP BY lower(c_mktsegment)"""),
     "clean_vacancies": _q("""
 SELECT id, name, area, employer, salary_from,

@@ -303,12 +303,9 @@ def clean_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      F.col("depth").cast("bigint").alias("depth"), "root_id", "path")
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S7 + K2 + K3: the whole raw load (areas, metro, dictionaries, vacancies, employers), then
-    every raw table listed with its row count."""
-    schema = "raw_" + work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
-    flat = S.area_nodes(spark, sf_dir)
-    replace_load(TR.node_rows(flat), schema, "areas", S.RUN_TS)
+def _raw_load(spark: SparkSession, sf_dir: str, schema: str) -> None:
+    """The whole raw load: areas, metro, dictionaries, vacancies, employers."""
+    replace_load(TR.node_rows(S.area_nodes(spark, sf_dir)), schema, "areas", S.RUN_TS)
     replace_load(M.metro_lines(L.landed(spark, sf_dir, "metro")), schema, "metro_lines", S.RUN_TS)
     replace_load(M.metro_stations(L.landed(spark, sf_dir, "metro")), schema, "metro_stations", S.RUN_TS,
                  audit_col=STATION_AUDIT_COL)
@@ -319,11 +316,32 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = L.landed(spark, sf_dir, "dictionaries")
     for name in [r["name"] for r in D.dictionary_keys(bodies).select("name").collect()]:   # a handful
         replace_load(D.dictionary_normalize(bodies, name), schema, safe_name(name), S.RUN_TS)
+
+
+def _table_counts(spark: SparkSession, schema: str) -> DataFrame:
     parts = [read_table(spark, schema, t).agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(t).alias("table_name"), "rows") for t in list_tables(spark, schema)]
     return reduce(DataFrame.unionByName, parts)
 
 
+def raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + K2 + K3: the whole raw load, then every raw table listed with its row count."""
+    schema = "raw_" + work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
+    _raw_load(spark, sf_dir, schema)
+    return _table_counts(spark, schema)
+
+
+def clean_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + C2 over every raw table (flows.clean_all), then every clean table with its row count."""
+    from jobnest.plans.flows import RunConfig, clean_all
+    suffix = work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
+    cfg = RunConfig(run_date="2024-04-23", run_ts=S.RUN_TS, raw_schema=f"raw_{suffix}",
+                    clean_schema=f"clean_{suffix}")
+    _raw_load(spark, sf_dir, cfg.raw_schema)
+    clean_all(spark, cfg)
+    return _table_counts(spark, cfg.clean_schema)
+
+
 QUERIES: dict[str, Query] = {
     "vacancies_by_root_area": vacancies_by_root_area,
     "vacancy_project": vacancy_project,
@@ -361,4 +379,5 @@ QUERIES: dict[str, Query] = {
     "clean_vacancies": clean_vacancies,
     "clean_employers": clean_employers,
     "clean_areas": clean_areas,
+    "clean_tables": clean_tables,
 }
