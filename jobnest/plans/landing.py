@@ -285,7 +285,11 @@ def landed(spark: SparkSession, sf_dir: str, name: str, builder: Builder | None
         # partitioning the builder ended with (a broadcast join keeps the
         # partitioning of one small scan)
         n = max(1, spark.sparkContext.defaultParallelism)   # one file per core
-        build(spark, sf_dir).repartition(n).write.mode("overwrite").parquet(path)
+        df = build(spark, sf_dir)
+        # hash on the key columns: deterministic on retry without the sort a
+        # round-robin repartition would need over whole documents
+        keys = [c for c in df.columns if c not in ("body", "items")]
+        df.repartition(n, *keys).write.mode("overwrite").parquet(path)
         done[name] = path
     return spark.read.parquet(done[name])
 
