@@ -14,12 +14,18 @@ def _c(col: str | Column) -> Column:
 def strict_long(col: str | Column, what: str = "value") -> Column:
     """Text -> integer that fails the job on bad text *and* on NULL.
 
-    ANSI ``cast`` already raises on bad text; NULL passes a cast, so an
-    ``assert_true`` guards it (the reference's ``astype(int)`` raises on both).
+    ANSI ``cast`` already raises on bad text; NULL passes a cast, so NULL is
+    turned into an error first (the reference's ``astype(int)`` raises on both).
+    ``CASE WHEN c IS NULL THEN raise_error`` survives constant folding.
     """
     c = _c(col)
-    checked = F.when(F.assert_true(c.isNotNull(), F.lit(f"NULL {what} cannot be cast to an integer")).isNull(), c)
-    return checked.cast("bigint")
+    return require(c, f"NULL {what} cannot be cast to an integer").cast("bigint")
+
+
+def require(col: str | Column, message: str) -> Column:
+    """The value itself, or a job failure with ``message`` when it is NULL (X3 fail-fast)."""
+    c = _c(col)
+    return F.when(c.isNull(), F.raise_error(F.lit(message))).otherwise(c)
 
 
 def strict_int(col: str | Column, what: str = "value") -> Column:
