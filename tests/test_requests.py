@@ -130,3 +130,22 @@ def test_batches_persist_as_named_parts(spark):
     back = spark.read.parquet(path)
     assert back.where("part = 2").count() == 200
     assert E.last_part(back).first()["last_part"] == 2
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=450), min_size=1, max_size=8))
+def test_page_plan_property(spark, founds):
+    """G4 + F2 against Python: default pages 0..pages-1; reference 1..pages when pages > 1, else 0."""
+    rows = [(i, f, -(-f // 100)) for i, f in enumerate(founds)]
+    searches = spark.createDataFrame(rows, "area long, found long, pages long")
+    for mode in ("default", "reference"):
+        got = sorted((r["area"], r["page"]) for r in R.plan_requests(searches, mode).collect())
+        want = []
+        for area, found, pages in rows:
+            if found == 0:
+                continue
+            if mode == "default":
+                want += [(area, p) for p in range(pages)]
+            else:
+                want += [(area, p) for p in (range(1, pages + 1) if pages > 1 else [0])]
+        assert got == sorted(want), mode
