@@ -212,6 +212,8 @@ FROM emp_ids"""),
 SELECT CAST((row_number() OVER (ORDER BY id) - 1) // 500 AS BIGINT) AS part,
        CAST((row_number() OVER (ORDER BY id) - 1) % 500 AS BIGINT) AS pos, id
 FROM kept"""),
+    "employer_last_part": _q("""
+SELECT CAST((count(*) - 1) // 500 AS BIGINT) AS last_part, count(*) AS n_ids FROM emp_ids"""),
     "search_counts": _q("SELECT root_area, term, day, found, pages FROM counts"),
     "search_groups": """
 SELECT c_custkey * 10 + 1 AS area, t.term, replace(t.term, ' ', '_') AS group_name

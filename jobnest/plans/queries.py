@@ -157,6 +157,12 @@ def employer_batches_drop_last(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("part").cast("bigint").alias("part"), F.col("pos").cast("bigint").alias("pos"), "id")
 
 
+def employer_last_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: index of the last batch of 500 employer ids, and how many ids were batched."""
+    batches = E.employer_batches(E.employer_ids(S.good_vacancies(spark, sf_dir)), E.BATCH_SIZE)
+    return batches.agg(F.max("part").cast("bigint").alias("last_part"), F.count(F.lit(1)).alias("n_ids"))
+
+
 # ------------------------------------------------------------------ search requests
 def search_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S9 + F1 + A2: found and pages of every (root area, term, day) search."""
@@ -362,6 +368,7 @@ QUERIES: dict[str, Query] = {
     "employer_lookup": employer_lookup,
     "employer_batches": employer_batches,
     "employer_batches_drop_last": employer_batches_drop_last,
+    "employer_last_part": employer_last_part,
     "search_counts": search_counts,
     "search_groups": search_groups,
     "search_filter": search_filter,
