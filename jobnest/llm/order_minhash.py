@@ -57,10 +57,10 @@ def elements(text: Column) -> Column:
 
 
 def fingerprint(text: Column) -> Column:
-    """array<long> of SKETCHES values; zeros for a text without words."""
+    """array<int> of SKETCHES values; zeros for a text without words."""
     top = lambda x: F.shiftrightunsigned(x["v"], 64 - BITS)
     few = let(elements(text), lambda s: F.filter(s, lambda x, i: (i < 2) | (top(x) != top(F.get(s, i - 2)))))
-    ordered = lambda x, y: F.when(y.isNull(), F.xxhash64(x["v"])).when(x["pos"] < y["pos"], F.xxhash64(x["v"], y["v"])).otherwise(F.xxhash64(y["v"], x["v"]))
+    ordered = lambda x, y: F.when(y.isNull(), F.hash(x["v"])).when(x["pos"] < y["pos"], F.hash(x["v"], y["v"])).otherwise(F.hash(y["v"], x["v"]))
     # in the order of the signed hashes: the classes 16, ..., 31, 0, ..., 15; XOR with the sign bit compares unsigned
     keys = [((j + SKETCHES // 2) % SKETCHES << 64 - BITS) ^ 1 << 63 for j in range(SKETCHES)]
     keys = F.array(*[F.lit(k - 2**64 if k >= 2**63 else k) for k in keys])
@@ -74,14 +74,14 @@ def fingerprint(text: Column) -> Column:
             return let(near, lambda n: ordered(F.get(n, F.lit(0)), F.get(n, F.lit(1))))
 
         some = F.transform(keys, nearest)
-        none = F.array_repeat(F.lit(0).cast("long"), SKETCHES)
+        none = F.array_repeat(F.lit(0), SKETCHES)
         return F.when(F.size(s) == 2 * SKETCHES, full).when(F.size(s) > 0, some).otherwise(none)
 
     return let(few, sketch)
 
 
 def written_out(sketches: Column) -> Column:
-    return F.array_join(F.transform(sketches, lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
+    return F.array_join(F.transform(sketches, lambda x: F.lower(F.lpad(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
