@@ -480,7 +480,7 @@ def test_order_minhash(spark, edge):
     for r in rows:
         nxt = following[r.doc_id, by_id[r.doc_id]]
         if nxt in prints:
-            pairs = [(prints[by_id[r.doc_id]][i:i + 8], prints[nxt][i:i + 8]) for i in range(0, 8 * order_minhash.SKETCHES, 16)]
+            pairs = [(prints[by_id[r.doc_id]][i:i + 8], prints[nxt][i:i + 8]) for i in range(0, 8 * order_minhash.SKETCHES, 8)]
             assert r.near_next == sum(a == b for a, b in pairs) / order_minhash.SKETCHES
 
 
