@@ -8,9 +8,9 @@ band; documents that agree in a band share a bucket.
 Documents with equal sets are one *class*, found by a 128-bit digest of the set, and only class representatives go on.
 In every bucket all members are compared to one centre (a star), never all with all; a comparison is made on the full
 sets of the two texts.  Rounds follow: linked classes are merged into components, buckets that lie in one component are
-settled, and in the others the next centre is taken from the component that comes last, until ``STAR_ROUNDS`` are done;
-a centre has met all its bucket and leaves it.  What is still unsettled is compared exactly: every remaining pair of
-different components in a bucket whose set sizes allow a link.  So no link inside a bucket is lost to the stars.
+settled, and the others get another centre, until ``STAR_ROUNDS`` are done; a centre has met all its bucket and leaves
+it.  What is still unsettled then is compared exactly, in blocks of bounded size: members of the smaller components of
+a bucket with all others.  So no link inside a bucket is lost to the stars.
 
 Two sets with similarity 0.8 miss each other in all 32 bands with a probability of about 5e-8.
 
@@ -34,7 +34,9 @@ from .components import components
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
 PERCENT = 80
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
+#: Members of a bucket that are compared at a time, with as many others.
+BLOCK = 1024
 
 _words: dict[bytes, int] = {}
 
@@ -193,32 +195,93 @@ def _texts(own: DataFrame, picked: DataFrame, k: int) -> DataFrame:
 
 def _resolve(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, comp) of all nodes in ``open_`` (bucket, node, n, comp)."""
-    fits = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
-    label = written(open_.select("node", F.col("node").alias("comp")).distinct(), "labels")
+    label = written(texts.select(F.col("id").alias("node"), F.col("id").alias("comp")), "labels")
     for turn in range(STAR_ROUNDS + 1):
+        if open_.isEmpty():
+            break
         if turn < STAR_ROUNDS:
             # the centre: of the component that comes last the member that comes first
-            rank = F.struct("comp", F.xxhash64("node", F.lit(1)).alias("h"), "node", "n")
-            centre = open_.groupBy("bucket").agg(F.max(rank).alias("c"))
+            centre = open_.groupBy("bucket").agg(F.max(F.struct("comp", F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n")).alias("c"))
             met = open_.join(centre, "bucket")
-            pairs = met.filter((F.col("comp") != F.col("c.comp")) & fits(F.col("n"), F.col("c.n"))).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
-            rest = met.filter(F.col("node") != F.col("c.node")).drop("c")
+            fits = F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * percent
+            pairs = met.filter((F.col("comp") != F.col("c.comp")) & fits).select(F.least("c.node", "node").alias("a"), F.greatest("c.node", "node").alias("b"))
+            links = linked(pairs.distinct(), texts, k, percent)
+            open_ = met.filter(F.col("node") != F.col("c.node")).drop("c")
         else:
-            other = open_.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-            pairs = open_.join(other, "bucket").filter((F.col("node") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & fits(F.col("n"), F.col("n_b"))).select(F.col("node").alias("a"), "b")
-            rest = None
-        links = written(linked(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts, k, percent), "links")
+            links = linked_in_blocks(open_, texts, k, percent)
+        links = written(links, "links")
         if not links.isEmpty():
             at = lambda c: label.select(F.col("node").alias(c), F.col("comp").alias(f"_{c}"))  # noqa: B023,E731
             merged = components(links.join(at("a"), "a").join(at("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
             label = written(label.join(merged.select(F.col("id").alias("comp"), "root"), "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "labels")
-        if rest is None:
-            return label
-        rest = rest.drop("comp").join(label, "node")
-        spread = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("bucket")
-        open_ = written(rest.join(spread, "bucket").select("bucket", "node", "n", "comp"), "buckets")
-        if open_.isEmpty():
-            return label
+        if turn < STAR_ROUNDS:
+            rest = open_.drop("comp").join(label, "node")
+            spread = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("bucket")
+            open_ = written(rest.join(spread, "bucket").select("bucket", "node", "n", "comp"), "buckets")
+    return label
+
+
+def linked_in_blocks(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) that join all components of a bucket that any of its pairs joins.
+
+    A bucket's members fall in blocks of about ``BLOCK``; a task holds two blocks at a time, whatever the bucket's size.
+    Shared shingles are counted through the blocks' inverted lists, only for members outside the largest component, and
+    what comes out is a spanning forest, never all pairs."""
+    sizes = open_.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = open_.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("meeting"), "node", "comp")
+    rows = rows.join(texts.withColumnRenamed("id", "node"), "node").select("meeting", "node", "comp", "text").repartition("meeting").sortWithinPartitions("meeting")
+
+    def run(batches):
+        import pyarrow as pa
+
+        last, members = None, []
+
+        def flush():
+            pairs = _forest(members, percent)
+            return pa.RecordBatch.from_pydict({"a": [p[0] for p in pairs], "b": [p[1] for p in pairs]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+        for batch in batches:
+            meeting, node, comp, text = batch.columns
+            for m, i, c, t in zip(meeting.to_pylist(), node.to_pylist(), comp.to_pylist(), text.cast(pa.binary())):
+                if m != last and members:
+                    yield flush()
+                    members = []
+                last = m
+                members.append((i, c, shingle_hashes(t.as_py(), k)))
+        if members:
+            yield flush()
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+def _forest(members: list[tuple[int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
+    """Links between members (node, component, shingles) of different components that connect all they can."""
+    comps, comp = np.unique(np.array([c for _, c, _ in members]), return_inverse=True)
+    if len(comps) < 2:
+        return []
+    size = np.array([len(h) for _, _, h in members])
+    owner = np.repeat(np.arange(len(members)), size)
+    _, token = np.unique(np.concatenate([h for _, _, h in members]), return_inverse=True)
+    by_token = np.argsort(token, kind="stable")
+    lists = owner[by_token]
+    ends = np.cumsum(np.bincount(token))
+    begins = np.concatenate(([0], ends[:-1]))
+    offsets = np.concatenate(([0], np.cumsum(size)))
+    root = np.arange(len(comps))
+    out = []
+    largest = np.argmax(np.bincount(comp))
+    for i in np.flatnonzero(comp != largest).tolist():
+        mine = token[offsets[i]: offsets[i + 1]]
+        lengths = ends[mine] - begins[mine]
+        places = np.repeat(begins[mine] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        both = np.bincount(lists[places], minlength=len(members))
+        for j in np.flatnonzero((100 * both >= percent * (size[i] + size - both)) & (comp != comp[i])).tolist():
+            if root[comp[i]] != root[comp[j]]:
+                root[root == root[comp[j]]] = root[comp[i]]
+                out.append((members[i][0], members[j][0]))
+    return out
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -> DataFrame:

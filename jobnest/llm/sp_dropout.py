@@ -1,7 +1,7 @@
 """SentencePiece segmentation with seeded merge-dropout, and its decoding.
 
-A text gets the model's leading blank, blanks become U+2581, and it is cut before runs of blanks, which no piece of the
-model crosses.  In each unit an agenda holds the candidate merges (neighbours whose join is a piece), the best score
+A text gets the model's leading blank, blanks become U+2581, and it is cut where no piece of the model crosses: before
+runs of blanks and around ASCII characters that no piece joins to others.  In each unit an agenda holds the candidate merges (neighbours whose join is a piece), the best score
 first, then the leftmost.  A candidate that comes up is skipped for good when the keyed hash of its place (start, middle,
 end), the unit and the unit's *variant* falls below ``dropout``; else its two symbols become one.  What is left are
 pieces, or the bytes of characters that are none.  With ``dropout`` 0 this is the model's own segmentation.
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -29,8 +30,7 @@ DROPOUT, SEED, VARIANTS = 0.1, 29, 4
 BLANK = "▁"
 #: Stands for a U+2581 of the text itself, which must not become a blank: a lone surrogate, which no text can hold.
 _LITERAL = "\ud800"
-_UNIT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-_CACHE = 300_000
+_CACHE = 800_000
 _MASK = 2**64 - 1
 _models: dict[tuple, Segmenter] = {}
 
@@ -55,6 +55,17 @@ class Segmenter:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 self.rank[piece], self.id[piece] = -sp.get_score(i), i
                 self.raw[i] = piece.replace(BLANK, " ").encode()
+        # cuts that no piece crosses: around ASCII characters that are joined to nothing, and before ASCII marks that
+        # no piece has behind anything but blanks and other such marks
+        pairs = {pair for p in self.id for pair in zip(p, p[1:])}
+        joined = {c for pair in pairs for c in pair}
+        alone = {c for c in map(chr, range(128)) if c not in joined}
+        marks = {c for c in map(chr, range(128)) if c in joined and not c.isalnum()}
+        while late := {c for x, c in pairs if c in marks and x != BLANK and x not in marks}:
+            marks -= late
+        alone, mark = re.escape("".join(sorted(alone))), re.escape("".join(sorted(marks)))
+        any_mark = f"[{mark}]" if mark else "(?!)"
+        self.unit = re.compile(f"{BLANK}*{any_mark}*[^{BLANK}{alone}{mark}]+|{BLANK}*{any_mark}+|{BLANK}+|.", re.S)
         self.below = int(dropout * 2**64)
         self.seed, self.variants = seed, variants if dropout else 1
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
@@ -68,45 +79,44 @@ class Segmenter:
             _models[key] = cls(*key)
         return _models[key]
 
-    def _skipped(self, key: int, start: int, middle: int, end: int) -> bool:
-        x = (key + start * 0x9E3779B97F4A7C15 + middle * 0xC2B2AE3D27D4EB4F + end * 0x165667B19E3779F9) & _MASK
-        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _MASK
-        x = (x ^ x >> 27) * 0x94D049BB133111EB & _MASK
-        return (x ^ x >> 31) < self.below
-
     def pieces(self, unit: str, variant: int) -> list[str]:
         """The agenda: symbols are named by their first character's place."""
         n = len(unit)
-        symbol: list[str | None] = list(unit)
-        end = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
         rank = self.rank.get
-        agenda = []
-        for i in range(n - 1):
-            r = rank(unit[i: i + 2])
-            if r is not None:
-                agenda.append((r, i, i + 1, i + 2))
+        agenda = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := rank(unit[i: i + 2])) is not None]
+        if not agenda:
+            return list(unit)
         heapq.heapify(agenda)
-        key = xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + variant) if self.below else 0
+        end = list(range(1, n + 1))  # 0 where a symbol has been joined to the one before it
+        before = list(range(-1, n - 1))
+        below = self.below
+        key = xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + variant) if below else 0
+        pop, push = heapq.heappop, heapq.heappush
         while agenda:
-            _, a, b, stop = heapq.heappop(agenda)
+            _, a, b, stop = pop(agenda)
             # stale, if one of the two symbols has grown or gone
-            if symbol[a] is None or b >= n or symbol[b] is None or end[a] != b or end[b] != stop:
+            if end[a] != b or end[b] != stop:
                 continue
-            if self.below and self._skipped(key, a, b, stop):
-                continue
-            symbol[a], symbol[b], end[a] = unit[a:stop], None, stop
+            if below:
+                x = (key ^ (a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F + stop * 0x165667B19E3779F9)) * 0xBF58476D1CE4E5B9 & _MASK
+                if (x ^ x >> 31) * 0x94D049BB133111EB & _MASK < below:
+                    continue
+            end[a], end[b] = stop, 0
             if stop < n:
                 before[stop] = a
                 r = rank(unit[a: end[stop]])
                 if r is not None:
-                    heapq.heappush(agenda, (r, a, stop, end[stop]))
-            left = before[a]
-            if left >= 0:
+                    push(agenda, (r, a, stop, end[stop]))
+            if a:
+                left = before[a]
                 r = rank(unit[left:stop])
                 if r is not None:
-                    heapq.heappush(agenda, (r, left, a, stop))
-        return [s for s in symbol if s is not None]
+                    push(agenda, (r, left, a, stop))
+        out, i = [], 0
+        while i < n:
+            out.append(unit[i: end[i]])
+            i = end[i]
+        return out
 
     def _ids(self, unit: str, variant: int) -> bytes:
         old = self.older[variant].get(unit)
@@ -118,7 +128,7 @@ class Segmenter:
                     out.append(i)
                 else:
                     out += [self.bytes_id[b] for c in piece for b in (BLANK if c == _LITERAL else c).encode()]
-            old = np.array(out, "<u4").tobytes()
+            old = struct.pack(f"<{len(out)}I", *out)
         known = self.known[variant]
         if len(unit) <= 64:
             if len(known) >= _CACHE // self.variants:
@@ -130,7 +140,7 @@ class Segmenter:
     def encode(self, text: str, doc_key: int) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
-        units = _UNIT.findall(BLANK + text.replace(BLANK, _LITERAL).replace(" ", BLANK))
+        units = self.unit.findall(BLANK + text.replace(BLANK, _LITERAL).replace(" ", BLANK))
         if self.variants == 1:
             which = [0] * len(units)
         else:

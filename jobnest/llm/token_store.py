@@ -37,13 +37,14 @@ _HEAD = struct.Struct("<IIHHI")
 def pack_block(ids: np.ndarray) -> bytes:
     low = int(ids.min())
     rest = (ids - np.uint32(low)).astype(np.uint32)
-    need = np.sort(rest)[min(len(rest) - 1, int(PERCENTILE * len(rest)))]
+    at = min(len(rest) - 1, int(PERCENTILE * len(rest)))
+    need = np.partition(rest, at)[at]
     width = int(need).bit_length()
     over = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
     values = rest[over]
     rest[over] = 0
-    bits = (rest[:, None] >> np.arange(width, dtype=np.uint32) & np.uint32(1)).astype(np.uint8)
-    packed = np.packbits(bits.ravel(), bitorder="little").tobytes()
+    bits = np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little", count=width) if width else rest[:0]
+    packed = np.packbits(bits.ravel(), bitorder="little").tobytes() if width else b""
     return _HEAD.pack(len(ids), low, width, 0, len(over)) + packed + over.astype("<u2").tobytes() + values.astype("<u4").tobytes()
 
 
@@ -54,9 +55,9 @@ def unpack_block(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     size = -(-n * width // 8)
     if width:
         bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little", count=n * width).reshape(n, width)
-        padded = np.zeros((n, 32), np.uint8)
-        padded[:, :width] = bits
-        ids = np.packbits(padded, axis=1, bitorder="little").view("<u4").ravel().astype(np.uint32)
+        ids = np.zeros((n, 4), np.uint8)
+        ids[:, : -(-width // 8)] = np.packbits(bits, axis=1, bitorder="little")
+        ids = ids.view("<u4").ravel()
     else:
         ids = np.zeros(n, np.uint32)
     at += size
@@ -89,7 +90,7 @@ _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85   -     　]")
 #: Its pattern never joins a character with white space behind it, so text may be cut before white space.
 _UNIT = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 _loaded: dict[str, Encoder] = {}
-_CACHE = 300_000
+_CACHE = 400_000
 
 
 class Encoder:
@@ -110,16 +111,17 @@ class Encoder:
         return _loaded[path]
 
     def _learn(self, units: list[str]) -> None:
-        if len(self.known) > _CACHE:
-            self.known, self.older = {}, self.known
         again = [u for u in units if u in self.older]
         self.known.update((u, self.older[u]) for u in again)
         units = [u for u in units if u not in self.older] if again else units
         for unit, e in zip(units, self.tokenizer.encode_batch_fast(units, add_special_tokens=False)):
-            self.known[unit] = np.array(e.ids, dtype="<u4").tobytes()
+            ids = e.ids
+            self.known[unit] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [None if _ODD_SPACE.search(t) else _UNIT.findall(t) for t in texts]
+        if len(self.known) > _CACHE:
+            self.known, self.older = {}, self.known
         new = set()
         for units in cut:
             if units:

@@ -260,10 +260,11 @@ def test_near_duplicates_edge(spark, edge):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id is not None)
 
 
-@pytest.mark.parametrize("rounds", [0, 4])
-def test_near_duplicates_family(spark, monkeypatch, rounds):
+@pytest.mark.parametrize("rounds, block", [(0, 1024), (0, 7), (2, 1024)])
+def test_near_duplicates_family(spark, monkeypatch, rounds, block):
     """Families in which many members are below the threshold of any one centre; with no star round all is left to the exact rest."""
     monkeypatch.setattr(minhash, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(minhash, "BLOCK", block)
     vocabulary_ = [f"w{i}" for i in range(3000)]
     texts_ = near_family(1, prose(5, 60, vocabulary_), 60, 4) + near_family(2, prose(6, 40, vocabulary_), 40, 6) + near_family(3, prose(7, 8, vocabulary_), 30, 1)
     rows = [(i * 3 + 1, t, "en", "a") for i, t in enumerate(texts_)]
