@@ -70,7 +70,8 @@ def _rows(arr: Column, levels: int, prefix: Column, root: Column | None) -> Colu
 
 def _has_children(text: Column) -> Column:
     """recurse only into a non-empty child list."""
-    return text.isNotNull() & (F.length(F.regexp_replace(text, r"\s", "")) > 2)
+    # a JSON list is empty if its bracket closes right behind the white space
+    return F.coalesce(~F.ltrim(F.substring(F.ltrim(text), 2, 1 << 30)).startswith("]"), F.lit(False))
 
 
 def area_flatten_records(records: DataFrame, root_order_col: str | None = "root_order", **kw) -> DataFrame:
@@ -83,7 +84,7 @@ def area_flatten_records(records: DataFrame, root_order_col: str | None = "root_
 
 
 def area_flatten(bodies: DataFrame, body_col: str = "body", root_order_col: str | None = None,
-                 body_is_array: bool = False, max_depth: int = 64,
+                 body_is_array: bool = False,
                  checkpoint_every: int = 8) -> DataFrame:
     """G1: tree bodies -> one row per node (area_id, parent_id, name, depth, path, root_id, root_order).
 
@@ -102,8 +103,7 @@ def area_flatten(bodies: DataFrame, body_col: str = "body", root_order_col: str
                           F.inline(F.filter(_rows(arr, k, F.array().cast("array<int>"), None),
                                             lambda r: r["rid"].isNotNull() | r["area_id"].isNotNull()
                                             | r["name"].isNotNull())))
-    return _walk(_first_level(first, wrapped=not body_is_array),
-                 max_depth=max_depth, checkpoint_every=checkpoint_every)
+    return _walk(_first_level(first, wrapped=not body_is_array), checkpoint_every=checkpoint_every)
 
 
 def _first_level(rows: DataFrame, wrapped: bool) -> DataFrame:
@@ -114,12 +114,17 @@ def _first_level(rows: DataFrame, wrapped: bool) -> DataFrame:
                        F.col("rid").alias("root_id"), "root_order", F.col("kids").alias("_children"))
 
 
-def _walk(first: DataFrame, max_depth: int = 64, checkpoint_every: int = 8) -> DataFrame:
-    """Continue below the deepest parsed level, LEVELS_PER_PASS levels per pass."""
+def _walk(first: DataFrame, checkpoint_every: int = 8) -> DataFrame:
+    """Continue below the deepest parsed level, LEVELS_PER_PASS levels per pass, until no node has children.
+
+    A forest that the first pass holds whole comes back lazily, so later filters and column choices reach the scan.
+    """
     spark = first.sparkSession
     checkpoint_root(spark)  # lineage cuts go to the shared checkpoint folder
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     k = LEVELS_PER_PASS
+    if first.where(_has_children(F.col("_children"))).isEmpty():
+        return first.drop("_children")
     level = first.persist(StorageLevel.MEMORY_AND_DISK)
     keep: list[DataFrame] = [level]
     passes = 0
@@ -141,8 +146,6 @@ def _walk(first: DataFrame, max_depth: int = 64, checkpoint_every: int = 8) -> D
         if nxt.isEmpty():
             nxt.unpersist()
             break
-        if passes * k > max_depth:
-            raise ValueError(f"area tree deeper than max_depth={max_depth}")
         keep.append(nxt)
         level = nxt
     out = keep[0].drop("_children")

@@ -92,11 +92,18 @@ def _first_present(arr: Column) -> Column:
     return flag(F.size(arr) == 0, True) | F.get(arr, 0).isNotNull()
 
 
+def _casts(c: Column) -> Column:
+    """A text id that is there must be a number; it is not turned into NULL silently."""
+    return c.isNull() | c.try_cast("bigint").isNotNull()
+
+
 def _bad_reason(v: Column) -> Column:
     """First failing strict rule, in source order; NULL when the document is good."""
     checks: list[tuple[str, Column]] = [
         ("document", v.isNotNull() & v[CORRUPT].isNull()),
+        ("cast:id", _casts(v["id"])),
         ("area", v["area"].isNotNull()),
+        ("cast:area", _casts(v["area"]["id"])),
         ("experience", v["experience"].isNotNull()),
         ("schedule", v["schedule"].isNotNull()),
         ("employment", v["employment"].isNotNull()),
@@ -104,6 +111,7 @@ def _bad_reason(v: Column) -> Column:
         ("professional_roles", flag(F.size(v["professional_roles"]) > 0)
          & F.get(v["professional_roles"], 0).isNotNull()),
         ("employer", v["employer"].isNotNull()),
+        ("cast:employer", _casts(v["employer"]["id"])),
         ("working_days", _first_present(v["working_days"])),
         ("working_time_intervals", _first_present(v["working_time_intervals"])),
         ("working_time_modes", _first_present(v["working_time_modes"])),

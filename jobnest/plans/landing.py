@@ -107,6 +107,7 @@ def vacancy_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("professional_roles"),
         F.when((s == "O") & (p == "3-MEDIUM"), F.lit(None))
          .when((s == "F") & (p == "3-MEDIUM"), id_struct(F.lit(None).cast("string")))
+         .when((s == "P") & (p == "2-HIGH"), id_struct(F.concat(F.lit("e"), F.col("o_custkey").cast("string"))))
          .otherwise(id_struct(F.col("o_custkey").cast("string"))).alias("employer"),
         F.date_format("o_orderdate", TS_FORMAT).alias("published_at"),
         F.date_format("o_orderdate", TS_FORMAT).alias("created_at"),

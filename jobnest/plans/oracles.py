@@ -27,6 +27,7 @@ WITH li AS (
       WHEN (a.l_orderkey IS NULL AND o.o_orderstatus = 'F') OR coalesce(a.bad_skill, 0) = 1 THEN 'key_skills'
       WHEN o.o_orderpriority = '4-NOT SPECIFIED' AND o.o_orderstatus IN ('O', 'F') THEN 'professional_roles'
       WHEN o.o_orderstatus = 'O' AND o.o_orderpriority = '3-MEDIUM' THEN 'employer'
+      WHEN o.o_orderstatus = 'P' AND o.o_orderpriority = '2-HIGH' THEN 'cast:employer'
       WHEN o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW' THEN 'languages_level'
     END AS bad_reason
   FROM orders o
@@ -238,13 +239,20 @@ SELECT root_area, term, count(*) AS found,
 FROM hits GROUP BY root_area, term"""),
     "csv_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "csv_accumulate": _q("""
-SELECT id, name, description,
-       '[' || coalesce((SELECT string_agg('"' || p_name || '"', ',' ORDER BY l_linenumber, l_partkey, l_suppkey)
-                        FROM li WHERE li.l_orderkey = good.id), '') || ']' AS key_skills,
-       salary_from, published_at
-FROM good"""),
+, sk AS (SELECT l_orderkey, string_agg('"' || p_name || '"', ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS js
+         FROM li GROUP BY l_orderkey)
+SELECT id, relations, name, area, salary_from, salary_to, type, experience, schedule, employment,
+       description, '[' || coalesce(js, '') || ']' AS key_skills, archived, specializations, professional_roles,
+       employer, published_at, created_at, initial_created_at, working_days, working_time_intervals,
+       working_time_modes, languages, languages_level, approved
+FROM good LEFT JOIN sk ON sk.l_orderkey = good.id"""),
     "incremental_ingest": _q("SELECT o_orderkey AS id, bad_reason FROM v"),
-    "replace_load": _q("SELECT id, name, TIMESTAMP '2024-04-23 05:05:00' AS process_dttm FROM good"),
+    "replace_load": _q("""
+SELECT id, relations, name, area, salary_from, salary_to, type, experience, schedule, employment,
+       description, key_skills, archived, specializations, professional_roles, employer, published_at,
+       created_at, initial_created_at, working_days, working_time_intervals, working_time_modes,
+       languages, languages_level, approved, TIMESTAMP '2024-04-23 05:05:00' AS process_dttm
+FROM good"""),
     "dictionary_tables": """
 SELECT 'orders' AS table_name, count(*) AS rows, CAST(8 AS BIGINT) AS columns
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
@@ -282,6 +290,10 @@ SELECT 'vacancies', count(*) FROM good
 UNION ALL
 SELECT 'employers', count(*) FROM emp WHERE id IN (SELECT id FROM emp_ids)
 UNION ALL
+SELECT 'employers_bad', count(*) FROM emp_ids WHERE id NOT IN (SELECT id FROM emp)
+UNION ALL
+SELECT v.t, 0 FROM (VALUES ('metro_lines_bad'), ('metro_stations_bad'), ('vacancies_bad')) AS v(t)
+UNION ALL
 SELECT 'orders', count(*) FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 UNION ALL
 SELECT lower(c_mktsegment), count(*) FROM customer GROUP BY lower(c_mktsegment)"""),
@@ -290,6 +302,20 @@ SELECT id, name, area, employer, salary_from,
        CAST(o_orderdate AS TIMESTAMP) - INTERVAL 3 HOUR AS published_ts,
        CAST(o_orderdate AS TIMESTAMP) - INTERVAL 1 DAY - INTERVAL 3 HOUR AS initial_created_ts
 FROM good"""),
+    "deep_areas": """
+WITH RECURSIVE n AS (
+  SELECT o_orderkey AS k, CASE WHEN o_orderkey % 100 <> 0 THEN o_orderkey - 1 END AS p,
+         'order ' || CAST(o_orderkey AS VARCHAR) AS name FROM orders
+), w AS (
+  SELECT k, CAST(0 AS BIGINT) AS depth, k AS root, CAST(k AS VARCHAR) AS path FROM n WHERE p IS NULL
+  UNION ALL
+  SELECT n.k, w.depth + 1, w.root, w.path || '/' || CAST(n.k AS VARCHAR) FROM n JOIN w ON n.p = w.k
+)
+SELECT n.k AS area_id, n.p AS parent_id, n.name, w.depth, w.root AS root_id, w.path
+FROM n LEFT JOIN w ON n.k = w.k""",
+    "clean_rejects": _q("""
+SELECT i.id AS requested_id, CAST(NULL AS VARCHAR) AS name, 'null_key:id' AS bad_reason
+FROM emp_ids i WHERE i.id NOT IN (SELECT id FROM emp)"""),
     "clean_employers": _q("""
 SELECT id, name, type, site_url, vacancies_url, area_id, open_vacancies
 FROM emp WHERE id IN (SELECT id FROM emp_ids)"""),

@@ -21,7 +21,7 @@ from jobnest.operators.vacancies import VACANCY_COLUMNS, page_abort
 from jobnest.plans import landing as L
 from jobnest.plans import stages as S
 from jobnest.session import work_root
-from jobnest.sinks.staging import accumulated, append_staging
+from jobnest.sinks.staging import accumulated, append_staging, staged_schema
 from jobnest.sinks.tables import STATION_AUDIT_COL, replace_load, safe_name
 from jobnest.sources.catalog import list_tables, read_table
 from jobnest.sources.staging import read_staging
@@ -223,24 +223,19 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged_vacancies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[DataFrame]]:
-    good = S.good_vacancies(spark, sf_dir).select(
-        "id", "name", "description", "key_skills", "salary_from", "published_at")
-    early = good.where(F.col("published_at") < F.lit("1998"))
-    late = good.where(F.col("published_at") >= F.lit("1998"))
-    return good, [early, late]
-
-
-STAGED_SCHEMA = ("id BIGINT, name STRING, description STRING, key_skills STRING, "
-                 "salary_from DOUBLE, published_at STRING")
+    """Two daily batches with all raw columns; a missing date goes with the second."""
+    good = S.good_vacancies(spark, sf_dir).select(*VACANCY_COLUMNS)
+    early = F.coalesce(F.col("published_at") < F.lit("1998"), F.lit(False))
+    return good, [good.where(early), good.where(~early)]
 
 
 def csv_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4 + U1: two daily batches appended to the staging text, then everything loaded."""
-    _, batches = _staged_vacancies(spark, sf_dir)
+    good, batches = _staged_vacancies(spark, sf_dir)
     path = work_root(spark, "scratch", "staging", "vacancies", unique=True)
     for b in batches:
         append_staging(b, path)
-    return accumulated(spark, path, STAGED_SCHEMA)
+    return accumulated(spark, path, staged_schema(good.schema, "csv"))
 
 
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,8 +243,8 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     projected per micro-batch into good and quarantined rows."""
     bodies = L.landed(spark, sf_dir, "vacancies").select("url", "body")
     root = work_root(spark, "scratch", "ingest", unique=True)
-    published = F.get_json_object("body", "$.published_at")
-    batches = [bodies.where(published < F.lit("1998")), bodies.where(~(published < F.lit("1998")))]
+    early = F.coalesce(F.get_json_object("body", "$.published_at") < F.lit("1998"), F.lit(False))
+    batches = [bodies.where(early), bodies.where(~early)]
     for i, batch in enumerate(batches):
         batch.write.mode("overwrite").json(f"{root}/landing/day={i}")
         ingest_vacancies(spark, f"{root}/landing", f"{root}/good", f"{root}/bad", f"{root}/checkpoint")
@@ -264,7 +259,7 @@ def replace_load_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "raw_" + work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
     replace_load(batches[0], schema, "vacancies", "2024-04-22 05:05:00")
     replace_load(good, schema, "vacancies", S.RUN_TS)
-    return read_table(spark, schema, "vacancies").select("id", "name", "process_dttm")
+    return read_table(spark, schema, "vacancies").withColumn("key_skills", F.array_join("key_skills", "|"))
 
 
 def dictionary_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,6 +297,30 @@ def clean_employers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select(*E.EMPLOYER_COLUMNS)
 
 
+def _chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deep forest as an adjacency list: orders in key order, cut into chains of 100; each chain hangs on its first."""
+    key = F.col("o_orderkey")
+    o = L.read_table(spark, sf_dir, "orders").select(key)
+    spot = key % 100
+    return o.select(key.cast("string").alias("area_id"),
+                    F.when(spot != 0, (key - 1).cast("string")).alias("parent_id"),
+                    F.concat(F.lit("order "), key.cast("string")).alias("name"))
+
+
+def deep_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 on chains of up to 100 levels; what hangs below a missing order stays, without depth, root and path."""
+    return C.clean_areas(_chains(spark, sf_dir)).select(
+        "area_id", "parent_id", "name", F.col("depth").cast("bigint").alias("depth"), "root_id", "path")
+
+
+def clean_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected rows of looked-up employers (error bodies have no id) with their reason."""
+    ids = E.employer_ids(S.good_vacancies(spark, sf_dir))
+    raw = E.employer_lookup(ids, L.landed(spark, sf_dir, "employers"))
+    _, bad = C.clean_table(raw, "employers")
+    return bad.select("requested_id", "name", F.col("_bad_reason").alias("bad_reason"))
+
+
 def clean_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C2 ``clean_areas``: typed ids, depth, root and path from the raw adjacency list."""
     raw = TR.node_rows(S.area_nodes(spark, sf_dir))
@@ -386,5 +405,7 @@ QUERIES: dict[str, Query] = {
     "clean_vacancies": clean_vacancies,
     "clean_employers": clean_employers,
     "clean_areas": clean_areas,
+    "deep_areas": deep_areas,
+    "clean_rejects": clean_rejects,
     "clean_tables": clean_tables,
 }

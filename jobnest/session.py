@@ -3,8 +3,8 @@
 Cluster jobs must not write to machine-local temporary folders.  Everything
 this package persists (staging text, raw/clean tables, streaming checkpoints,
 lineage cuts) goes under the shared folder named by ``spark.checkpoint.dir``.
-Only when that setting is absent (local tests, the bench) do we pick a scratch
-folder ourselves and register it as the checkpoint dir.
+Without that setting a local master (tests, the bench) gets a scratch folder;
+any other one raises.
 """
 
 from __future__ import annotations
@@ -54,9 +54,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="jobnest-ckpt-")
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="jobnest-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 

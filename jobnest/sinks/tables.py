@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -24,9 +25,19 @@ def ensure_schema(spark: SparkSession, schema: str) -> str:
     return schema
 
 
+#: Raw tables of the library itself; names from data never take them.
+FIXED_TABLES = ("areas", "metro_lines", "metro_stations", "vacancies", "vacancies_bad", "employers", "employer_batches")
+
+
 def safe_name(name: str) -> str:
-    """A table name taken from data, reduced to ``[a-z0-9_]``."""
-    return re.sub(r"[^0-9a-zA-Z_]", "_", name).lower() or "_"
+    """A table name taken from data, in ``[a-z0-9_]``; different names never share a table.
+
+    A name that is no such name already, or that belongs to a fixed table, gets a digest of itself at its end.
+    """
+    plain = re.sub(r"[^0-9a-z_]", "_", name.lower())
+    if plain == name and name and name not in FIXED_TABLES and not re.search(r"__[0-9a-f]{10}$", name):
+        return name
+    return f"{plain}__{hashlib.sha256(name.encode()).hexdigest()[:10]}"
 
 
 def with_audit(df: DataFrame, run_ts: str | dt.datetime, audit_col: str = AUDIT_COL) -> DataFrame:

@@ -16,7 +16,7 @@ CSV_OPTIONS = {"sep": ";", "header": "true", "quote": '"', "escape": '"', "multi
 def read_staging(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                  fmt: str = "csv") -> DataFrame:
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     reader = spark.read.options(**CSV_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema)

@@ -40,21 +40,20 @@ def ingest_vacancies(spark: SparkSession, landing_dir: str, good_dir: str, bad_d
                      checkpoint_dir: str) -> None:
     """I1 + P1 + X2 as one stream: new landed (url, body) files -> good rows and quarantined rows.
 
-    Two outputs need ``foreachBatch``.  Each write replaces only its own
-    ``batch_id`` partition (dynamic partition overwrite), so a micro-batch that
-    is replayed after a failure overwrites its earlier output instead of
-    duplicating it.
+    Two outputs need ``foreachBatch``.  Each write replaces its own
+    ``run_id=/batch_id=`` folder, also with no rows, so a micro-batch that is
+    replayed after a failure overwrites its earlier output.  ``run_id`` is the
+    query's id, which the checkpoint keeps: a stream that starts over without
+    its checkpoint writes beside earlier batches, never over them.
     """
     from jobnest.operators.vacancies import quarantine, vacancy_project
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        projected = vacancy_project(batch, keep=["url"]).withColumn("batch_id", F.lit(batch_id))
-        good, bad = quarantine(projected)
-        for df, path in ((good, good_dir), (bad, bad_dir)):
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(path))
-        batch.unpersist()
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        projected = vacancy_project(batch, keep=["url"]).persist()   # parsed once for both outputs
+        for df, path in zip(quarantine(projected), (good_dir, bad_dir), strict=True):
+            df.write.mode("overwrite").parquet(f"{path}/run_id={run}/batch_id={batch_id}")
+        projected.unpersist()
 
     q = (spark.readStream.schema("url STRING, body STRING").json(landing_dir)
          .writeStream.foreachBatch(write)

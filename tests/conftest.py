@@ -22,7 +22,6 @@ def spark():
     if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
         d = tempfile.mkdtemp(prefix="jobnest-tests-")
         s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", s.sparkContext.getCheckpointDir())
     yield s
     s.stop()
 
