@@ -51,7 +51,7 @@ def shingle_hashes(text: bytes | None, k: int) -> np.ndarray:
     tokens = words(text or b"")
     if not tokens:
         return np.empty(0, np.uint64)
-    if len(_words) > 500_000:
+    if len(_words) > 300_000:
         _words.clear()
     known = _words
     for t in set(tokens).difference(known):

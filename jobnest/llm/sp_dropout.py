@@ -30,7 +30,7 @@ DROPOUT, SEED, VARIANTS = 0.1, 29, 4
 BLANK = "▁"
 #: Stands for a U+2581 of the text itself, which must not become a blank: a lone surrogate, which no text can hold.
 _LITERAL = "\ud800"
-_CACHE = 800_000
+_CACHE = 400_000
 _MASK = 2**64 - 1
 _models: dict[tuple, Segmenter] = {}
 
