@@ -42,6 +42,13 @@ HEADLINE = [
     "employer_semi",
     "dictionary_keys",
     "area_parents",
+    "deep_areas",
+    "clean_rejects",
+    "incremental_ingest",
+    "replace_load",
+    "dictionary_tables",
+    "raw_tables",
+    "clean_tables",
 ]
 
 

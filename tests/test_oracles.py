@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from jobnest.plans.queries import QUERIES
 from oracle_harness import compare, duck
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql()) and set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
