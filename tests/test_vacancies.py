@@ -153,9 +153,10 @@ def _salary():
 
 
 DOC = st.fixed_dictionaries({
-    "area": _id_obj(), "salary": _salary(), "type": _id_obj(), "experience": _id_obj(),
+    "id": st.sampled_from([MISSING, MISSING, MISSING, "abc"]),
+    "area": st.sampled_from([MISSING, None, {}, {"id": "x1"}, {"id": "5"}, {"id": None}]), "salary": _salary(), "type": _id_obj(), "experience": _id_obj(),
     "schedule": _id_obj(), "employment": _id_obj(), "key_skills": _skills(),
-    "professional_roles": _id_list(), "employer": st.sampled_from([MISSING, None, {}, {"id": "7"}]),
+    "professional_roles": _id_list(), "employer": st.sampled_from([MISSING, None, {}, {"id": "7"}, {"id": "e7"}]),
     "working_days": _id_list(), "working_time_intervals": _id_list(), "working_time_modes": _id_list(),
     "languages": _langs(),
 })
@@ -164,8 +165,15 @@ DOC = st.fixed_dictionaries({
 def _expected(d):
     """The original's access sequence: the first access that would raise names the reason."""
     g = d.get
+
+    def text(x):
+        return x is not None and not x.isdigit()
+    if text(g("id")):                       # DECISION: an id that is no number is bad, not NULL
+        return "cast:id", None
     if g("area") is None:
         return "area", None
+    if text(g("area").get("id")):
+        return "cast:area", None
     for f in ("experience", "schedule", "employment"):
         if g(f) is None:
             return f, None
@@ -177,6 +185,8 @@ def _expected(d):
         return "professional_roles", None
     if g("employer") is None:
         return "employer", None
+    if text(g("employer").get("id")):
+        return "cast:employer", None
     for f in ("working_days", "working_time_intervals", "working_time_modes", "languages"):
         v = g(f)
         if v and v[0] is None:
@@ -207,9 +217,9 @@ def test_rules_match_plain_python(spark, docs):
     full = []
     for i, d in enumerate(docs):
         body = {k: v for k, v in d.items() if v is not MISSING}
-        body["id"] = str(i)
+        body.setdefault("id", str(i))
         full.append(body)
-    got = {r["id"]: r for r in vacancy_project(bodies(spark, full)).collect()}
+    got = {r["_i"]: r for r in vacancy_project(bodies(spark, full), keep=["_i"]).collect()}
     for i, d in enumerate(full):
         reason, values = _expected(d)
         r = got[i]
