@@ -101,6 +101,11 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # a byte-level piece has one character for each byte
+        self.widths = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+        for piece, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            if i < len(self.widths):
+                self.widths[i] = len(piece)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -114,32 +119,47 @@ class Encoder:
         again = [u for u in units if u in self.older]
         self.known.update((u, self.older[u]) for u in again)
         units = [u for u in units if u not in self.older] if again else units
-        for unit, e in zip(units, self.tokenizer.encode_batch_fast(units, add_special_tokens=False)):
-            ids = e.ids
-            self.known[unit] = struct.pack(f"<{len(ids)}I", *ids)
+        # units that begin with white space and end without are encoded side by side
+        side, alone = [], []
+        for u in units:
+            (side if u[0] in " \t\n\r" and u[-1] not in " \t\n\r" else alone).append(u)
+        for i in range(0, len(side), 4096):
+            some = side[i: i + 4096]
+            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ends = np.cumsum(self.widths[ids])
+            stops = np.cumsum([len(u.encode()) for u in some])
+            at = np.searchsorted(ends, stops)
+            # every unit must end where a token does
+            if len(ends) == 0 or ends[-1] != stops[-1] or (ends[at] != stops).any():
+                alone += some
+                continue
+            data, last = ids.tobytes(), 0
+            for unit, end in zip(some, (4 * (at + 1)).tolist()):
+                self.known[unit] = data[last:end]
+                last = end
+        for unit, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            self.known[unit] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [None if _ODD_SPACE.search(t) else _UNIT.findall(t) for t in texts]
         if len(self.known) > _CACHE:
             self.known, self.older = {}, self.known
-        new = set()
-        for units in cut:
-            if units:
-                new.update(units)
-        new = [u for u in new if u not in self.known and len(u) <= 64]
-        self._learn(new)
-        out = []
         get = self.known.get
-        for text, units in zip(texts, cut):
+        parts = [units and list(map(get, units)) for units in cut]
+        self._learn(list({u for units, p in zip(cut, parts) if p and None in p for u, x in zip(units, p) if x is None and len(u) <= 64}))
+        out = []
+        for text, units, p in zip(texts, cut, parts):
             if units is None:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32))
                 continue
-            parts = list(map(get, units))
-            if None in parts:
-                parts = [p if p is not None else np.array(self.tokenizer.encode(u, add_special_tokens=False).ids, dtype="<u4").tobytes() for p, u in zip(parts, units)]
-            out.append(np.frombuffer(b"".join(parts), "<u4"))
+            if None in p:
+                p = [x if x is not None else get(u) or self._whole(u) for x, u in zip(p, units)]
+            out.append(np.frombuffer(b"".join(p), "<u4"))
         return out
 
+    def _whole(self, unit: str) -> bytes:
+        return np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
 
 SEGMENTS = ("shard int, segment int, first long, n_ids long, payload binary, block_starts array<int>, block_offsets array<int>, "
             "doc_ids array<long>, doc_lengths array<int>")
