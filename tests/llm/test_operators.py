@@ -569,3 +569,20 @@ def test_queries_cover_their_tables(spark):
     n = spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
     for name in ("op1_secret_scan", "op3_source_mix", "op6_token_files", "op9_order_minhash", "op10_merge_dropout"):
         assert QUERIES[name](spark, SF_SMALL).select("doc_id").distinct().count() == n, name
+
+
+def test_side_by_side_agenda_is_the_agenda():
+    rng = random.Random(5)
+    for dropout in (0.0, 0.1, 0.7):
+        s = sp_dropout.Segmenter(vocabulary(PIECE_BPE), dropout, 3, 2)
+        units = [sp_dropout.BLANK * rng.randint(0, 3) + "".join(rng.choice("abcdeinorst" * 3 + "éñ日😀" + sp_dropout._LITERAL) for _ in range(rng.randint(1, 30))) for _ in range(300)]
+        units += ["a", sp_dropout.BLANK, "the" * 20, "日" * 9]
+        assert s._side(units, 1) == [s._one(u, 1) for u in units]
+
+
+def test_units_of_the_byte_tokenizer_are_cut_where_tokens_end():
+    rng = random.Random(6)
+    e = token_store.Encoder(vocabulary(BYTE_BPE))
+    texts = ["".join(rng.choice("abZ9 .,'s\n\t\r_-! é\u0301–中😀ª²\u00a0") for _ in range(rng.randint(0, 60))) for _ in range(3000)] + ["x" * 500, "\nWord", "a\n\nb", ""]
+    for some in (texts, texts[::-1]):
+        assert [x.tolist() for x in e.encode(some)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
