@@ -88,7 +88,9 @@ def unpack(payload: bytes, offsets: list[int], first: int = 0, last: int | None
 #: White space beyond ASCII that the tokenizer's pattern treats as such, and control characters that only Python does.
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85   -     　]")
 #: Its pattern never joins a character with white space behind it, so text may be cut before white space.
-_UNIT = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+#: Nor does it join a letter or digit with an ASCII mark behind it, or a line end with a word: words are cut from the
+#: marks that follow them and from a single line end before them.
+_UNIT = re.compile(r"[\t\n\r](?=[0-9A-Za-z])|[ \t\n\r]*+[0-9A-Za-z]++(?=[ \t\n\r!-/:-@\[-`{-~]|\Z)|[ \t\n\r]*+[^ \t\n\r]++|[ \t\n\r]+")
 _loaded: dict[str, Encoder] = {}
 _CACHE = 400_000
 
@@ -119,24 +121,27 @@ class Encoder:
         again = [u for u in units if u in self.older]
         self.known.update((u, self.older[u]) for u in again)
         units = [u for u in units if u not in self.older] if again else units
-        # units that begin with white space and end without are encoded side by side
-        side, alone = [], []
+        # units that end without white space are encoded side by side; those that begin without, behind a line end each
+        spaced, bare, alone = [], [], []
         for u in units:
-            (side if u[0] in " \t\n\r" and u[-1] not in " \t\n\r" else alone).append(u)
-        for i in range(0, len(side), 4096):
-            some = side[i: i + 4096]
-            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.cumsum(self.widths[ids])
-            stops = np.cumsum([len(u.encode()) for u in some])
-            at = np.searchsorted(ends, stops)
-            # every unit must end where a token does
-            if len(ends) == 0 or ends[-1] != stops[-1] or (ends[at] != stops).any():
-                alone += some
-                continue
-            data, last = ids.tobytes(), 0
-            for unit, end in zip(some, (4 * (at + 1)).tolist()):
-                self.known[unit] = data[last:end]
-                last = end
+            (alone if u[-1] in " \t\n\r" else spaced if u[0] in " \t\n\r" else bare).append(u)
+        for side, before in ((spaced, ""), (bare, "\n")):
+            for i in range(0, len(side), 4096):
+                some = side[i: i + 4096]
+                text = before + before.join(some)
+                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+                ends = np.cumsum(self.widths[ids])
+                stops = np.cumsum([len(u) for u in some] if text.isascii() else [len(u.encode()) for u in some])
+                stops += len(before) * np.arange(1, len(some) + 1)
+                at = np.searchsorted(ends, stops)
+                # every unit must end where a token does, and every line end before one must be a token
+                if ends[-1] != stops[-1] or (ends[at] != stops).any() or before and (self.widths[ids[np.append(0, at[:-1] + 1)]] != 1).any():
+                    alone += some
+                    continue
+                data = ids.tobytes()
+                stop = 4 * (at + 1)
+                start = np.append(0, stop[:-1]) + 4 * len(before)
+                self.known.update(zip(some, [data[x:y] for x, y in zip(start.tolist(), stop.tolist())]))
         for unit, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
             self.known[unit] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
@@ -144,21 +149,22 @@ class Encoder:
         cut = [None if _ODD_SPACE.search(t) else _UNIT.findall(t) for t in texts]
         if len(self.known) > _CACHE:
             self.known, self.older = {}, self.known
-        get = self.known.get
-        parts = [units and list(map(get, units)) for units in cut]
-        self._learn(list({u for units, p in zip(cut, parts) if p and None in p for u, x in zip(units, p) if x is None and len(u) <= 64}))
+        new = set().union(*filter(None, cut)) - self.known.keys()
+        self._learn([u for u in new if len(u) <= 64])
+        rest = {u: self._whole(u) for u in new if len(u) > 64}
+        get = self.known.__getitem__
         out = []
-        for text, units, p in zip(texts, cut, parts):
+        for text, units in zip(texts, cut):
             if units is None:
-                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32))
-                continue
-            if None in p:
-                p = [x if x is not None else get(u) or self._whole(u) for x, u in zip(p, units)]
-            out.append(np.frombuffer(b"".join(p), "<u4"))
+                out.append(np.frombuffer(self._whole(text), "<u4"))
+            elif rest:
+                out.append(np.frombuffer(b"".join([rest[u] if u in rest else get(u) for u in units]), "<u4"))
+            else:
+                out.append(np.frombuffer(b"".join(map(get, units)), "<u4"))
         return out
 
     def _whole(self, unit: str) -> bytes:
-        return np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.array(self.tokenizer.encode_batch_fast([unit], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
 
 SEGMENTS = ("shard int, segment int, first long, n_ids long, payload binary, block_starts array<int>, block_offsets array<int>, "
