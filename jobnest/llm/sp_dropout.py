@@ -31,6 +31,8 @@ BLANK = "▁"
 #: Stands for a U+2581 of the text itself, which must not become a blank: a lone surrogate, which no text can hold.
 _LITERAL = "\ud800"
 _CACHE = 400_000
+#: Longer units are cut one by one and not remembered; shorter ones are cut side by side, so many at a time.
+_SHORT, _SIDE = 64, 4096
 _MASK = 2**64 - 1
 _models: dict[tuple, Segmenter] = {}
 
@@ -66,6 +68,18 @@ class Segmenter:
         alone, mark = re.escape("".join(sorted(alone))), re.escape("".join(sorted(marks)))
         any_mark = f"[{mark}]" if mark else "(?!)"
         self.unit = re.compile(f"{BLANK}*{any_mark}*[^{BLANK}{alone}{mark}]+|{BLANK}*{any_mark}+|{BLANK}+|.", re.S)
+        # symbols by number (pieces and the characters in them), and the joins of two of them, by a sorted key
+        symbols = {x: i for i, x in enumerate(dict.fromkeys([*self.id, *(c for p in self.id for c in p)]))}
+        joins = sorted((symbols[p[:i]] * len(symbols) + symbols[p[i:]], self.rank[p], symbols[p]) for p in self.id for i in range(1, len(p)) if p[:i] in symbols and p[i:] in symbols)
+        self.n_symbols = len(symbols)
+        self.join_keys = np.array([k for k, _, _ in joins] + [np.iinfo(np.int64).max], np.int64)
+        self.join_ranks = np.array([r for _, r, _ in joins] + [np.inf])
+        self.join_to = np.array([t for _, _, t in joins] + [-1], np.int64)
+        self.symbol_of = np.full(0x110000, -1, np.int64)
+        for x, i in symbols.items():
+            if len(x) == 1:
+                self.symbol_of[ord(x)] = i
+        self.symbol_id = np.array([self.id.get(x, -1) for x in symbols] + [-1], np.int64)
         self.below = int(dropout * 2**64)
         self.seed, self.variants = seed, variants if dropout else 1
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
@@ -90,7 +104,7 @@ class Segmenter:
         end = list(range(1, n + 1))  # 0 where a symbol has been joined to the one before it
         before = list(range(-1, n - 1))
         below = self.below
-        key = xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + variant) if below else 0
+        key = self._key(unit, variant) if below else 0
         pop, push = heapq.heappop, heapq.heappush
         while agenda:
             _, a, b, stop = pop(agenda)
@@ -118,39 +132,116 @@ class Segmenter:
             i = end[i]
         return out
 
-    def _ids(self, unit: str, variant: int) -> bytes:
-        old = self.older[variant].get(unit)
-        if old is None:
-            out = []
-            for piece in self.pieces(unit, variant):
-                i = self.id.get(piece)
-                if i is not None:
-                    out.append(i)
-                else:
-                    out += [self.bytes_id[b] for c in piece for b in (BLANK if c == _LITERAL else c).encode()]
-            old = struct.pack(f"<{len(out)}I", *out)
-        known = self.known[variant]
-        if len(unit) <= 64:
-            if len(known) >= _CACHE // self.variants:
-                self.older[variant], self.known[variant] = known, {}
-                known = self.known[variant]
-            known[unit] = old
-        return old
+    def _key(self, unit: str, variant: int) -> int:
+        return xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + variant)
 
-    def encode(self, text: str, doc_key: int) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        units = self.unit.findall(BLANK + text.replace(BLANK, _LITERAL).replace(" ", BLANK))
+    def _one(self, unit: str, variant: int) -> bytes:
+        return self._bytes([(self.id.get(piece, -1), piece) for piece in self.pieces(unit, variant)])
+
+    def _bytes(self, pieces: list[tuple[int, str]]) -> bytes:
+        """Ids of pieces; of those that are none (id -1), of their characters' bytes."""
+        out = []
+        for i, piece in pieces:
+            if i >= 0:
+                out.append(i)
+            else:
+                out += [self.bytes_id[b] for c in piece for b in (BLANK if c == _LITERAL else c).encode()]
+        return struct.pack(f"<{len(out)}I", *out)
+
+    def _joins(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and symbol of what two symbols (-1: none) join to; rank inf where that is no piece."""
+        keys = left * self.n_symbols + right
+        at = np.searchsorted(self.join_keys, keys)
+        real = (left >= 0) & (right >= 0) & (self.join_keys[at] == keys)
+        return np.where(real, self.join_ranks[at], np.inf), np.where(real, self.join_to[at], -1)
+
+    def _side(self, units: list[str], variant: int) -> list[bytes]:
+        """What ``pieces`` gives, for many short units at once: each step takes every unit's best candidate."""
+        n, width = len(units), max(map(len, units))
+        size = np.array([len(u) for u in units])
+        inside = np.arange(width) < size[:, None]
+        symbol = np.full((n, width + 1), -1, np.int64)
+        symbol[:, :width][inside] = self.symbol_of[np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4")]
+        end = np.tile(np.arange(1, width + 2), (n, 1))
+        before = np.tile(np.arange(-1, width), (n, 1))
+        alive = inside.copy()
+        rank, to = self._joins(symbol[:, :width], symbol[:, 1:])
+        keys = np.array([self._key(u, variant) for u in units], np.uint64) if self.below else np.zeros(n, np.uint64)
+        rows = np.arange(n)
+        while True:
+            a = rank[rows].argmin(axis=1)
+            some = rank[rows, a] < np.inf
+            rows, a = rows[some], a[some]
+            if not len(rows):
+                break
+            b = end[rows, a]
+            stop = end[rows, b]
+            rank[rows, a] = np.inf
+            r = rows
+            if self.below:
+                go = ~self._skipped(keys[r], a, b, stop)
+                r, a, b, stop = r[go], a[go], b[go], stop[go]
+            symbol[r, a] = to[r, a]
+            end[r, a] = stop
+            rank[r, b] = np.inf
+            alive[r, b] = False
+            more, left = stop < size[r], a > 0
+            before[r[more], stop[more]] = a[more]
+            # the new symbol with the one behind it, and the one before with it
+            first = np.concatenate([a[more], before[r[left], a[left]]])
+            second = np.concatenate([stop[more], a[left]])
+            at = np.concatenate([r[more], r[left]])
+            rank[at, first], to[at, first] = self._joins(symbol[at, first], symbol[at, second])
+        ids = self.symbol_id[symbol[:, :width][alive]]
+        last = np.cumsum(alive.sum(axis=1))
+        data = ids.astype("<u4").tobytes()
+        out = [data[4 * x: 4 * y] for x, y in zip([0, *last[:-1].tolist()], last.tolist())]
+        for i in np.unique(np.searchsorted(last, np.flatnonzero(ids < 0), "right")).tolist():
+            starts = np.flatnonzero(alive[i])
+            out[i] = self._bytes([(int(self.symbol_id[symbol[i, x]]), units[i][x: end[i, x]]) for x in starts.tolist()])
+        return out
+
+    def _skipped(self, key: np.ndarray, a: np.ndarray, b: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The skips of ``pieces``, for arrays."""
+        a, b, stop = (x.astype(np.uint64) for x in (a, b, stop))
+        x = (key ^ (a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F) + stop * np.uint64(0x165667B19E3779F9))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) < np.uint64(min(self.below, _MASK))
+
+    def _learn(self, units: set[str], variant: int) -> dict[str, bytes]:
+        """Remembers the short ones of these units; gives the others."""
+        if len(self.known[variant]) >= _CACHE // self.variants:
+            self.older[variant], self.known[variant] = self.known[variant], {}
+        known, older = self.known[variant], self.older[variant]
+        again = units & older.keys()
+        known.update((u, older[u]) for u in again)
+        new = sorted((u for u in units - again if len(u) <= _SHORT), key=len)
+        for i in range(0, len(new), _SIDE):
+            some = new[i: i + _SIDE]
+            known.update(zip(some, self._side(some, variant)))
+        return {u: self._one(u, variant) for u in units if len(u) > _SHORT}
+
+    def encode_all(self, texts: list[str], doc_keys: list[int]) -> list[np.ndarray]:
+        cut = [self.unit.findall(BLANK + t.replace(BLANK, _LITERAL).replace(" ", BLANK)) if t else [] for t in texts]
         if self.variants == 1:
-            which = [0] * len(units)
+            which = [[0] * len(units) for units in cut]
         else:
-            which = (mixed(np.arange(len(units), dtype=np.uint64) + np.uint64(doc_key << 20 & _MASK), self.seed) % np.uint64(self.variants)).tolist()
-        known = self.known
-        parts = []
-        for u, v in zip(units, which):
-            p = known[v].get(u)
-            parts.append(p if p is not None else self._ids(u, v))
-        return np.frombuffer(b"".join(parts), "<u4")
+            which = [(mixed(np.arange(len(units), dtype=np.uint64) + np.uint64(k << 20 & _MASK), self.seed) % np.uint64(self.variants)).tolist() for units, k in zip(cut, doc_keys)]
+        get = [d.get for d in self.known]
+        parts = [[get[v](u) for u, v in zip(*x)] for x in zip(cut, which)]
+        missing: list[set[str]] = [set() for _ in range(self.variants)]
+        for units, vs, p in zip(cut, which, parts):
+            if None in p:
+                for u, v, x in zip(units, vs, p):
+                    if x is None:
+                        missing[v].add(u)
+        now = []
+        for v, units in enumerate(missing):
+            rest = self._learn(units, v)
+            now.append({u: rest[u] if len(u) > _SHORT else self.known[v][u] for u in units})
+        return [np.frombuffer(b"".join([now[v][u] if x is None else x for u, v, x in zip(units, vs, p)] if None in p else p), "<u4") for units, vs, p in zip(cut, which, parts)]
+
+    def encode(self, text: str, doc_key: int) -> np.ndarray:
+        return self.encode_all([text], [doc_key])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         data = b"".join(map(self.raw.__getitem__, ids.tolist()))
@@ -166,7 +257,9 @@ def encode(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SE
 
     def run(batch):
         s = Segmenter.of(model, dropout, seed, variants)
-        ids = [None if t is None else s.encode(t, _key(d)).astype(np.int32) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        texts = batch.column(1).to_pylist()
+        got = s.encode_all([t or "" for t in texts], list(map(_key, batch.column(0).to_pylist())))
+        ids = [None if t is None else x.astype(np.int32) for t, x in zip(texts, got)]
         return {"doc_id": batch.column(0), "ids": ids}
 
     return map_batches(pick(docs, doc_id="long", text="string"), run, "doc_id long, ids array<int>")
@@ -190,8 +283,8 @@ def round_trip(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int
     def run(batch):
         s = Segmenter.of(model, dropout, seed, variants)
         out: dict[str, list] = {"doc_id": batch.column(0), "n_tokens": [], "ids_crc32": [], "decoded_sha256": [], "lossless": []}
-        for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids = s.encode(t or "", _key(d))
+        texts = batch.column(1).to_pylist()
+        for t, ids in zip(texts, s.encode_all([t or "" for t in texts], list(map(_key, batch.column(0).to_pylist())))):
             back = s.decode(ids)
             out["n_tokens"].append(len(ids))
             out["ids_crc32"].append(zlib.crc32(ids.tobytes()))
