@@ -98,18 +98,24 @@ def compare(docs: DataFrame) -> DataFrame:
     nexts = order.select(F.col("doc_id").alias("next_id"), F.col("tie").alias("next_tie"), F.col("at").alias("next_at"))
     pairs = written(order.join(nexts, F.pmod(F.col("at") - 1 + F.col("at_total"), "at_total") == F.col("next_at")).select("doc_id", "tie", "n_chars", "next_id", "next_tie"), "neighbours")
 
-    this = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    givers = pairs.select(F.col("doc_id").alias("to_id"), F.col("tie").alias("to_tie"), F.floor(F.col("n_chars") / 3).cast("int").alias("need"), "next_id", "next_tie")
-    pieces = (own.join(givers, this("doc_id", "next_id") & (F.col("tie") == F.col("next_tie")))
-              .select("to_id", "to_tie", "need", F.expr("left(text, need)").alias("piece")).groupBy("to_id", "to_tie").agg(F.first("need").alias("need"), F.first("piece").alias("piece")))
-    both = own.join(pieces, this("doc_id", "to_id") & (F.col("tie") == F.col("to_tie")))
+    # keys without nulls: what is grouped by them lies where joins on them want it, and is shuffled once
+    keyed = lambda df, id_, tie, to: df.select("*", F.coalesce(id_, F.lit(0)).alias(f"{to}_id"), F.col(id_).isNull().alias(f"{to}_none"), F.col(tie).alias(f"{to}_tie"))
+    this = lambda a, b: [F.col(f"{a}_{c}") == F.col(f"{b}_{c}") for c in ("id", "none", "tie")]
+    pairs = pairs.withColumnsRenamed({"next_id": "after_id", "next_tie": "after_tie"})
+    steps = keyed(keyed(pairs, "doc_id", "tie", "to"), "after_id", "after_tie", "next")
+    steps = steps.select(F.floor(F.col("n_chars") / 3).cast("int").alias("need"), *[f"{x}_{c}" for x in ("to", "next") for c in ("id", "none", "tie")])
+    # both joins read the same columns of the texts, so that these are shuffled once for the two
+    own = keyed(own, "doc_id", "tie", "own").drop("doc_id", "tie")
+    pieces = (own.join(steps, this("own", "next"))
+              .select("to_id", "to_none", "to_tie", "need", F.expr("left(text, need)").alias("piece")).groupBy("to_id", "to_none", "to_tie").agg(F.first("need").alias("need"), F.first("piece").alias("piece")))
+    both = own.join(pieces, this("own", "to"))
     n = F.char_length("text")
-    both = both.select("doc_id", "tie", "text", n.cast("long").alias("n_chars"), F.concat(F.expr("left(text, char_length(text) - need)"), "piece").alias("edited"))
+    both = both.select(F.when(~F.col("own_none"), F.col("own_id")).alias("doc_id"), F.col("own_tie").alias("tie"), "text", n.cast("long").alias("n_chars"), F.concat(F.expr("left(text, char_length(text) - need)"), "piece").alias("edited"))
     prints = written(both.select("doc_id", "tie", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("text")).alias("own"), fingerprint(F.col("edited")).alias("changed")), "fingerprints")
+    prints = keyed(prints, "doc_id", "tie", "own").drop("tie")
 
-    by_key = prints.select(F.col("doc_id").alias("p_id"), F.col("tie").alias("p_tie"), F.col("own").alias("next")).dropDuplicates(["p_id", "p_tie"])
-    following = (pairs.join(by_key, this("next_id", "p_id") & (F.col("next_tie") == F.col("p_tie")))
-                 .select(F.col("doc_id").alias("to_id"), F.col("tie").alias("to_tie"), "next"))
-    out = prints.join(following, this("doc_id", "to_id") & (F.col("tie") == F.col("to_tie")))
+    by_key = prints.select(F.col("own_id").alias("p_id"), F.col("own_none").alias("p_none"), F.col("own_tie").alias("p_tie"), F.col("own").alias("next")).dropDuplicates(["p_id", "p_none", "p_tie"])
+    following = steps.join(by_key, this("next", "p")).select("to_id", "to_none", "to_tie", "next")
+    out = prints.join(following, this("own", "to"))
     return out.select("doc_id", "n_chars", "edited_sha256", written_out(F.col("own")).alias("fingerprint"), written_out(F.col("changed")).alias("edited_fingerprint"),
                       likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"))
