@@ -19,6 +19,7 @@ import heapq
 import re
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -33,6 +34,8 @@ _LITERAL = "\ud800"
 _CACHE = 400_000
 #: Longer units are cut one by one and not remembered; shorter ones are cut side by side, so many at a time.
 _SHORT, _SIDE = 64, 4096
+#: Characters of texts whose units are held at a time (a longer text is held alone).
+_GROUP = 1 << 20
 _MASK = 2**64 - 1
 _models: dict[tuple, Segmenter] = {}
 
@@ -75,7 +78,7 @@ class Segmenter:
         self.join_keys = np.array([k for k, _, _ in joins] + [np.iinfo(np.int64).max], np.int64)
         self.join_ranks = np.array([r for _, r, _ in joins] + [np.inf])
         self.join_to = np.array([t for _, _, t in joins] + [-1], np.int64)
-        self.symbol_of = np.full(0x110000, -1, np.int64)
+        self.symbol_of = np.full(0x110000, -1, np.int32)
         for x, i in symbols.items():
             if len(x) == 1:
                 self.symbol_of[ord(x)] = i
@@ -220,7 +223,16 @@ class Segmenter:
             known.update(zip(some, self._side(some, variant)))
         return {u: self._one(u, variant) for u in units if len(u) > _SHORT}
 
-    def encode_all(self, texts: list[str], doc_keys: list[int]) -> list[np.ndarray]:
+    def encode_all(self, texts: list[str], doc_keys: list[int]) -> Iterator[np.ndarray]:
+        """The ids of each text in turn."""
+        first = size = 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if size >= _GROUP or i + 1 == len(texts):
+                yield from self._group(texts[first: i + 1], doc_keys[first: i + 1])
+                first, size = i + 1, 0
+
+    def _group(self, texts: list[str], doc_keys: list[int]) -> list[np.ndarray]:
         cut = [self.unit.findall(BLANK + t.replace(BLANK, _LITERAL).replace(" ", BLANK)) if t else [] for t in texts]
         if self.variants == 1:
             which = [[0] * len(units) for units in cut]
@@ -241,7 +253,7 @@ class Segmenter:
         return [np.frombuffer(b"".join([now[v][u] if x is None else x for u, v, x in zip(units, vs, p)] if None in p else p), "<u4") for units, vs, p in zip(cut, which, parts)]
 
     def encode(self, text: str, doc_key: int) -> np.ndarray:
-        return self.encode_all([text], [doc_key])[0]
+        return self._group([text], [doc_key])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         data = b"".join(map(self.raw.__getitem__, ids.tolist()))
