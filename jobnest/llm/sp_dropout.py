@@ -3,11 +3,13 @@
 A text gets the model's leading blank, blanks become U+2581, and it is cut where no piece of the model crosses: before
 runs of blanks and around ASCII characters that no piece joins to others.  In each unit an agenda holds the candidate merges (neighbours whose join is a piece), the best score
 first, then the leftmost.  A candidate that comes up is skipped for good when the keyed hash of its place (start, middle,
-end), the unit and the unit's *variant* falls below ``dropout``; else its two symbols become one.  What is left are
+end) and of the *occurrence* of the unit falls below ``dropout``; else its two symbols become one.  What is left are
 pieces, or the bytes of characters that are none.  With ``dropout`` 0 this is the model's own segmentation.
 
-The variant (one of ``VARIANTS``) is a keyed hash of seed, document id and the unit's place in the text, so the same word
-is cut in several ways within a text and a corpus, reruns agree, and another seed gives other cuts.
+An occurrence is the keyed hash of seed, document id, text and the unit's place in the text, so every word is drawn anew
+wherever it stands, reruns agree, and another seed gives other cuts.  What is remembered of a unit is the tree of its
+candidates and what each way through it ends in, never a draw: occurrences walk the trees side by side, each with its own
+skips, and a way that none has gone before is cut by the agenda.
 
 Decoding joins the pieces' bytes and drops the leading blank: texts come back exactly (a U+2581 in a text goes through
 byte pieces).  A null text is null ids, an empty one no ids; repeated rows get equal ids; an empty table gives no rows.
@@ -16,6 +18,7 @@ byte pieces).  A null text is null ids, an empty one no ids; repeated rows get e
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 import struct
 import zlib
@@ -27,23 +30,26 @@ from pyspark.sql import DataFrame
 
 from .common import map_batches, mixed, pick
 
-DROPOUT, SEED, VARIANTS = 0.1, 29, 4
+DROPOUT, SEED = 0.1, 29
 BLANK = "▁"
 #: Stands for a U+2581 of the text itself, which must not become a blank: a lone surrogate, which no text can hold.
 _LITERAL = "\ud800"
-_CACHE = 400_000
+#: Most nodes of the remembered trees; beyond them all trees are begun anew.
+_MEMORY = 3_000_000
 #: Longer units are cut one by one and not remembered; shorter ones are cut side by side, so many at a time.
 _SHORT, _SIDE = 64, 4096
 #: Characters of texts whose units are held at a time (a longer text is held alone).
 _GROUP = 1 << 20
 _MASK = 2**64 - 1
+#: Nodes whose next candidate is not known yet, and nodes where a way ends.
+_OPEN, _END = -1, -2
 _models: dict[tuple, Segmenter] = {}
 
 
 class Segmenter:
-    """Model tables, and a bounded memory of units by variant."""
+    """Model tables, and a bounded memory of units' trees."""
 
-    def __init__(self, path: str, dropout: float, seed: int, variants: int):
+    def __init__(self, path: str, dropout: float, seed: int, memory: int = _MEMORY):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -84,9 +90,37 @@ class Segmenter:
                 self.symbol_of[ord(x)] = i
         self.symbol_id = np.array([self.id.get(x, -1) for x in symbols] + [-1], np.int64)
         self.below = int(dropout * 2**64)
-        self.seed, self.variants = seed, variants if dropout else 1
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.older: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.seed, self.memory = seed, memory
+        self._forget()
+
+    def _forget(self) -> None:
+        """Begins all trees anew.  A node has the hash of its candidate, and as its kids the node behind the merge and
+        behind it the one behind the skip; where a way ends it has the place and number of its ids."""
+        self.roots: dict[str, int] = {}
+        self.n_nodes = self.n_ids = 0
+        self.place, self.kids, self.depth = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int16)
+        self.first, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.ids = np.zeros(1 << 16, np.uint32)
+
+    def _nodes(self, n: int, depth: int) -> int:
+        """The first of ``n`` new open nodes."""
+        at, self.n_nodes = self.n_nodes, self.n_nodes + n
+        if self.n_nodes > len(self.kids):
+            for name in ("place", "kids", "depth", "first", "count"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros(max(len(old) // 2, n), old.dtype)]))
+        self.kids[at: self.n_nodes], self.depth[at: self.n_nodes] = _OPEN, depth
+        return at
+
+    def _end(self, nodes: np.ndarray, ids: list[bytes]) -> None:
+        """Ways end at ``nodes`` in these ids."""
+        new = np.frombuffer(b"".join(ids), "<u4")
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        if self.n_ids + len(new) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids) // 2, len(new)), np.uint32)])
+        self.ids[self.n_ids: self.n_ids + len(new)] = new
+        self.kids[nodes], self.first[nodes], self.count[nodes] = _END, self.n_ids + np.cumsum(counts) - counts, counts
+        self.n_ids += len(new)
 
     @classmethod
     def of(cls, *key) -> Segmenter:
@@ -96,8 +130,8 @@ class Segmenter:
             _models[key] = cls(*key)
         return _models[key]
 
-    def pieces(self, unit: str, variant: int) -> list[str]:
-        """The agenda: symbols are named by their first character's place."""
+    def pieces(self, unit: str, key: int) -> list[str]:
+        """The agenda, with the skips of occurrence ``key``: symbols are named by their first character's place."""
         n = len(unit)
         rank = self.rank.get
         agenda = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := rank(unit[i: i + 2])) is not None]
@@ -107,7 +141,6 @@ class Segmenter:
         end = list(range(1, n + 1))  # 0 where a symbol has been joined to the one before it
         before = list(range(-1, n - 1))
         below = self.below
-        key = self._key(unit, variant) if below else 0
         pop, push = heapq.heappop, heapq.heappush
         while agenda:
             _, a, b, stop = pop(agenda)
@@ -135,11 +168,8 @@ class Segmenter:
             i = end[i]
         return out
 
-    def _key(self, unit: str, variant: int) -> int:
-        return xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + variant)
-
-    def _one(self, unit: str, variant: int) -> bytes:
-        return self._bytes([(self.id.get(piece, -1), piece) for piece in self.pieces(unit, variant)])
+    def _one(self, unit: str, key: int) -> bytes:
+        return self._bytes([(self.id.get(piece, -1), piece) for piece in self.pieces(unit, key)])
 
     def _bytes(self, pieces: list[tuple[int, str]]) -> bytes:
         """Ids of pieces; of those that are none (id -1), of their characters' bytes."""
@@ -158,8 +188,10 @@ class Segmenter:
         real = (left >= 0) & (right >= 0) & (self.join_keys[at] == keys)
         return np.where(real, self.join_ranks[at], np.inf), np.where(real, self.join_to[at], -1)
 
-    def _side(self, units: list[str], variant: int) -> list[bytes]:
-        """What ``pieces`` gives, for many short units at once: each step takes every unit's best candidate."""
+    def _side(self, units: list[str], keys: np.ndarray | int, nodes: np.ndarray | None = None) -> list[bytes]:
+        """What ``pieces`` gives, for many short units at once: each step takes every unit's best candidate.
+
+        ``nodes`` are the open nodes that the units have come to; they move to the ways' ends as the trees grow."""
         n, width = len(units), max(map(len, units))
         size = np.array([len(u) for u in units])
         inside = np.arange(width) < size[:, None]
@@ -169,8 +201,9 @@ class Segmenter:
         before = np.tile(np.arange(-1, width), (n, 1))
         alive = inside.copy()
         rank, to = self._joins(symbol[:, :width], symbol[:, 1:])
-        keys = np.array([self._key(u, variant) for u in units], np.uint64) if self.below else np.zeros(n, np.uint64)
+        keys = np.broadcast_to(np.asarray(keys, np.uint64), n)
         rows = np.arange(n)
+        step = 0
         while True:
             a = rank[rows].argmin(axis=1)
             some = rank[rows, a] < np.inf
@@ -182,7 +215,16 @@ class Segmenter:
             rank[rows, a] = np.inf
             r = rows
             if self.below:
-                go = ~self._skipped(keys[r], a, b, stop)
+                place = self._place(a, b, stop)
+                skip = self._skipped(keys[r], place)
+                if nodes is not None:
+                    new = self.depth[nodes[r]] <= step
+                    at = nodes[r[new]]
+                    kids = self._nodes(2 * len(at), step + 1) + 2 * np.arange(len(at))
+                    self.place[at], self.kids[at] = place[new], kids
+                    nodes[r[new]] = kids + skip[new]
+                    step += 1
+                go = ~skip
                 r, a, b, stop = r[go], a[go], b[go], stop[go]
             symbol[r, a] = to[r, a]
             end[r, a] = stop
@@ -204,24 +246,53 @@ class Segmenter:
             out[i] = self._bytes([(int(self.symbol_id[symbol[i, x]]), units[i][x: end[i, x]]) for x in starts.tolist()])
         return out
 
-    def _skipped(self, key: np.ndarray, a: np.ndarray, b: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        """The skips of ``pieces``, for arrays."""
+    @staticmethod
+    def _place(a: np.ndarray, b: np.ndarray, stop: np.ndarray) -> np.ndarray:
         a, b, stop = (x.astype(np.uint64) for x in (a, b, stop))
-        x = (key ^ (a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F) + stop * np.uint64(0x165667B19E3779F9))) * np.uint64(0xBF58476D1CE4E5B9)
-        return (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) < np.uint64(min(self.below, _MASK))
-
-    def _learn(self, units: set[str], variant: int) -> dict[str, bytes]:
-        """Remembers the short ones of these units; gives the others."""
-        if len(self.known[variant]) >= _CACHE // self.variants:
-            self.older[variant], self.known[variant] = self.known[variant], {}
-        known, older = self.known[variant], self.older[variant]
-        again = units & older.keys()
-        known.update((u, older[u]) for u in again)
-        new = sorted((u for u in units - again if len(u) <= _SHORT), key=len)
-        for i in range(0, len(new), _SIDE):
-            some = new[i: i + _SIDE]
-            known.update(zip(some, self._side(some, variant)))
-        return {u: self._one(u, variant) for u in units if len(u) > _SHORT}
+        return a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F) + stop * np.uint64(0x165667B19E3779F9)
+
+    def _skipped(self, key: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The skips of ``pieces``, for arrays."""
+        x = (key ^ place) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        return x < np.uint64(self.below) if self.below <= _MASK else np.ones(len(x), bool)
+
+    def _walk(self, units: list[str], keys: np.ndarray) -> np.ndarray:
+        """The nodes where the ways of these occurrences end."""
+        long = [i for i, u in enumerate(units) if len(u) > _SHORT]
+        for u in set(units) - self.roots.keys():
+            if len(u) <= _SHORT:
+                self.roots[u] = self._nodes(1, 0)
+        node = np.fromiter(map(self.roots.get, units, itertools.repeat(-1)), np.int64, len(units))
+        if long:
+            node[long] = self._nodes(len(long), 0) + np.arange(len(long))
+            self._end(node[long], [self._one(units[i], k) for i, k in zip(long, keys[long].tolist())])
+        todo = np.arange(len(units))
+        while len(todo):
+            live = todo
+            while len(live):
+                kids = self.kids[node[live]]
+                inner = kids >= 0
+                live, kids = live[inner], kids[inner]
+                node[live] = kids + self._skipped(keys[live], self.place[node[live]])
+            todo = todo[self.kids[node[todo]] == _OPEN]
+            if not len(todo):
+                break
+            # one occurrence grows the tree at each open node; the others follow it, or are cut too if they are few
+            some = todo[np.unique(node[todo], return_index=True)[1]]
+            rest = np.setdiff1d(todo, some) if len(todo) <= _SIDE else todo[:0]
+            if len(rest):
+                aside = self._nodes(len(rest), np.iinfo(np.int16).max) + np.arange(len(rest))
+                node[rest] = aside
+                some, todo = np.concatenate([some, rest]), rest[:0]
+            some = some[np.argsort([len(units[i]) for i in some.tolist()], kind="stable")]
+            for i in range(0, len(some), _SIDE):
+                mine = some[i: i + _SIDE]
+                ends = node[mine]
+                ids = self._side([units[j] for j in mine.tolist()], keys[mine], ends)
+                self._end(ends, ids)
+                node[mine] = ends
+        return node
 
     def encode_all(self, texts: list[str], doc_keys: list[int]) -> Iterator[np.ndarray]:
         """The ids of each text in turn."""
@@ -233,24 +304,23 @@ class Segmenter:
                 first, size = i + 1, 0
 
     def _group(self, texts: list[str], doc_keys: list[int]) -> list[np.ndarray]:
+        if self.n_nodes > self.memory or self.n_ids > 4 * self.memory:
+            self._forget()
         cut = [self.unit.findall(BLANK + t.replace(BLANK, _LITERAL).replace(" ", BLANK)) if t else [] for t in texts]
-        if self.variants == 1:
-            which = [[0] * len(units) for units in cut]
+        n = np.array([len(units) for units in cut])
+        ends = np.cumsum(n)
+        if not self.below:
+            keys = np.zeros(ends[-1], np.uint64)
         else:
-            which = [(mixed(np.arange(len(units), dtype=np.uint64) + np.uint64(k << 20 & _MASK), self.seed) % np.uint64(self.variants)).tolist() for units, k in zip(cut, doc_keys)]
-        get = [d.get for d in self.known]
-        parts = [[get[v](u) for u, v in zip(*x)] for x in zip(cut, which)]
-        missing: list[set[str]] = [set() for _ in range(self.variants)]
-        for units, vs, p in zip(cut, which, parts):
-            if None in p:
-                for u, v, x in zip(units, vs, p):
-                    if x is None:
-                        missing[v].add(u)
-        now = []
-        for v, units in enumerate(missing):
-            rest = self._learn(units, v)
-            now.append({u: rest[u] if len(u) > _SHORT else self.known[v][u] for u in units})
-        return [np.frombuffer(b"".join([now[v][u] if x is None else x for u, v, x in zip(units, vs, p)] if None in p else p), "<u4") for units, vs, p in zip(cut, which, parts)]
+            text_keys = np.array([xxhash.xxh3_64_intdigest(t.encode(), self.seed) for t in texts], np.uint64)
+            doc = mixed(mixed(np.array(doc_keys, np.uint64), self.seed) ^ text_keys, self.seed)
+            keys = mixed(np.repeat(doc, n) + (np.arange(ends[-1]) - np.repeat(ends - n, n)).astype(np.uint64), self.seed)
+        node = self._walk([u for units in cut for u in units], keys)
+        counts = self.count[node].astype(np.int64)
+        stops = np.cumsum(counts)
+        ids = self.ids[np.repeat(self.first[node] - stops + counts, counts) + np.arange(counts.sum())]
+        stops = np.append(0, stops)
+        return [ids[x:y] for x, y in zip(stops[ends - n].tolist(), stops[ends].tolist())]
 
     def encode(self, text: str, doc_key: int) -> np.ndarray:
         return self._group([text], [doc_key])[0]
@@ -264,11 +334,11 @@ def _key(doc_id: int | None) -> int:
     return 0 if doc_id is None else (doc_id & _MASK)
 
 
-def encode(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """(doc_id, ids) of every row of ``docs`` (doc_id, text)."""
 
     def run(batch):
-        s = Segmenter.of(model, dropout, seed, variants)
+        s = Segmenter.of(model, dropout, seed)
         texts = batch.column(1).to_pylist()
         got = s.encode_all([t or "" for t in texts], list(map(_key, batch.column(0).to_pylist())))
         ids = [None if t is None else x.astype(np.int32) for t, x in zip(texts, got)]
@@ -281,19 +351,19 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     """(doc_id, text) of rows (doc_id, ids)."""
 
     def run(batch):
-        s = Segmenter.of(model, 0.0, 0, 1)
+        s = Segmenter.of(model, 0.0, 0)
         return {"doc_id": batch.column(0), "text": [None if i is None else s.decode(np.array(i, np.int64)) for i in batch.column(1).to_pylist()]}
 
     return map_batches(pick(encoded, doc_id="long", ids="array<int>"), run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def round_trip(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """Per row of ``docs`` the digests of its ids and of what they decode to: doc_id, n_tokens, ids_crc32 (of the ids as
     little-endian uint32), decoded_sha256, lossless.  A null text counts as empty here."""
     import hashlib
 
     def run(batch):
-        s = Segmenter.of(model, dropout, seed, variants)
+        s = Segmenter.of(model, dropout, seed)
         out: dict[str, list] = {"doc_id": batch.column(0), "n_tokens": [], "ids_crc32": [], "decoded_sha256": [], "lossless": []}
         texts = batch.column(1).to_pylist()
         for t, ids in zip(texts, s.encode_all([t or "" for t in texts], list(map(_key, batch.column(0).to_pylist())))):

@@ -586,3 +586,35 @@ def test_units_of_the_byte_tokenizer_are_cut_where_tokens_end():
     texts = ["".join(rng.choice("abZ9 .,'s\n\t\r_-! é\u0301–中😀ª²\u00a0") for _ in range(rng.randint(0, 60))) for _ in range(3000)] + ["x" * 500, "\nWord", "a\n\nb", ""]
     for some in (texts, texts[::-1]):
         assert [x.tolist() for x in e.encode(some)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_dropout_draws_every_occurrence_anew():
+    """Frequent words fall into all their segmentations, each as often as independent draws of the agenda give it."""
+    from collections import Counter
+    s = sp_dropout.Segmenter(vocabulary(PIECE_BPE), 0.1, 29)
+    word, n = "understanding", 20_000
+    got = Counter()
+    for doc in range(10):
+        ids = s.encode(" ".join([word] * (n // 10)), doc).tolist()
+        for text in "\0".join(s.raw[i].decode() if s.raw[i][:1] != b" " else "\0" + s.raw[i].decode() for i in ids).split("\0\0"):
+            got[text.removeprefix("\0")] += 1
+    rng, want = random.Random(1), Counter()
+    for _ in range(n):
+        want["\0".join(s.pieces(sp_dropout.BLANK + word, rng.getrandbits(64))).replace(sp_dropout.BLANK, " ")] += 1
+    assert sum(got.values()) == n and len(got) > 20
+    assert all(abs(got[k] - want[k]) < 6 * (want[k] + 25) ** 0.5 for k in {*got, *want})
+
+
+def test_trees_give_what_the_agenda_gives():
+    rng = random.Random(7)
+    words = ["the", "understanding", "of", "segmentation", "日本", "naïve", "x" * 70, "a-b", "internationalization"]
+    texts_ = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 300))) for _ in range(40)]
+    for dropout in (0.0, 0.1, 0.6, 1.0):
+        known, fresh = (sp_dropout.Segmenter(vocabulary(PIECE_BPE), dropout, 3, m) for m in (10**6, 0))
+        a = [x.tolist() for x in known.encode_all(texts_ * 2, list(range(40)) * 2)]
+        assert a[:40] == a[40:] == [fresh.encode(t, i).tolist() for i, t in enumerate(texts_)]
+        seen = []
+        walk = known._walk
+        known._walk = lambda units, keys: seen.append((units, keys)) or walk(units, keys)
+        ids = known.encode(texts_[0], 0).tolist()
+        assert ids == [i for u, k in zip(seen[0][0], seen[0][1].tolist()) for i in np.frombuffer(known._one(u, k), "<u4").tolist()]
