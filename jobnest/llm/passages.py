@@ -1,98 +1,195 @@
-"""Substring deduplication by content-defined chunks.
-
-A gear hash rolls over a text's UTF-8 bytes; a chunk ends where the top bits of the last ``WINDOW`` bytes' hash are zero,
-so cuts depend on the text around them alone and come back after any insertion.  A chunk with its successor is one
-digest; digests that occur in two documents or more are repeated.  Consecutive repeated digests of a document make a
-run, and a run of ``MIN_WORDS`` words or more is a repeated passage.  What lies before the first and behind the last cut
-of a passage is not seen, about ``MEAN`` bytes on either side; ``MIN_WORDS`` allows for that, so that passages of over
-50 words are found while lines of a few words are left alone.
-
-Named with a run is the first document that has all of it: no digest's first document comes later, and a digest of the
-passage alone comes first there.  Null and empty texts have no
-chunks.  Copies are runs over whole texts.  Rows that repeat an id are one document.  An empty table gives no rows.
+"""Substring deduplication by winnowed windows and exact extension.
+
+A hash rolls over a text's UTF-8 bytes, ``WINDOW`` at a time; of every ``STEP`` windows in a row the smallest hash stands
+for the text.  What is chosen depends on the bytes there alone, so two texts that share ``WINDOW + STEP - 1`` bytes (51
+words have as many) share a hash, wherever those bytes lie.  A hash of two documents or more proposes each of them with
+the first that has it.  A pair's texts are then compared byte by byte: where they share a window the match is extended to
+both sides as far as the texts agree, and cut back to whole words.  Matches of ``MIN_WORDS`` words or more are repeated
+passages, so that passages of over 50 words are found whole while lines of a few words are left alone.
+
+Every row names one pair: the passage as its first document has it.  A document may have passages that overlap, with one
+first document or several; a first document has a row, named after itself, for each of its passages that a later one
+has.  A document is compared with the first document of each of its hashes, not with all that have it.  Null and empty
+texts have no passages.  Copies are passages of whole texts.  Rows that repeat an id are one document.  An empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import flat, map_batches, pick, place
+from .common import flat, map_batches, mixed, pick, place
 
-WINDOW, MEAN = 32, 28
+WINDOW, STEP = 48, 54
 MIN_WORDS = 20
 
 
 def _gear() -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(8)).integers(0, 2**32, 256, dtype=np.uint64)
+    return np.random.Generator(np.random.PCG64(8)).integers(0, 2**64, 256, dtype=np.uint64)
 
 
 _GEAR = _gear()
-_LIMIT = np.uint64(2**32 // MEAN)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-
+_BASE = 0x9E3779B97F4A7C15
+_SPACE = b" \t\n\x0b\x0c\r"
+
+
+def hashes(data: np.ndarray) -> np.ndarray:
+    """Of each window its hash: the sum of gear[byte] times a power of the base, built by doubling the window.  A text of
+    less than a window has one, of all its bytes."""
+    h, whole, width, done = _GEAR[data], np.zeros(len(data), np.uint64), 1, 0
+    while width <= WINDOW:
+        if WINDOW & width:
+            whole[done:] += h[:max(0, len(h) - done)] * np.uint64(pow(_BASE, done, 2**64))
+            done += width
+        h[width:] += h[:-width] * np.uint64(pow(_BASE, width, 2**64))
+        width *= 2
+    return mixed(whole[min(WINDOW, len(whole)) - 1:])
 
-def cuts(data: np.ndarray) -> np.ndarray:
-    """Ends of the chunks of a text's bytes, the text's end included.
 
-    hash(i) = sum of gear[byte(i - j)] << j, for j < 32, in 32 bits; it is built by doubling the window."""
-    h = _GEAR[data]
+def _slide(least, h: np.ndarray, n: int) -> np.ndarray:
+    """``least`` of every ``n`` values in a row."""
     width = 1
-    while width < WINDOW:
-        h[width:] += h[:-width] << np.uint64(width) & np.uint64(0xFFFFFFFF)
-        width *= 2
-    ends = np.flatnonzero((h & np.uint64(0xFFFFFFFF)) < _LIMIT) + 1
-    return ends if len(ends) and ends[-1] == len(data) else np.append(ends, len(data))
+    while width < n:
+        by = min(width, n - width)
+        h = least(h[:-by], h[by:])
+        width += by
+    return h
+
+
+def chosen(h: np.ndarray) -> np.ndarray:
+    """The places of the smallest of every ``STEP`` hashes in a row."""
+    n = min(STEP, len(h))
+    least = _slide(np.minimum, h, n)
+    # the largest of the minima of the runs that a hash is in
+    edge = np.zeros(n - 1, np.uint64)
+    return np.flatnonzero(_slide(np.maximum, np.concatenate([edge, least, edge]), n) == h)
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Ends of the windows that stand for a text's bytes."""
+    return chosen(hashes(data)) + min(WINDOW, len(data))
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """(digest, doc_id, start, end, word, words) of every chunk and its successor: bytes [start, end), the number of
-    words that begin before ``start`` and before ``end``."""
+def digests(docs: DataFrame) -> DataFrame:
+    """(digest, doc_id): the hashes that stand for every document."""
 
     def cut(batch):
         import pyarrow as pa
 
-        out = {k: [] for k in ("digest", "doc_id", "start", "end", "word", "words")}
+        digest, owner = [], []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-            data = np.frombuffer(text, np.uint8)
-            edges = np.concatenate(([0], cuts(data)))
-            if len(edges) < 3:
-                edges = np.array([0, len(data), len(data)])
-            space = _SPACE[data]
-            begins = ~space & np.concatenate(([True], space[:-1]))
-            upto = np.concatenate(([0], np.cumsum(begins)))
-            start, end = edges[:-2], edges[2:]
-            out["digest"].append(np.fromiter((xxhash.xxh3_64_intdigest(text[s:e]) for s, e in zip(start.tolist(), end.tolist())), np.uint64, len(start)).astype(np.int64))
-            out["doc_id"].append(np.full(len(start), doc_id))
-            out["start"].append(start)
-            out["end"].append(end)
-            out["word"].append(upto[start])
-            out["words"].append(upto[end])
-        return {k: np.concatenate(v) for k, v in out.items()} if out["start"] else None
-
-    own = pick(docs, doc_id="long", text="string").filter("doc_id is not null and text <> ''")
-    return map_batches(own, cut, "digest long, doc_id long, start int, end int, word int, words int")
+            h = hashes(np.frombuffer(text, np.uint8))
+            digest.append(np.unique(h[chosen(h)]).view(np.int64))
+            owner.append(np.full(len(digest[-1]), doc_id))
+        return {"digest": np.concatenate(digest), "doc_id": np.concatenate(owner)} if digest else None
+
+    return map_batches(docs, cut, "digest long, doc_id long")
+
+
+class Matcher:
+    """The passages that texts share with this one."""
+
+    def __init__(self, text: bytes):
+        self.text, self.back = text, text[::-1]
+        h = hashes(np.frombuffer(text, np.uint8))
+        at = chosen(h)
+        self.at = at[np.argsort(h[at], kind="stable")]
+        self.hash = h[self.at]
+
+    def __call__(self, text: bytes, min_words: int) -> list[tuple[int, int, int, int]]:
+        """(start, end, first_start, n_words) of every match of ``min_words`` words that is as long as it can be."""
+        if text == self.text:
+            n = len(text.split())
+            return [(0, len(text), 0, n)] if n >= min_words else []
+        if min(len(text), len(self.text)) < WINDOW:
+            return []
+        h = hashes(np.frombuffer(text, np.uint8))
+        at = chosen(h)
+        lo, hi = (np.searchsorted(self.hash, h[at], side) for side in ("left", "right"))
+        some = np.flatnonzero(hi > lo)
+        out, done, back = [], 0, text[::-1]
+        for i, x, y in zip(at[some].tolist(), lo[some].tolist(), hi[some].tolist()):
+            # a window inside the match before belongs to it
+            if i + WINDOW <= done:
+                continue
+            best = (0, 0, 0)
+            for j in self.at[x:y].tolist():
+                ahead = _agree(text, i, self.text, j)
+                if ahead >= WINDOW:
+                    behind = _agree(back, len(text) - i, self.back, len(self.text) - j)
+                    best = max(best, (behind + ahead, i - behind, j - behind))
+                    if i + ahead == len(text) and i == behind:
+                        break
+            size, start, first = best
+            if size:
+                done = start + size
+                a, b = self._words(text, start, done, first)
+                n = len(text[a:b].split())
+                if n >= min_words:
+                    out.append((a, b, first + a - start, n))
+        return out
+
+    def _words(self, text: bytes, start: int, end: int, first: int) -> tuple[int, int]:
+        """The part of a match that is whole words of both texts, and all white space at the ends that both begin or end with."""
+        cut = lambda t, i: 0 < i < len(t) and t[i - 1] not in _SPACE and t[i] not in _SPACE
+        a, b, last = start, end, first + end - start
+        if cut(text, a) or cut(self.text, first):
+            while a < b and text[a] not in _SPACE:
+                a += 1
+        if cut(text, b) or cut(self.text, last):
+            while a < b and text[b - 1] not in _SPACE:
+                b -= 1
+        if start or first:
+            a = b - len(text[a:b].lstrip(_SPACE))
+        if end < len(text) or last < len(self.text):
+            b = a + len(text[a:b].rstrip(_SPACE))
+        return a, b
+
+
+def _agree(a: bytes, i: int, b: bytes, j: int) -> int:
+    """How many bytes are equal from ``i`` and ``j`` on."""
+    n, at, step = min(len(a) - i, len(b) - j), 0, 64
+    while at < n:
+        m = min(step, n - at)
+        if a[i + at: i + at + m] != b[j + at: j + at + m]:
+            return at + int((np.frombuffer(a, np.uint8, m, i + at) != np.frombuffer(b, np.uint8, m, j + at)).argmax())
+        at, step = at + m, step * 2
+    return n
 
 
 def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, start, end, n_words, first_doc_id) of every passage (bytes of the text) that another document has too.
 
-    Digests are counted with map-side sums; the join back to the occurrences is one that Spark can split by size."""
-    all_ = chunks(docs)
+    Digests are counted with map-side sums; the joins back to the occurrences and to the texts are ones that Spark can
+    split by size."""
+    own = pick(docs, doc_id="long", text="string").filter("doc_id is not null and text <> ''")
+    all_ = digests(own)
     twice = all_.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("_last")).filter("first_doc_id < _last").select("digest", "first_doc_id")
-    found = all_.join(twice, "digest").drop("digest")
-    # neighbours overlap in a chunk: a run goes on while the next one begins before the last one's end
-    place_ = W.partitionBy("doc_id").orderBy("start", "end")
-    before = F.max("end").over(place_.rowsBetween(W.unboundedPreceding, -1))
-    runs = found.withColumn("_new", F.when(F.col("start") < before, 0).otherwise(1))
-    runs = runs.withColumn("_run", F.sum("_new").over(place_.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    spans = runs.groupBy("doc_id", "_run").agg(F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"),
-                                               (F.max("words") - F.min("word")).cast("long").alias("n_words"), F.max("first_doc_id").alias("first_doc_id"))
-    return spans.filter(F.col("n_words") >= min_words).drop("_run")
+    pairs = all_.join(twice, "digest").filter("first_doc_id < doc_id").select("doc_id", "first_doc_id").distinct()
+    # rows that repeat an id and its text would meet each other's
+    involved = pairs.select("doc_id").union(pairs.select("first_doc_id")).distinct()
+    texts = own.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    later = pairs.join(texts, "doc_id")
+    both = later.join(texts.select(F.col("doc_id").alias("first_doc_id"), F.col("text").alias("first_text")), "first_doc_id")
+
+    def match(batch):
+        import pyarrow as pa
+
+        out = {k: [] for k in ("doc_id", "start", "end", "n_words", "first_doc_id")}
+        matcher = None
+        for doc_id, first, text, first_text in zip(*(batch.column(i).to_pylist() for i in range(2)), *(batch.column(i).cast(pa.binary()).to_pylist() for i in (2, 3))):
+            if matcher is None or matcher.text != first_text:
+                matcher = Matcher(first_text)
+            for start, end, at, n in matcher(text, min_words):
+                for row in ((doc_id, start, end, n, first), (first, at, at + end - start, n, first)):
+                    for k, v in zip(out, row):
+                        out[k].append(v)
+        return out
+
+    schema = "doc_id long, start long, end long, n_words long, first_doc_id long"
+    return map_batches(both.select("doc_id", "first_doc_id", "text", "first_text"), match, schema).distinct()
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -618,3 +618,21 @@ def test_trees_give_what_the_agenda_gives():
         known._walk = lambda units, keys: seen.append((units, keys)) or walk(units, keys)
         ids = known.encode(texts_[0], 0).tolist()
         assert ids == [i for u, k in zip(seen[0][0], seen[0][1].tolist()) for i in np.frombuffer(known._one(u, k), "<u4").tolist()]
+
+
+def test_passages_of_51_words_are_never_missed(spark):
+    """The miss rate over passages of 51 words, most of them short, in different surroundings."""
+    rng = random.Random(11)
+    rows, where = [], {}
+    for i in range(600):
+        longest = rng.choice([1, 1, 3, 8])
+        word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rng.randint(1, longest)))  # noqa: B023,E731
+        passage = " ".join(word() for _ in range(51))
+        for j in (2 * i, 2 * i + 1):
+            before, after = (prose(10 * j + k, rng.randint(0, 40), [f"{x}{j}" for x in "klmnop"]) for k in (1, 2))
+            text = f"{before}{' ' * bool(before)}{passage}{' ' * bool(after)}{after}"
+            at = len(f"{before} ".encode()) if before else 0
+            where[j] = (at, at + len(passage.encode()))
+            rows.append((j, text, "en", "a"))
+    got = passages.repeated(docs_frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.start, r.end, r.n_words, r.first_doc_id) for r in got) == [(j, *where[j], 51, j - j % 2) for j in range(1200)]
