@@ -193,7 +193,9 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the repeated passages cut out of every document but the first that has them; columns unchanged."""
+    """``docs`` with the repeated passages cut out of every document but the first that has them; columns unchanged.
+
+    A passage of a pair is cut whatever larger repeat it lies in."""
     names = docs.columns
     spans = repeated(docs, min_words).filter("first_doc_id < doc_id").groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
     own = flat(docs)

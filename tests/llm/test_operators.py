@@ -636,3 +636,15 @@ def test_passages_of_51_words_are_never_missed(spark):
             rows.append((j, text, "en", "a"))
     got = passages.repeated(docs_frame(spark, rows)).collect()
     assert sorted((r.doc_id, r.start, r.end, r.n_words, r.first_doc_id) for r in got) == [(j, *where[j], 51, j - j % 2) for j in range(1200)]
+
+
+def test_passages_within_larger_repeats(spark):
+    """A's passage inside D is A's, also where a copy of D makes all of D repeated."""
+    v = [f"w{i}" for i in range(500)]
+    p, x, y, z = (prose(50 + i, 60, v) for i in range(4))
+    d = f"{x} {p} {y}"
+    df = docs_frame(spark, [(1, f"{z} {p}", "en", "a"), (2, d, "en", "a"), (3, d, "en", "a"), (4, d, "en", "a")])
+    got = {(r.doc_id, r.start, r.end, r.first_doc_id) for r in passages.repeated(df).collect()}
+    at = len(x) + 1
+    assert got == {(1, len(z) + 1, len(z) + 1 + len(p), 1), (2, 0, len(d), 2)} | {(i, at, at + len(p), 1) for i in (2, 3, 4)} | {(i, 0, len(d), 2) for i in (3, 4)}
+    assert {r.doc_id: r.text for r in passages.without_repeats(df).collect()} == {1: f"{z} {p}", 2: f"{x}  {y}", 3: "", 4: ""}
