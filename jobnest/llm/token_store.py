@@ -91,18 +91,22 @@ _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85   -     　]")
 #: Nor does it join a letter or digit with an ASCII mark behind it, or a line end with a word: words are cut from the
 #: marks that follow them and from a single line end before them.
 _UNIT = re.compile(r"[\t\n\r](?=[0-9A-Za-z])|[ \t\n\r]*+[0-9A-Za-z]++(?=[ \t\n\r!-/:-@\[-`{-~]|\Z)|[ \t\n\r]*+[^ \t\n\r]++|[ \t\n\r]+")
-_loaded: dict[str, Encoder] = {}
+_loaded: dict[tuple, Encoder] = {}
 _CACHE = 400_000
 
 
 class Encoder:
-    """The tokenizer with a bounded memory of short units: text between white spaces is encoded once while known."""
+    """The tokenizer with a bounded memory of short units: text between white spaces is encoded once while known.
 
-    def __init__(self, path: str):
+    Texts that hold the string of an added token are encoded uncut; ``encode_special_tokens`` is the library's switch,
+    which makes the strings of special tokens ordinary text."""
+
+    def __init__(self, path: str, encode_special_tokens: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = encode_special_tokens
+        self.added = [a.content for a in self.tokenizer.get_added_tokens_decoder().values() if not (a.special and encode_special_tokens)]
         # a byte-level piece has one character for each byte
         self.widths = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
         for piece, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
@@ -112,10 +116,10 @@ class Encoder:
         self.older: dict[str, bytes] = {}
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
-        if path not in _loaded:
-            _loaded[path] = cls(path)
-        return _loaded[path]
+    def of(cls, *key) -> Encoder:
+        if key not in _loaded:
+            _loaded[key] = cls(*key)
+        return _loaded[key]
 
     def _learn(self, units: list[str]) -> None:
         again = [u for u in units if u in self.older]
@@ -146,7 +150,7 @@ class Encoder:
             self.known[unit] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [None if _ODD_SPACE.search(t) else _UNIT.findall(t) for t in texts]
+        cut = [None if _ODD_SPACE.search(t) or any(a in t for a in self.added) else _UNIT.findall(t) for t in texts]
         if len(self.known) > _CACHE:
             self.known, self.older = {}, self.known
         new = set().union(*filter(None, cut)) - self.known.keys()
@@ -172,7 +176,10 @@ SEGMENTS = ("shard int, segment int, first long, n_ids long, payload binary, blo
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
-    """Encode ``docs`` (doc_id, text) and write ``{path}/segments`` and ``{path}/shards`` (where each shard starts)."""
+    """Encode ``docs`` (doc_id, text) and write ``{path}/segments`` and ``{path}/shards`` (where each shard starts).
+
+    The ids are those of the library's plain ``encode(text, add_special_tokens=False)``: the string of a special token
+    in a text is that token."""
     rows = pick(docs, doc_id="long", text="string")
     tie = F.xxhash64("text")
     schema = arrow_schema(SEGMENTS)
@@ -183,7 +190,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> N
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        encoder = Encoder.of(tokenizer)
+        encoder = Encoder.of(tokenizer, False)
         end = np.array([end_id], np.uint32)
         segment = first = size = 0
         ids, lengths, parts = [], [], []

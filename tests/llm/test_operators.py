@@ -648,3 +648,15 @@ def test_passages_within_larger_repeats(spark):
     at = len(x) + 1
     assert got == {(1, len(z) + 1, len(z) + 1 + len(p), 1), (2, 0, len(d), 2)} | {(i, at, at + len(p), 1) for i in (2, 3, 4)} | {(i, 0, len(d), 2) for i in (3, 4)}
     assert {r.doc_id: r.text for r in passages.without_repeats(df).collect()} == {1: f"{z} {p}", 2: f"{x}  {y}", 3: "", 4: ""}
+
+
+def test_token_files_hold_the_special_tokens_of_texts(spark):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(vocabulary(BYTE_BPE))
+    texts_ = ["a <|endoftext|> b", "x<|endoftext|>y z", "<|endoftext|>", "<|endoftext|><|endoftext|> \n<|endoftext|>\n q", "<|endoftext |> <|endof text|>", "plain <|endoftext", "|> and", "<|endoftext|> " + "w" * 100, "a\x0b<|endoftext|>"]
+    path = work_root(spark, "test-specials", unique=True)
+    token_store.write(docs_frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts_)]), vocabulary(BYTE_BPE), path)
+    got = sorted(token_store.read(spark, path).collect(), key=lambda r: r.doc_id)
+    want = [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts_]
+    assert 50256 in want[0] and [np.frombuffer(bytes(r.ids), "<u4").tolist() for r in got] == want
+    assert [r.start for r in got] == [sum(map(len, want[:i])) for i in range(len(want))]
