@@ -2,7 +2,9 @@
 
 Every paragraph passes points for its length and its commas to its ancestors, discounted by link density; the container
 with the best score wins, and its siblings stay if their own score is close.  Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are cut before scoring, by tag, role, class and id.
+notices, adverts, forms, scripts, styles and reader comments are cut before scoring, by tag, role, class and id.  A form
+and what only a class, id or role marks stay if they hold the page's main part, its longest article or most of its
+paragraph points (reader comments by their whole name go however long they are).
 
 A null or empty page, and one without any text, gives an empty text.  Broken markup (unclosed tags, cut pages) is read
 as far as it goes.  Repeated rows are read one by one.
@@ -22,7 +24,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that never hold main text.
-CUT = RAW | frozenset("nav footer aside form button select option input head svg canvas object audio video dialog menu".split())
+CUT = RAW | frozenset("nav footer aside button select option input head svg canvas object audio video dialog menu".split())
 #: Words of class, id and role that mark what is not main text.
 BOILERPLATE = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
@@ -30,23 +32,31 @@ BOILERPLATE = frozenset(
     "related respond replies reply search share sharing sidebar signup social sponsor sponsored subscribe widget "
     "contentinfo complementary navigation alert alerts disclaimer toolbar".split()
 )
+#: Of these the names of what readers wrote.
+COMMENTS = frozenset("comment comments disqus replies reply respond".split())
+#: Words that say what an element has beside it, not what it is.
+BESIDE = frozenset("has with without no not non".split())
 #: Openings that close an open paragraph of the same kind first.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table body html article section div main aside nav".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
-_ATTR = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTR = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_VALUE = re.compile(r"""=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+_BARE_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s/=]|$)", re.I)
+_HIDDEN = re.compile(r"""(?:^|\s)aria-hidden\s*=\s*["']?\s*true\b|(?:^|\s)style\s*=\s*(?:"[^"]*display\s*:\s*none|'[^']*display\s*:\s*none|display:none)""", re.I)
 _WORDS = re.compile(r"[a-z]+")
+#: Marks of an element: none, cut for good, hidden, a form or a class or id that may hold the main text, readers' comments.
+KEEP, GONE, HIDDEN, DOUBT, READERS = range(5)
 
 POINTS_EVERY, MOST_LENGTH_POINTS, SIBLING_SHARE, LEAST_SIBLING = 100, 3, 0.2, 10
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "score", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "children", "cut", "mark", "score", "chars", "link_chars")
 
-    def __init__(self, tag, parent, cut):
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag, parent, mark):
+        self.tag, self.parent, self.cut, self.mark = tag, parent, mark == GONE, mark
         self.children: list = []  # nodes and strings
         self.score = 0.0
         self.chars = self.link_chars = 0
@@ -54,7 +64,7 @@ class Node:
 
 def parse(html: str) -> Node:
     """A forgiving tree of the page; text is not decoded yet."""
-    root = node = Node("#root", None, False)
+    root = node = Node("#root", None, KEEP)
     at = 0
     while at < len(html):
         m = _TAG.search(html, at)
@@ -80,7 +90,7 @@ def parse(html: str) -> Node:
             continue
         if tag not in INLINE:
             node = _closed(node, tag)
-        new = Node(tag, node, node.cut or _is_cut(tag, attrs, node))
+        new = Node(tag, node, _mark(tag, attrs, node))
         node.children.append(new)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(html, at)
@@ -101,20 +111,59 @@ def _closed(node: Node, tag: str) -> Node:
     return node
 
 
-def _is_cut(tag: str, attrs: str, parent: Node) -> bool:
+def _mark(tag: str, attrs: str, parent: Node) -> int:
     if tag in CUT:
-        return True
+        return GONE
     if tag == "header":
-        up = parent
-        while up and up.tag not in ("article", "main"):
+        return GONE if _outside(parent) else KEEP
+    if tag == "form":
+        return DOUBT
+    if tag in ("html", "body", "main", "p", "h1") or not attrs:
+        return KEEP
+    if tag != "article" and (_BARE_HIDDEN.search(_VALUE.sub("=", attrs)) or _HIDDEN.search(attrs)):
+        return HIDDEN
+    mark = KEEP
+    for m in _ATTR.finditer(attrs):
+        for name in m[2].lower().strip("\"'").split():
+            words = _WORDS.findall(name)
+            if not words or BESIDE & set(words):
+                continue
+            # the whole name, or a marker that leads or trails it
+            if words[0] in BOILERPLATE or words[-1] in BOILERPLATE:
+                if {words[0], words[-1]} & BOILERPLATE == {"header"} and not _outside(parent):
+                    continue
+                mark = max(mark, READERS if len(words) == 1 and words[0] in COMMENTS else DOUBT)
+    return mark
+
+
+def _outside(up: Node | None) -> bool:
+    """Not in an article or the main part."""
+    while up:
+        if up.tag in ("article", "main"):
+            return False
+        up = up.parent
+    return True
+
+
+def prune(root: Node) -> None:
+    """Cuts the marked elements that do not hold the main text."""
+    nodes: list[Node] = []
+    _measure(root, False, nodes)
+    if not any(n.mark for n in nodes):
+        return
+    total: dict[int, float] = {id(n): _points(n) for n in nodes}
+    for n in reversed(nodes):
+        if n.parent:
+            total[id(n.parent)] += total[id(n)]
+    holds: set[int] = set()
+    longest = max((n for n in nodes if n.tag == "article" and not n.mark), key=lambda n: total[id(n)], default=None)
+    for up in [longest, *(n for n in nodes if n.tag == "main")]:
+        while up:
+            holds.add(id(up))
             up = up.parent
-        return up is None
-    if tag in ("html", "body", "article", "main", "p", "h1") or not attrs:
-        return False
-    if _HIDDEN.search(attrs):
-        return True
-    words = {w for m in _ATTR.finditer(attrs) for w in _WORDS.findall(m[2].lower())} & BOILERPLATE
-    return bool(words and (words != {"header"} or _is_cut("header", "", parent)))
+    for n in nodes:
+        if n.mark and n.tag != "article" and id(n) not in holds:
+            n.cut = n.mark != DOUBT or 2 * total[id(n)] <= total[id(root)]
 
 
 def _measure(node: Node, link: bool, depth_first: list) -> None:
@@ -132,18 +181,25 @@ def _measure(node: Node, link: bool, depth_first: list) -> None:
     depth_first += [n for n, _ in order]
 
 
+def _points(n: Node) -> float:
+    """Of a paragraph's own text; 0 for what is none."""
+    if n.tag in INLINE or not n.parent:
+        return 0
+    text = "".join(_inline(n))
+    length = len(text.strip())
+    if not length:
+        return 0
+    return (1 + text.count(",") + min(length // POINTS_EVERY, MOST_LENGTH_POINTS)) * (1 - n.link_chars / max(1, n.chars))
+
+
 def score(root: Node) -> list[Node]:
     """Points of paragraphs, passed to the parent whole, to the next one by half and on by less."""
     nodes: list[Node] = []
     _measure(root, False, nodes)
     for n in nodes:
-        if n.tag in INLINE or not n.parent:
-            continue
-        text = "".join(_inline(n))
-        length = len(text.strip())
-        if not length:
+        points = _points(n)
+        if not points:
             continue
-        points = (1 + text.count(",") + min(length // POINTS_EVERY, MOST_LENGTH_POINTS)) * (1 - n.link_chars / max(1, n.chars))
         up, share = n.parent, 1
         while up:
             up.score += points / share
@@ -198,6 +254,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
+    prune(root)
     nodes = score(root)
     rank = lambda n: n.score * (1 - n.link_chars / max(1, n.chars))
     best = max((n for n in nodes if n.chars and n.tag not in INLINE and n.score > 0), key=rank, default=root)

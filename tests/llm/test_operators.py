@@ -660,3 +660,21 @@ def test_token_files_hold_the_special_tokens_of_texts(spark):
     want = [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts_]
     assert 50256 in want[0] and [np.frombuffer(bytes(r.ids), "<u4").tolist() for r in got] == want
     assert [r.start for r in got] == [sum(map(len, want[:i])) for i in range(len(want))]
+
+
+@pytest.mark.parametrize("mark", ['class="layout has-sidebar"', 'class="overflow-hidden"', 'aria-hidden="false"', 'id="post-with-comments"', 'data-id="ad"', 'title="hidden" class="wide"', 'class="content-sidebar"', 'class="elementor-widget"'])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_html_marks_of_what_holds_the_main_text(mark, tag):
+    body = "".join(f"<p>{'word, ' * 30}{i}</p>" for i in range(4))
+    page = f'<body><div {mark}><{tag}>{body}</{tag}></div><div class="sidebar-left"><p>{"gone, " * 20}</p></div><form><p>Subscribe, now</p></form></body>'
+    assert html_text.main_text(page).split("\n\n") == [f"{'word, ' * 30}{i}" for i in range(4)]
+    inside = f'<body><{tag}>{body}<div {mark}><p>{"side, " * 9}</p></div></{tag}></body>'
+    kept = "side" in html_text.main_text(inside)
+    assert kept == (mark not in ('class="content-sidebar"', 'class="elementor-widget"'))
+
+
+def test_html_marks_that_cut():
+    body = "".join(f"<p>{'word, ' * 30}{i}</p>" for i in range(4))
+    readers = "".join(f"<article class='comment-body'><p>{'I, think, ' * 30}</p></article>" for _ in range(9))
+    page = f"<body><form id=aspnetForm><main><article>{body}</article><div id=comments>{readers}</div><div hidden><p>a, b</p></div><div aria-hidden='true'>c, d</div><div style='color:red;display: none'>e, f</div><div class='related-posts'><article><p>teaser, one</p></article></div></main></form></body>"
+    assert html_text.main_text(page).split("\n\n") == [f"{'word, ' * 30}{i}" for i in range(4)]
