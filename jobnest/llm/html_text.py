@@ -1,7 +1,8 @@
 """Main text of HTML pages by tree scoring.
 
 Every paragraph passes points for its length and its commas to its ancestors, discounted by link density; the container
-with the best score wins, and its siblings stay if their own score is close.  Menus, headers, footers, sidebars,
+with the best score wins, and its siblings stay if their own score is close or they are prose, with few links, whatever
+their element; so does bare text between them.  Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are cut before scoring, by tag, role, class and id.  A form
 and what only a class, id or role marks stay if they hold the page's main part, its longest article or most of its
 paragraph points (reader comments by their whole name go however long they are).
@@ -49,7 +50,7 @@ _WORDS = re.compile(r"[a-z]+")
 #: Marks of an element: none, cut for good, hidden, a form or a class or id that may hold the main text, readers' comments.
 KEEP, GONE, HIDDEN, DOUBT, READERS = range(5)
 
-POINTS_EVERY, MOST_LENGTH_POINTS, SIBLING_SHARE, LEAST_SIBLING = 100, 3, 0.2, 10
+POINTS_EVERY, MOST_LENGTH_POINTS, SIBLING_SHARE, MOST_LINKS = 100, 3, 0.2, 0.25
 
 
 class Node:
@@ -267,16 +268,29 @@ def main_text(html: str | None) -> str:
     best = home or best
     kept = [best]
     if best.parent and best.tag not in ("article", "main", "body", "html"):
-        least = max(LEAST_SIBLING, SIBLING_SHARE * rank(best))
-        kept = [c for c in best.parent.children if c is best or isinstance(c, Node) and not c.cut and (rank(c) >= least or _prose(c))]
+        least = SIBLING_SHARE * rank(best)
+        kept, line = [], []
+        for c in [*best.parent.children, None]:
+            if isinstance(c, str) or c and c.tag in INLINE and c is not best:
+                line.append(c)
+                continue
+            # bare text and the inline elements in it are one paragraph
+            kept += [None, *line] if _prose_line(line) else []
+            line = []
+            if c and (c is best or not c.cut and (rank(c) >= least > 0 or _prose(c))):
+                kept += [None, c]
     return "\n\n".join(blocks(kept))
 
 
 def _prose(node: Node) -> bool:
-    """Headings, and paragraphs of some length with few links."""
-    if re.fullmatch(r"h[1-6]", node.tag):
-        return True
-    return node.tag in ("p", "blockquote", "pre") and node.chars > 0 and node.link_chars < 0.25 * node.chars
+    """Headings, and text with few links."""
+    return bool(re.fullmatch(r"h[1-6]", node.tag)) or node.chars > 0 and node.link_chars < MOST_LINKS * node.chars
+
+
+def _prose_line(line: list) -> bool:
+    nodes = [c for c in line if isinstance(c, Node) and not c.cut]
+    chars = sum(len(c.strip()) for c in line if isinstance(c, str)) + sum(c.chars for c in nodes)
+    return chars > 0 and sum(c.link_chars for c in nodes) < MOST_LINKS * chars
 
 
 def extract(pages: DataFrame) -> DataFrame:

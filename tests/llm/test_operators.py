@@ -678,3 +678,11 @@ def test_html_marks_that_cut():
     readers = "".join(f"<article class='comment-body'><p>{'I, think, ' * 30}</p></article>" for _ in range(9))
     page = f"<body><form id=aspnetForm><main><article>{body}</article><div id=comments>{readers}</div><div hidden><p>a, b</p></div><div aria-hidden='true'>c, d</div><div style='color:red;display: none'>e, f</div><div class='related-posts'><article><p>teaser, one</p></article></div></main></form></body>"
     assert html_text.main_text(page).split("\n\n") == [f"{'word, ' * 30}{i}" for i in range(4)]
+
+
+def test_html_sections_of_unequal_length():
+    long, short = ("word " * 38 + "one, two, three" + str(i) for i in range(2))
+    menu = '<div><a href="/a">A link, two</a> <a href="/b">and more, links</a></div>'
+    page = (f"<body><div class=content>Bare &amp; <a href=x>b</a>oth, before<div><h2>First</h2><p>{long}</p><p>{long}</p></div>{menu}Between <b>both</b>"
+            f"<div><h2>Second</h2><p>{short}</p></div><section>End.</section><a href=/c>Away</a></div></body>")
+    assert html_text.main_text(page).split("\n\n") == ["Bare & both, before", "First", long, long, "Between both", "Second", short, "End."]
