@@ -6,7 +6,8 @@ language with the smallest out-of-place distance: over its own ``PROFILE`` most
 differences, or ``PROFILE`` where the profile lacks the n-gram.  Ties in frequency go to the smaller n-gram, ties in
 distance to the smaller language name.
 
-Profiles are fitted on a bounded sample: the ``TRAIN_ROWS`` labelled rows with the smallest keyed hash of their id.
+Profiles are fitted on a bounded sample: of each language the labelled rows with the ``TRAIN_ROWS`` smallest keyed hashes
+of their ids, so that every language has a profile however rare it is.
 ``score`` is 1 - distance / largest possible distance.  A null text, one without letters, and any text where nothing
 was learned is ``und`` with score 0.  Repeated rows are judged one by one; an empty table gives no rows.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import flat, map_batches, pick, place
 
 PROFILE = 300
-#: Bound of the training sample, for all languages together.
+#: Bound of the training sample of each language.
 TRAIN_ROWS = 20_000
 UNKNOWN = "und"
 #: The pipeline rejects a text whose best distance is this share of the largest one.
@@ -68,9 +69,13 @@ def train(docs: DataFrame, usable: Column, most_rows: int = TRAIN_ROWS) -> dict[
     The driver gets PROFILE n-grams for every language."""
     rows = pick(docs, doc_id="long", text="string", lang="string").filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
     key = F.xxhash64("doc_id", F.lit(11))
-    last = rows.select(key.alias("h")).orderBy("h").limit(most_rows).agg(F.max("h")).first()[0]
-    if last is None:
-        return {}
+    keys = rows.select("lang", key.alias("h"))
+    # a window over a language's keys below twice the share that is needed
+    sizes = keys.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    near = F.when(F.col("n") > 2 * most_rows, ((F.lit(2.0 * most_rows) / F.col("n") - 0.5) * 2.0**64).cast("long")).otherwise(2**63 - 1)
+    near = keys.join(F.broadcast(sizes.select("lang", near.alias("near"))), "lang").filter("h <= near").select("lang", "h").distinct()
+    first = near.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("h"))).filter(F.col("rank") <= most_rows)
+    last = first.groupBy("lang").agg(F.max("h").alias("last"))
 
     def count(batch):
         total: dict[str, dict[int, int]] = {}
@@ -80,7 +85,7 @@ def train(docs: DataFrame, usable: Column, most_rows: int = TRAIN_ROWS) -> dict[
                 mine[g] = mine.get(g, 0) + n
         return {"lang": [k for k, v in total.items() for _ in v], "gram": [g for v in total.values() for g in v], "n": [n for v in total.values() for n in v.values()]}
 
-    grams = map_batches(rows.filter(key <= last).select("text", "lang"), count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    grams = map_batches(rows.join(F.broadcast(last), "lang").filter(key <= F.col("last")).select("text", "lang"), count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = grams.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))).filter(F.col("rank") <= PROFILE)
     profiles: dict[str, list] = {}
     for lang, gram, rank in best.select("lang", "gram", "rank").collect():

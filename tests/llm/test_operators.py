@@ -686,3 +686,24 @@ def test_html_sections_of_unequal_length():
     page = (f"<body><div class=content>Bare &amp; <a href=x>b</a>oth, before<div><h2>First</h2><p>{long}</p><p>{long}</p></div>{menu}Between <b>both</b>"
             f"<div><h2>Second</h2><p>{short}</p></div><section>End.</section><a href=/c>Away</a></div></body>")
     assert html_text.main_text(page).split("\n\n") == ["Bare & both, before", "First", long, long, "Between both", "Second", short, "End."]
+
+
+def test_every_language_has_a_profile(spark):
+    """A language of 3 rows in 4,003, and the bound held for each of the others."""
+    from pyspark.sql import functions as F
+    rows = [(i, f"common words {chr(97 + i % 26)}", "en" if i % 2 else "fr", "a") for i in range(4000)]
+    rows += [(5000 + i, "редкий язык", "ru", "a") for i in range(3)] + [(None, "sin id", "es", "a")]
+    df = docs_frame(spark, rows)
+    profiles = langid.train(clash(df), F.lit(True), 40)
+    assert set(profiles) == {"en", "fr", "ru", "es"}
+    keys = {r.doc_id: r.h for r in df.select("doc_id", F.xxhash64("doc_id", F.lit(11)).alias("h")).collect()}
+    for lang, odd in (("en", 1), ("fr", 0)):
+        some = sorted((i for i in range(4000) if i % 2 == odd), key=keys.get)[:40]
+        total = {}
+        for i in some:
+            for g, n in zip(*[x.tolist() for x in langid.ngrams(rows[i][1])]):
+                total[g] = total.get(g, 0) + n
+        assert profiles[lang].tolist() == sorted(total, key=lambda g: (-total[g], g))[:langid.PROFILE]
+    got = langid.predict(docs_frame(spark, [(1, "язык редкий", None, "a")]), profiles).first()
+    assert got.lang_pred == "ru" and got.score > 0.5
+    assert langid.train(df.filter("false"), F.lit(True)) == {}
