@@ -25,7 +25,6 @@ from collections import OrderedDict
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import flat, map_batches, mixed, pick, place, written
@@ -285,14 +284,15 @@ def _forest(members: list[tuple[int, int, np.ndarray]], percent: int) -> list[tu
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the documents that are near-duplicates of one with a smaller id; of rows that repeat an id one
-    stays.  Documents without words stay."""
+    """``docs`` without the rows that are near-duplicates of one with a smaller id; rows without an id come after those
+    with one.  Every row is judged by its own text, so rows that repeat an id stay if their texts differ enough, and of
+    copies one stays whatever their ids.  Rows without words stay."""
     names = docs.columns
-    kept = near_duplicates(docs, shingle, percent).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    own = flat(docs)
-    at = f"c{place(docs, 'doc_id')}"
-    if_null = own.filter(F.col(at).isNull())
-    once = own.join(kept, F.col(at).cast("long") == F.col("_kept"), "left_semi")
-    first = W.partitionBy(at).orderBy(F.xxhash64(f"c{place(docs, 'text')}"))
-    once = once.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-    return once.unionAll(if_null).toDF(*names)
+    # a row's number must be the same in every job
+    own = written(flat(docs).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    rows = own.select(F.col("_row").alias("doc_id"), F.col(f"c{place(docs, 'text')}").alias("text"))
+    root = near_duplicates(rows, shingle, percent).select(F.col("doc_id").alias("_row"), "component_id")
+    doc_id = F.col(f"c{place(docs, 'doc_id')}").cast("long")
+    order = F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.col("_row").alias("row"))
+    first = own.select("_row", order.alias("order")).join(root, "_row").groupBy("component_id").agg(F.min("order")["row"].alias("_row"))
+    return own.join(first.select("_row"), "_row", "left_semi").drop("_row").toDF(*names)

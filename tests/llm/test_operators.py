@@ -707,3 +707,12 @@ def test_every_language_has_a_profile(spark):
     got = langid.predict(docs_frame(spark, [(1, "язык редкий", None, "a")]), profiles).first()
     assert got.lang_pred == "ru" and got.score > 0.5
     assert langid.train(df.filter("false"), F.lit(True)) == {}
+
+
+def test_keep_one_judges_rows(spark):
+    """Rows that repeat an id with other texts stay; copies without an id go; the smallest id of a group stays."""
+    a, b, c, d = (prose(70 + i, 60, [f"w{j}" for j in range(400)]) for i in range(4))
+    rows = [(9, a, "en", "a"), (9, b, "en", "a"), (9, b, "en", "b"), (3, a + " more", "en", "a"), (None, c, "en", "a"), (None, c, "fr", "a"), (None, d, "en", "a"), (4, d, "en", "a"), (-5, None, "en", "a"), (-5, "", "en", "a"), (None, " ", "en", "a")]
+    kept = minhash.keep_one(clash(docs_frame(spark, rows)).repartition(3)).collect()
+    assert list(kept[0].__fields__) == clash(docs_frame(spark, rows)).columns
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept) == sorted((str(i), str(t)) for i, t in [(3, a + " more"), (9, b), (None, c), (4, d), (-5, None), (-5, ""), (None, " ")])
