@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from jobnest.session import work_root
 
-from . import html_text, langid, maxscore, merkle, minhash, mixture, order_minhash, part_codes, passages, secrets, sp_dropout, token_store
+from . import html_text, jaccard_join, langid, maxscore, merkle, minhash, mixture, order_minhash, part_codes, passages, secrets, sp_dropout, token_store
 from .common import table
 
 #: Vocabulary files of the public tokenizers, by name in the installed package.
@@ -73,7 +73,11 @@ def op12_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_codes.digests(*part_codes.compress(table(spark, sf_dir, "embeddings")))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_html_text, op3_source_mix, op4_near_duplicates, op5_maxscore_top_k, op6_token_files, op7_language_id, op8_repeated_passages, op9_order_minhash, op10_merge_dropout, op11_merkle_proofs, op12_part_codes)}
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_html_text, op3_source_mix, op4_near_duplicates, op5_maxscore_top_k, op6_token_files, op7_language_id, op8_repeated_passages, op9_order_minhash, op10_merge_dropout, op11_merkle_proofs, op12_part_codes, op13_jaccard_join)}
 
 def _part_codes_sql() -> str:
     """The four rounds one after another, then the last assignment."""
@@ -176,4 +180,22 @@ climb_top(doc_id, leaf, source, idx0, level, idx, n, subroot, cur, proof) AS (
 SELECT doc_id, leaf, subroot, (SELECT digest FROM up WHERE n = 1) AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = (SELECT digest FROM up WHERE n = 1) AS verified
 FROM climb_top WHERE n = 1""",
     "op12_part_codes": _part_codes_sql(),
+    "op13_jaccard_join": r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_sort(list_distinct([array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)])) END AS s FROM w),
+copies AS (SELECT min(doc_id) AS rep, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+rep_items AS (SELECT rep, n, unnest(s) AS item FROM copies),
+pairs AS (
+    SELECT a.rep AS a, b.rep AS b FROM rep_items a JOIN rep_items b ON a.item = b.item AND a.rep < b.rep AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+    GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reach(a, b) AS (SELECT rep, rep FROM copies UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+roots AS (SELECT a AS rep, min(b) AS root FROM reach GROUP BY a),
+by_set AS (SELECT c.s, r.root FROM copies c JOIN roots r USING (rep))
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(x.root, d.doc_id) AS component_id
+FROM sets d LEFT JOIN by_set x ON d.s = x.s""",
 }
