@@ -50,12 +50,14 @@ def infer_json_schema(df: DataFrame, col: str) -> T.StructType:
              .where(F.expr("schema_of_variant(_v) LIKE 'OBJECT<%'"))
              .agg(F.expr("schema_of_variant_agg(_v)").alias("s"))
              .first())
-    text = row["s"] if row is not None else None
+    return schema_of_object(row["s"] if row is not None else None)
+
+
+def schema_of_object(text: str | None) -> T.StructType:
+    """The schema that ``schema_of_variant_agg`` spells; anything but an object has no fields."""
     if not text or not text.startswith("OBJECT<"):
         return T.StructType([])
-    ddl = "STRUCT<" + text[len("OBJECT<"):]
-    ddl = ddl.replace("OBJECT<", "STRUCT<")
-    parsed = T._parse_datatype_string(ddl)
+    parsed = T.DataType.fromDDL(text.replace("OBJECT<", "STRUCT<"))
     assert isinstance(parsed, T.StructType)
     return parsed
 

@@ -82,8 +82,11 @@ def render_in_zone(ts: str | Column, zone: str, fmt: str = "yyyy-MM-dd HH:mm:ss"
     return F.date_format(F.from_utc_timestamp(utc_wall, zone), fmt)
 
 
+# Fixed values (must equal the original's): insert date, update date, active and deleted flag of a clean row.
+BOOKKEEPING = ("md_ins_date", "md_upd_date", "md_is_activ", "md_is_delete")
+
+
 def bookkeeping_columns(run_date: str | dt.date) -> list[Column]:
     """md_* bookkeeping columns (insert/update date, active and deleted flags)."""
     d = F.lit(str(run_date)).cast("date")
-    return [d.alias("md_ins_date"), d.alias("md_upd_date"),
-            F.lit(1).alias("md_is_activ"), F.lit(0).alias("md_is_delete")]
+    return [c.alias(n) for c, n in zip([d, d, F.lit(1), F.lit(0)], BOOKKEEPING)]

@@ -51,6 +51,8 @@ def with_row_index(df: DataFrame, order_cols: list[str], group_cols: list[str] |
     cond = ranged["_rp"] == offsets["_orp"]
     for c in group_cols:
         cond = cond & ranged[c].eqNullSafe(offsets[f"_og_{c}"])
+    if not group_cols:
+        offsets = F.broadcast(offsets)   # one row per range: at most ``n`` rows
     return (ranged.join(offsets, cond, "inner")
             .withColumn(index_col, F.col("_off") + F.col("_tag") - F.col("_first"))
             .drop("_rp", "_orp", "_off", "_tag", "_first", *[f"_og_{c}" for c in group_cols]))

@@ -113,6 +113,33 @@ WITH li AS (
 """
 
 
+SPLIT_BASE = """
+, ghits AS (
+  SELECT i.id, t.term, CAST(CASE WHEN o_orderstatus = 'P' THEN n_regionkey + 1 WHEN o_orderpriority = '5-LOW' THEN c_nationkey + 100 ELSE c_custkey + 1000 END AS BIGINT) AS area
+  FROM idx i JOIN orders ON o_orderkey = i.id JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey,
+       (VALUES ('ring'), ('gear'), ('blue rod'), ('e')) AS t(term)
+  WHERE contains(lower(i.name), t.term)
+), up AS (
+  SELECT c_custkey + 1000 AS area, c_nationkey + 100 AS parent FROM customer
+  UNION ALL SELECT n_nationkey + 100, n_regionkey + 1 FROM nation UNION ALL SELECT r_regionkey + 1, NULL FROM region
+), gown AS (SELECT area, term, count(*) AS own FROM ghits GROUP BY area, term
+), gall AS (
+  SELECT area, term, own, own AS found FROM gown
+  UNION ALL SELECT u.parent, term, 0, own FROM gown JOIN up u USING (area) WHERE u.parent IS NOT NULL
+  UNION ALL SELECT w.parent, term, 0, own FROM gown JOIN up u USING (area) JOIN up w ON w.area = u.parent WHERE w.parent IS NOT NULL
+), gfound AS (
+  SELECT g.area, g.term, CAST(sum(own) AS BIGINT) AS own, CAST(sum(found) AS BIGINT) AS found, any_value(up.parent) AS parent FROM gall g JOIN up USING (area) GROUP BY g.area, g.term
+), routes AS (
+  SELECT CAST(f.area AS BIGINT) AS area, f.term, unnest(CASE
+      WHEN f.found <= 1999 THEN [{'route': 'whole', 'found': f.found}]
+      WHEN f.found = f.own THEN [{'route': 'over', 'found': f.found}]
+      WHEN f.own = 0 THEN [{'route': 'split', 'found': f.found}]
+      ELSE [{'route': 'split', 'found': f.found}, {'route': CASE WHEN f.own > 1999 THEN 'over' ELSE 'own' END, 'found': f.own}] END, recursive := true)
+  FROM gfound f LEFT JOIN gfound p ON p.area = f.parent AND p.term = f.term WHERE f.parent IS NULL OR p.found > 1999
+)
+"""
+
+
 def _q(body: str) -> str:
     return BASE + body
 
@@ -142,9 +169,10 @@ SELECT area_id, root_id,
        row_number() OVER (PARTITION BY ck ORDER BY ok, ln, pk, sk) - 1 AS preorder
 FROM nodes"""),
     "area_roots": _q("SELECT area_id, name FROM nodes WHERE parent_id IS NULL"),
-    "area_parents": _q("""
-SELECT n.area_id, n.name FROM nodes n
-WHERE n.area_id IN (SELECT parent_id FROM nodes WHERE parent_id IS NOT NULL)"""),
+    "area_parents": """
+SELECT CAST(c_custkey * 10 + 1 AS VARCHAR) AS area_id, c_name AS name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)
+UNION ALL
+SELECT CAST(o_orderkey * 10 + 2 AS VARCHAR), 'order ' || CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
     "metro_lines": """
 WITH copies AS (
   SELECT o.*, 1 AS copy FROM orders o
@@ -327,4 +355,54 @@ SELECT CAST(area_id AS BIGINT) AS area_id, CAST(parent_id AS BIGINT) AS parent_i
                   WHEN 1 THEN root_id || '/' || area_id
                   ELSE root_id || '/' || parent_id || '/' || area_id END AS path
 FROM d"""),
+    "area_split": _q(SPLIT_BASE + """
+SELECT area, term, route, found, CASE WHEN route <> 'split' THEN CAST(ceil(found / 100.0) AS BIGINT) END AS pages FROM routes"""),
+    "area_split_hits": _q(SPLIT_BASE + """
+, place AS (SELECT c_custkey + 1000 AS area, c_nationkey + 100 AS nation, n_regionkey + 1 AS region FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL SELECT n_nationkey + 100, n_nationkey + 100, n_regionkey + 1 FROM nation
+  UNION ALL SELECT r_regionkey + 1, NULL, r_regionkey + 1 FROM region)
+SELECT h.id, h.term, h.area, CAST(CASE WHEN r.found <= 1999 THEN p.region WHEN n.found <= 1999 THEN p.nation ELSE h.area END AS BIGINT) AS search_area
+FROM ghits h JOIN place p ON h.area = p.area JOIN gfound r ON r.area = p.region AND r.term = h.term LEFT JOIN gfound n ON n.area = p.nation AND n.term = h.term"""),
+    "versioned_load": _q("""
+SELECT id, area, salary_from, CASE WHEN coalesce(published_at < '1998', false) THEN 'first' ELSE 'second' END AS load FROM good"""),
+    "clean_history": _q("""
+, a AS (SELECT id, name, salary_from, CASE WHEN working_days IS NULL THEN salary_to END AS salary_to, schedule, experience, working_days FROM good WHERE schedule <> 'P'),
+b AS (SELECT id, name, salary_from, salary_to, schedule, experience, working_days FROM good WHERE experience IS NOT NULL)
+SELECT coalesce(b.id, a.id) AS id, coalesce(b.name, a.name) AS name, CASE WHEN b.id IS NULL THEN a.salary_from ELSE b.salary_from END AS salary_from,
+       CASE WHEN b.id IS NULL THEN a.salary_to ELSE b.salary_to END AS salary_to, coalesce(b.schedule, a.schedule) AS schedule, coalesce(b.experience, a.experience) AS experience,
+       CASE WHEN b.id IS NULL THEN a.working_days ELSE b.working_days END AS working_days,
+       CASE WHEN a.id IS NULL THEN DATE '2024-04-23' ELSE DATE '2024-04-22' END AS md_ins_date,
+       CASE WHEN a.id IS NOT NULL AND b.id IS NOT NULL AND a.salary_to IS NOT DISTINCT FROM b.salary_to THEN DATE '2024-04-22' ELSE DATE '2024-04-23' END AS md_upd_date,
+       CASE WHEN b.id IS NULL THEN 0 ELSE 1 END AS md_is_activ, CASE WHEN b.id IS NULL THEN 1 ELSE 0 END AS md_is_delete
+FROM a FULL JOIN b ON a.id = b.id"""),
+    "dictionary_rows": """
+WITH o AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey),
+r AS (
+  SELECT 'orders' AS table_name, o_orderkey AS id, 'status' AS field, o_orderstatus AS value FROM o
+  UNION ALL SELECT 'orders', o_orderkey, 'priority.id', o_orderpriority FROM o
+  UNION ALL SELECT 'orders', o_orderkey, 'priority.rank', substr(o_orderpriority, 1, 1) FROM o
+  UNION ALL SELECT 'orders', o_orderkey, 'price', CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS VARCHAR) END FROM o
+  UNION ALL SELECT 'orders', o_orderkey, 'tags', '["' || o_orderstatus || '","' || o_orderpriority || '"]' FROM o
+  UNION ALL SELECT 'orders', o_orderkey, 'note', CASE WHEN o_orderpriority = '1-URGENT' THEN 'rush' END FROM o
+  UNION ALL SELECT lower(c_mktsegment), c_custkey, 'name', c_name FROM customer
+  UNION ALL SELECT lower(c_mktsegment), c_custkey, 'nation.id', CAST(c_nationkey AS VARCHAR) FROM customer
+  UNION ALL SELECT lower(c_mktsegment), c_custkey, 'nation.balance', CAST(c_acctbal AS VARCHAR) FROM customer)
+SELECT table_name, id, field, value FROM r WHERE value IS NOT NULL""",
+    "load_shapes": _q("""
+SELECT r.run, 'vacancies' AS "table", count(*) FILTER (WHERE r.run = '2024-04-23' OR coalesce(published_at < '1998', false)) AS rows, CAST(26 AS BIGINT) AS columns,
+       (SELECT count(*) FROM v WHERE bad_reason IS NOT NULL) AS rejects, TIMESTAMP '2024-04-23 05:05:00' AS loaded_at
+FROM good, (VALUES ('2024-04-22'), ('2024-04-23')) AS r(run) GROUP BY r.run
+UNION ALL
+SELECT r.run, 'employers', count(e.id), 9, count(*) - count(e.id), TIMESTAMP '2024-04-23 05:05:00'
+FROM emp_ids i LEFT JOIN emp e ON i.id = e.id, (VALUES ('2024-04-22'), ('2024-04-23')) AS r(run) GROUP BY r.run"""),
 }
+
+ORACLES["metro_lines_sorted"] = ("SELECT *, row_number() OVER (ORDER BY city_id, metro_line_id, name, hex_color) - 1 AS row_order FROM ("
+                                 + ORACLES["metro_lines"] + ")")
+ORACLES["metro_stations_sorted"] = ("SELECT *, row_number() OVER (ORDER BY metro_line_id, metro_station_id, order_station, lat, lon, name) - 1 AS row_order "
+                                    "FROM (" + ORACLES["metro_stations"] + ")")
+ORACLES["text_id_rejects"] = """
+WITH x AS (SELECT DISTINCT 'x' || CAST((l_orderkey * 10 + l_linenumber) * 10 + 3 AS VARCHAR) AS id FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 3)
+SELECT 'areas' AS table_name, id, 'cast:area_id' AS bad_reason FROM x
+UNION ALL SELECT 'areas', id, 'cast:parent_id' FROM x
+UNION ALL SELECT 'employers', 'e' || CAST(c_custkey AS VARCHAR), 'cast:id' FROM customer WHERE c_acctbal > 5000"""

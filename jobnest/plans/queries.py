@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobnest.operators import clean as C
@@ -17,12 +18,15 @@ from jobnest.operators import employers as E
 from jobnest.operators import metro as M
 from jobnest.operators import requests as R
 from jobnest.operators import trees as TR
-from jobnest.operators.vacancies import VACANCY_COLUMNS, page_abort
+from jobnest.operators.history import merge_history
+from jobnest.operators.split import split_hits, split_searches
+from jobnest.operators.vacancies import VACANCY_COLUMNS, page_abort, quarantine
 from jobnest.plans import landing as L
 from jobnest.plans import stages as S
 from jobnest.session import work_root
 from jobnest.sinks.staging import accumulated, append_staging, staged_schema
-from jobnest.sinks.tables import STATION_AUDIT_COL, replace_load, safe_name
+from jobnest.sinks.dictionaries import load_all
+from jobnest.sinks.tables import STATION_AUDIT_COL, load_log, log_loads, replace_load, sorted_load
 from jobnest.sources.catalog import list_tables, read_table
 from jobnest.sources.staging import read_staging
 from jobnest.streaming.ingest import ingest_vacancies
@@ -102,6 +106,22 @@ def metro_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_station", F.col("order_station").cast("bigint"))
 
 
+def _sorted_metro(spark: SparkSession, sf_dir: str, table: str, rows: DataFrame, order: list[str]) -> DataFrame:
+    schema = "raw_" + work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
+    sorted_load(rows, schema, table, S.RUN_TS, order)
+    return read_table(spark, schema, table).drop("process_dttm")
+
+
+def metro_lines_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 + K2: lines stored in order, with their place in it."""
+    return _sorted_metro(spark, sf_dir, "metro_lines", metro_lines(spark, sf_dir), M.LINE_ORDER)
+
+
+def metro_stations_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2 + K2: stations stored in order, with their place in it."""
+    return _sorted_metro(spark, sf_dir, "metro_stations", metro_stations(spark, sf_dir), M.STATION_ORDER)
+
+
 # ------------------------------------------------------------------ dictionaries
 def dictionary_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary names, first-seen position and sizes."""
@@ -213,6 +233,45 @@ def area_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.area_threshold(counts).select("root_area", "term", "found", "route")
 
 
+def _geography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(area_id, path_ids) of the tree region -> nation -> customer."""
+    table = lambda t: L.read_table(spark, sf_dir, t)
+    r = table("region").select((F.col("r_regionkey") + 1).alias("area_id"), F.lit(None).cast("bigint").alias("parent_id"), F.col("r_name").alias("name"))
+    n = table("nation").select((F.col("n_nationkey") + 100).alias("area_id"), (F.col("n_regionkey") + 1).alias("parent_id"), F.col("n_name").alias("name"))
+    c = table("customer").select((F.col("c_custkey") + 1000).alias("area_id"), (F.col("c_nationkey") + 100).alias("parent_id"), F.col("c_name").alias("name"))
+    text = [F.col("area_id").cast("string"), F.col("parent_id").cast("string"), "name"]
+    cleaned = C.clean_areas(r.unionByName(n).unionByName(c).select(*text))
+    return cleaned.select("area_id", F.split("path", "/").cast("array<bigint>").alias("path_ids"))
+
+
+def _geography_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(area, term, id): every vacancy per matching term, at its customer; some only give their nation or region."""
+    vac = S.projected_vacancies(spark, sf_dir).where(F.col("area").isNotNull()).select("id", "name")
+    o = L.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    c = L.read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = L.read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    at = (F.when(F.col("o_orderstatus") == "P", F.col("n_regionkey") + 1)
+          .when(F.col("o_orderpriority") == "5-LOW", F.col("c_nationkey") + 100).otherwise(F.col("c_custkey") + 1000))
+    places = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+              .select(F.col("o_orderkey").alias("id"), at.cast("bigint").alias("area")))
+    return R.with_terms(vac, SPLIT_TERMS).where(F.contains(F.lower("name"), F.col("term"))).join(places, "id").select("area", "term", "id")
+
+
+#: The search terms of the other queries, and a broad one with more hits than a search may have.
+SPLIT_TERMS = S.TERMS + ", e"
+
+
+def area_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """searches refined from regions to nations and customers until each one's hits fit."""
+    return split_searches(_geography_hits(spark, sf_dir), _geography(spark, sf_dir)).select("area", "term", "route", "found", "pages")
+
+
+def area_split_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 + L1: every hit with the one search that returns it."""
+    hits, areas = _geography_hits(spark, sf_dir).checkpoint(eager=True), _geography(spark, sf_dir)
+    return split_hits(hits, areas, split_searches(hits, areas)).select("id", "term", "area", "search_area")
+
+
 # ------------------------------------------------------------------ staging and loads
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + S5: whole documents through the ``;`` staging text and back."""
@@ -262,13 +321,51 @@ def replace_load_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, schema, "vacancies").withColumn("key_skills", F.array_join("key_skills", "|"))
 
 
+def versioned_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: a load that fails half-way leaves the rows of the load before it; the next one reads the table it replaces."""
+    good, batches = _staged_vacancies(spark, sf_dir)
+    schema = "raw_" + work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
+    rows = lambda df, load: df.select("id", "area", "salary_from", F.lit(load).alias("load"))
+    replace_load(rows(batches[0], "first"), schema, "vacancies", S.RUN_TS)
+    # the last of all rows can't be written
+    last = F.col("id") == good.select(F.max("id")).scalar()
+    broken = rows(good, "broken").withColumn("load", F.when(last, F.raise_error(F.lit("broken row"))).otherwise(F.col("load")))
+    try:
+        replace_load(broken, schema, "vacancies", S.RUN_TS)
+        raise AssertionError("the broken load went through")
+    except PySparkException:
+        pass
+    kept = read_table(spark, schema, "vacancies").drop("process_dttm")
+    replace_load(kept.unionByName(rows(batches[1], "second")), schema, "vacancies", S.RUN_TS)
+    return read_table(spark, schema, "vacancies").drop("process_dttm")
+
+
+def clean_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two clean loads merged: rows that are new, changed, the same and gone, with their dates and flags."""
+    v = S.good_vacancies(spark, sf_dir).select("id", "name", "salary_from", "salary_to", "schedule", "experience", "working_days")
+    first = v.where(F.col("schedule") != "P").withColumn("salary_to", F.when(F.col("working_days").isNull(), F.col("salary_to")))
+    second = v.where(F.col("experience").isNotNull())
+    day1 = merge_history(None, first, "2024-04-22", ["id"])
+    return merge_history(day1, second, "2024-04-23", ["id"])
+
+
+def dictionary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + G6: the content of every dictionary's table, a row for each value."""
+    schema = "dict_" + work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
+    load_all(L.landed(spark, sf_dir, "dictionaries"), schema, S.RUN_TS)
+    parts = []
+    for t in list_tables(spark, schema):
+        tbl = read_table(spark, schema, t).drop("process_dttm")
+        values = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").cast("string").alias("value")) for c in tbl.columns if c != "id"])
+        parts.append(tbl.select(F.lit(t).alias("table_name"), "id", F.inline(values)))
+    return reduce(DataFrame.unionByName, parts).where(F.col("value").isNotNull())
+
+
 def dictionary_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 + S7: one raw table per dictionary name; rows and columns of each."""
     bodies = L.landed(spark, sf_dir, "dictionaries")
     schema = "dict_" + work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
-    names = [r["name"] for r in D.dictionary_keys(bodies).select("name").collect()]  # a handful of names
-    for name in names:
-        replace_load(D.dictionary_normalize(bodies, name), schema, safe_name(name), S.RUN_TS)
+    load_all(bodies, schema, S.RUN_TS)
     parts = []
     for t in list_tables(spark, schema):
         tbl = read_table(spark, schema, t)
@@ -321,6 +418,22 @@ def clean_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("requested_id", "name", F.col("_bad_reason").alias("bad_reason"))
 
 
+def text_id_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 + P10: areas and employers whose ids are no numbers, kept as rejects with the id and the rule.
+
+    The third lines' areas get text ids, which then are parents without a number; rich customers' bodies a text id."""
+    raw = TR.node_rows(S.area_nodes(spark, sf_dir))
+    text = F.when(F.col("name") == "line 3", F.concat(F.lit("x"), F.col("area_id"))).otherwise(F.col("area_id"))
+    child = raw.where("name = 'line 3'").select(F.lit(None).cast("string").alias("area_id"), F.concat(F.lit("x"), F.col("area_id")).alias("parent_id"), F.lit("stop").alias("name"))
+    _, areas = C.split_areas(raw.select(text.alias("area_id"), "parent_id", "name").unionByName(child))
+    bodies = L.landed(spark, sf_dir, "employers")
+    rich = L.read_table(spark, sf_dir, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").alias("employer_key"), F.lit(True).alias("rich"))
+    odd = bodies.join(rich, "employer_key", "left").withColumn("body", F.when(F.col("rich"), F.regexp_replace("body", r'^\{"id":"?(\d+)"?', '{"id":"e$1"')).otherwise(F.col("body")))
+    employers = E.employer_project(odd, flag=True).where(F.col("_bad_reason").isNotNull())
+    return (areas.select(F.lit("areas").alias("table_name"), F.coalesce("area_id", "parent_id").alias("id"), F.col("_bad_reason").alias("bad_reason"))
+            .unionByName(employers.select(F.lit("employers").alias("table_name"), "_ids.id", F.col("_bad_reason").alias("bad_reason"))))
+
+
 def clean_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C2 ``clean_areas``: typed ids, depth, root and path from the raw adjacency list."""
     raw = TR.node_rows(S.area_nodes(spark, sf_dir))
@@ -328,6 +441,22 @@ def clean_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      F.col("depth").cast("bigint").alias("depth"), "root_id", "path")
 
 
+def load_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 + C1: the log of two runs: rows, columns and rejects that every load saw in its own write."""
+    suffix = work_root(spark, unique=True).rsplit("/", 1)[-1][:12]
+    path = work_root(spark, "scratch", "load_log", suffix)
+    good, batches = _staged_vacancies(spark, sf_dir)
+    _, bad = quarantine(S.projected_vacancies(spark, sf_dir))
+    raw = E.employer_lookup(E.employer_ids(good), L.landed(spark, sf_dir, "employers"))
+    for run, vacancies in (("2024-04-22", batches[0]), ("2024-04-23", good)):
+        clean, rejected = C.clean_table(raw, "employers")
+        stats = [replace_load(vacancies, f"log_{suffix}", "vacancies", S.RUN_TS), replace_load(clean, f"log_{suffix}", "employers", S.RUN_TS)]
+        stats[0]["bad_rows"] = replace_load(bad, f"log_{suffix}", "vacancies_bad", S.RUN_TS)["rows"]
+        stats[1]["bad_rows"] = replace_load(rejected, f"log_{suffix}", "employers_bad", S.RUN_TS)["rows"]
+        log_loads(spark, path, run, stats, S.RUN_TS)
+    return load_log(spark, path).withColumn("table", F.substring_index("table", ".", -1))
+
+
 def _raw_load(spark: SparkSession, sf_dir: str, schema: str) -> None:
     """The whole raw load: areas, metro, dictionaries, vacancies, employers."""
     replace_load(TR.node_rows(S.area_nodes(spark, sf_dir)), schema, "areas", S.RUN_TS)
@@ -338,9 +467,7 @@ def _raw_load(spark: SparkSession, sf_dir: str, schema: str) -> None:
     replace_load(good.drop("url"), schema, "vacancies", S.RUN_TS)
     replace_load(E.employer_lookup(E.employer_ids(good), L.landed(spark, sf_dir, "employers"))
                  .drop("requested_id"), schema, "employers", S.RUN_TS)
-    bodies = L.landed(spark, sf_dir, "dictionaries")
-    for name in [r["name"] for r in D.dictionary_keys(bodies).select("name").collect()]:   # a handful
-        replace_load(D.dictionary_normalize(bodies, name), schema, safe_name(name), S.RUN_TS)
+    load_all(L.landed(spark, sf_dir, "dictionaries"), schema, S.RUN_TS)
 
 
 def _table_counts(spark: SparkSession, schema: str) -> DataFrame:
@@ -378,6 +505,9 @@ QUERIES: dict[str, Query] = {
     "area_parents": area_parents,
     "metro_lines": metro_lines,
     "metro_stations": metro_stations,
+    "metro_lines_sorted": metro_lines_sorted,
+    "metro_stations_sorted": metro_stations_sorted,
+    "load_shapes": load_shapes,
     "dictionary_keys": dictionary_keys,
     "dictionary_normalize": dictionary_normalize,
     "props_normalize": props_normalize,
@@ -396,6 +526,11 @@ QUERIES: dict[str, Query] = {
     "page_assign": page_assign,
     "detail_lookup": detail_lookup,
     "area_threshold": area_threshold,
+    "area_split": area_split,
+    "area_split_hits": area_split_hits,
+    "versioned_load": versioned_load,
+    "clean_history": clean_history,
+    "dictionary_rows": dictionary_rows,
     "csv_roundtrip": csv_roundtrip,
     "csv_accumulate": csv_accumulate,
     "incremental_ingest": incremental_ingest,
@@ -407,5 +542,6 @@ QUERIES: dict[str, Query] = {
     "clean_areas": clean_areas,
     "deep_areas": deep_areas,
     "clean_rejects": clean_rejects,
+    "text_id_rejects": text_id_rejects,
     "clean_tables": clean_tables,
 }
