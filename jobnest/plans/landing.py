@@ -21,7 +21,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from jobnest.session import work_root
 
@@ -227,6 +227,32 @@ def metro_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cities.select(F.col("c_custkey").alias("city_key"), F.to_json(city).alias("body"))
 
 
+def damaged_metro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(city_key, body, cut): metro bodies that break the strict rules; ``cut`` is the body without its end, for some.
+
+    Lines of partial orders get a text id, urgent stations (lat 50) lose the second part of theirs, partial orders of low
+    priority have no stations; rich customers have no lines, customers slightly in debt a text id."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    b, owed = F.col("body"), F.col("c_acctbal")
+    b = F.regexp_replace(b, r'\{"id":"([0-9]+)","name":"line ([0-9]+)","hex_color":"#P', r'{"id":"L$1","name":"line $2","hex_color":"#P')
+    b = F.regexp_replace(b, r'"hex_color":"#P5","stations"', r'"hex_color":"#P5","stops"')
+    b = F.regexp_replace(b, r'"id":"([0-9]+)\.[0-9]+","name":"station ([0-9]+)","lat":50\.0', r'"id":"$1","name":"station $2","lat":50.0')
+    b = F.when(owed > 9000, F.regexp_replace(b, '"lines"', '"routes"')).when(owed.between(-500, 0), F.regexp_replace(b, r'^\{"id":"', r'{"id":"c')).otherwise(b)
+    d = landed(spark, sf_dir, "metro").join(c, F.col("city_key") == c.c_custkey).select("city_key", b.alias("body"), "c_acctbal")
+    return d.select("city_key", "body", F.when(owed < -900, F.expr("left(body, length(body) - 1)")).alias("cut"))
+
+
+def write_json_arrays(bodies: DataFrame, path: str, key: str, per_file: int = 1000) -> None:
+    """Files of about ``per_file`` bodies, each file one JSON array, as an API answers."""
+    files = max(1, -(-bodies.count() // per_file))
+    own = bodies.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("file"), F.lit(False).alias("end"), F.col(key).alias("key"), "body")
+    ends = bodies.sparkSession.range(files).select(F.col("id").alias("file"), F.lit(True).alias("end"), F.lit(None).alias("key"), F.lit("]").alias("body"))
+    order = Window.partitionBy("file").orderBy("end", "key")
+    first = F.row_number().over(order) == 1
+    text = F.when(first & F.col("end"), F.lit("[]")).when(first, F.concat(F.lit("["), "body")).when(F.col("end"), F.col("body")).otherwise(F.concat(F.lit(","), "body"))
+    own.unionByName(ends).select("file", text.alias("value")).write.mode("overwrite").partitionBy("file").text(path)
+
+
 # ---------------------------------------------------------------- dictionaries
 def dictionary_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(body_key, body): per customer an object ``{"orders": [...], "<segment>": [...]}``.

@@ -406,3 +406,28 @@ WITH x AS (SELECT DISTINCT 'x' || CAST((l_orderkey * 10 + l_linenumber) * 10 + 3
 SELECT 'areas' AS table_name, id, 'cast:area_id' AS bad_reason FROM x
 UNION ALL SELECT 'areas', id, 'cast:parent_id' FROM x
 UNION ALL SELECT 'employers', 'e' || CAST(c_custkey AS VARCHAR), 'cast:id' FROM customer WHERE c_acctbal > 5000"""
+ORACLES["metro_records"] = ORACLES["metro_stations"]
+ORACLES["body_audit"] = """
+WITH copies AS (
+  SELECT o.*, 1 AS copy FROM orders o UNION ALL SELECT o.*, 2 FROM orders o WHERE o_orderstatus = 'F'
+), l AS (
+  SELECT c_custkey, c_name, c_acctbal, o_orderkey, o_orderstatus, o_orderpriority,
+         '$.lines[' || CAST(row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey, copy) - 1 AS VARCHAR) || ']' AS path,
+         CASE WHEN o_orderstatus = 'P' THEN 'L' WHEN copy = 2 AND o_orderpriority = '1-URGENT' THEN '0' ELSE '' END || CAST(o_orderkey AS VARCHAR) AS id,
+         o_orderstatus = 'P' AND o_orderpriority = '5-LOW' AS no_stations,
+         CASE WHEN copy = 2 AND o_orderpriority = '1-URGENT' THEN '0' ELSE '' END || CAST(o_orderkey AS VARCHAR) AS text
+  FROM copies JOIN customer ON o_custkey = c_custkey WHERE c_acctbal <= 9000
+), s AS (
+  SELECT l_orderkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount) - 1 AS j FROM lineitem
+), found AS (
+  SELECT c_name, c_acctbal, '$.lines' AS path, 'missing:lines' AS rule, CAST(NULL AS VARCHAR) AS value FROM customer WHERE c_acctbal > 9000
+  UNION ALL SELECT c_name, c_acctbal, '$.id', 'cast:city_id', 'c' || CAST(c_custkey AS VARCHAR) FROM customer
+    WHERE c_acctbal BETWEEN -500 AND 0 AND c_custkey IN (SELECT o_custkey FROM orders)
+  UNION ALL SELECT c_name, c_acctbal, path || '.id', 'cast:metro_line_id', id FROM l WHERE o_orderstatus = 'P'
+  UNION ALL SELECT c_name, c_acctbal, path || '.stations', 'missing:stations', NULL FROM l WHERE no_stations
+  UNION ALL SELECT c_name, c_acctbal, path || '.stations[' || CAST(j AS VARCHAR) || '].id', 'part:metro_station_id', text FROM l JOIN s ON l_orderkey = o_orderkey
+    WHERE l_quantity = 50 AND NOT no_stations
+)
+SELECT 'lines' AS layout, c_name AS city, path, rule, value FROM found WHERE c_acctbal >= -900
+UNION ALL SELECT 'lines', c_name, '$', 'json', NULL FROM customer WHERE c_acctbal < -900
+UNION ALL SELECT 'array', c_name, path, rule, value FROM found"""

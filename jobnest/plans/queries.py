@@ -18,6 +18,7 @@ from jobnest.operators import employers as E
 from jobnest.operators import metro as M
 from jobnest.operators import requests as R
 from jobnest.operators import trees as TR
+from jobnest.operators.audit import CORRUPT, metro_audit, readable
 from jobnest.operators.history import merge_history
 from jobnest.operators.split import split_hits, split_searches
 from jobnest.operators.vacancies import VACANCY_COLUMNS, page_abort, quarantine
@@ -28,6 +29,7 @@ from jobnest.sinks.staging import accumulated, append_staging, staged_schema
 from jobnest.sinks.dictionaries import load_all
 from jobnest.sinks.tables import STATION_AUDIT_COL, load_log, log_loads, replace_load, sorted_load
 from jobnest.sources.catalog import list_tables, read_table
+from jobnest.sources.landed import read_bodies, read_json_records
 from jobnest.sources.staging import read_staging
 from jobnest.streaming.ingest import ingest_vacancies
 
@@ -122,6 +124,26 @@ def metro_stations_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sorted_metro(spark, sf_dir, "metro_stations", metro_stations(spark, sf_dir), M.STATION_ORDER)
 
 
+def body_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + X3: broken rules of damaged metro bodies, landed one body a line and as files that hold a JSON array."""
+    root = work_root(spark, "scratch", "bodies", unique=True)
+    damaged = L.damaged_metro(spark, sf_dir)
+    damaged.select(F.coalesce("cut", "body").alias("value")).write.text(f"{root}/lines")
+    L.write_json_arrays(damaged.select("city_key", "body"), f"{root}/arrays", "city_key")
+    lines = read_bodies(spark, f"{root}/lines", whole_text=False).withColumn("city", F.regexp_extract("body", '"name":"([^"]*)"', 1))
+    records = read_json_records(spark, f"{root}/arrays", readable(M.CITY), CORRUPT).withColumn("city", F.col("name"))
+    found = lambda rows, layout, body: metro_audit(rows, ["city"], body).withColumn("layout", F.lit(layout))
+    both = found(lines, "lines", "body").unionByName(found(records, "array", None))
+    return both.select("layout", "city", "path", "rule", F.when(F.col("rule") != "json", F.col("value")).alias("value"))
+
+
+def metro_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + G3: stations read from files that hold one JSON array of cities each, element by element."""
+    path = work_root(spark, "scratch", "arrays", unique=True)
+    L.write_json_arrays(L.landed(spark, sf_dir, "metro"), path, "city_key")
+    return M.metro_stations(read_json_records(spark, path, M.CITY), None)
+
+
 # ------------------------------------------------------------------ dictionaries
 def dictionary_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary names, first-seen position and sizes."""
@@ -507,6 +529,8 @@ QUERIES: dict[str, Query] = {
     "metro_stations": metro_stations,
     "metro_lines_sorted": metro_lines_sorted,
     "metro_stations_sorted": metro_stations_sorted,
+    "body_audit": body_audit,
+    "metro_records": metro_records,
     "load_shapes": load_shapes,
     "dictionary_keys": dictionary_keys,
     "dictionary_normalize": dictionary_normalize,

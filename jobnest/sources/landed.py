@@ -21,13 +21,16 @@ def read_keyed_bodies(spark: SparkSession, path: str, key_col: str = "url") -> D
     return spark.read.parquet(path).select(key_col, "body")
 
 
-def read_json_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json_records(spark: SparkSession, path: str, schema: T.StructType, corrupt_col: str | None = None) -> DataFrame:
     """S1 for a response that is one JSON array: one row per top-level element.
 
     The JSON reader streams the array element by element, so no single string
     holds the whole response (``wholetext`` would, and rows cap at 2 GB).
     ``root_order`` keeps each element's position for pre-order output.
+    ``corrupt_col`` names a field of ``schema`` that takes what can't be read.
     """
-    df = (spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
-          .json(path))
+    reader = spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
+    if corrupt_col:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
+    df = reader.json(path)
     return df.withColumn("root_order", F.monotonically_increasing_id())
