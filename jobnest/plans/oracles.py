@@ -431,3 +431,9 @@ WITH copies AS (
 SELECT 'lines' AS layout, c_name AS city, path, rule, value FROM found WHERE c_acctbal >= -900
 UNION ALL SELECT 'lines', c_name, '$', 'json', NULL FROM customer WHERE c_acctbal < -900
 UNION ALL SELECT 'array', c_name, path, rule, value FROM found"""
+ORACLES["employer_parts"] = _q("""
+, b AS (SELECT id, CAST((row_number() OVER (ORDER BY id) - 1) // 500 AS BIGINT) AS part FROM emp_ids),
+z AS (SELECT max(part) AS last, CAST(ceil((max(part) + 1) / 4.0) AS BIGINT) AS step FROM b)
+SELECT b.id AS requested_id, e.id, e.name, e.type, e.site_url, e.vacancies_url, e.area_id, e.open_vacancies, b.part,
+       b.part // z.step = z.last // z.step AS asked_again
+FROM b, z LEFT JOIN emp e ON b.id = e.id""")

@@ -27,6 +27,7 @@ from jobnest.plans import stages as S
 from jobnest.session import work_root
 from jobnest.sinks.staging import accumulated, append_staging, staged_schema
 from jobnest.sinks.dictionaries import load_all
+from jobnest.sinks.parts import looked_up, lookup_runs, write_runs
 from jobnest.sinks.tables import STATION_AUDIT_COL, load_log, log_loads, replace_load, sorted_load
 from jobnest.sources.catalog import list_tables, read_table
 from jobnest.sources.landed import read_bodies, read_json_records
@@ -205,6 +206,26 @@ def employer_last_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.agg(F.max("part").cast("bigint").alias("last_part"), F.count(F.lit(1)).alias("n_ids"))
 
 
+def employer_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 + J2: parts looked up in up to four runs; the last one fails at first, and the second attempt asks for it alone."""
+    batches = E.employer_batches(E.employer_ids(S.good_vacancies(spark, sf_dir)), E.BATCH_SIZE)
+    step = -(-(E.last_part(batches).first()["last_part"] + 1) // 4)
+    root = work_root(spark, "scratch", "parts", unique=True)
+    write_runs(batches, f"{root}/batches", step)
+    bodies, last = L.landed(spark, sf_dir, "employers"), batches.agg(F.max("id").alias("id")).first()["id"]
+    found = lambda ids: E.employer_lookup(ids, bodies)
+    lost = lambda ids: found(ids).withColumn("name", F.when(F.col("requested_id") == last, F.raise_error(F.lit("lost"))).otherwise(F.col("name")))
+    try:
+        lookup_runs(spark, f"{root}/batches", f"{root}/found", lost, step)
+        raise AssertionError("the broken run went through")
+    except PySparkException:
+        pass
+    asked = lookup_runs(spark, f"{root}/batches", f"{root}/found", found, step)
+    rows = looked_up(spark, f"{root}/batches", f"{root}/found", found, step)
+    again = spark.read.parquet(f"{root}/batches").select(F.col("id").alias("requested_id"), F.col("part").cast("bigint").alias("part"), F.col("run").isin(asked).alias("asked_again"))
+    return rows.join(again, "requested_id")
+
+
 # ------------------------------------------------------------------ search requests
 def search_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S9 + F1 + A2: found and pages of every (root area, term, day) search."""
@@ -542,6 +563,7 @@ QUERIES: dict[str, Query] = {
     "employer_batches": employer_batches,
     "employer_batches_drop_last": employer_batches_drop_last,
     "employer_last_part": employer_last_part,
+    "employer_parts": employer_parts,
     "search_counts": search_counts,
     "search_groups": search_groups,
     "search_filter": search_filter,

@@ -88,3 +88,29 @@ def test_audit_of_arrays(spark):
     rows = read_json_records(spark, path, readable(CITY), CORRUPT)
     assert rows.count() == len(CITIES)
     assert sorted(map(str, [tuple(r) for r in metro_audit(rows, ["name"], None).collect()])) == sorted(map(str, BROKEN))
+
+
+def test_lost_part_is_asked_for_alone(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    from jobnest.sinks.parts import finish, looked_up, lookup_runs, open_attempt, write_runs
+
+    root = work_root(spark, "t", "parts", unique=True)
+    batches = spark.range(10).selectExpr("cast(id div 2 as int) AS part", "cast(id % 2 as int) AS pos", "id")
+    attempt = open_attempt(spark, root, batches)
+    write_runs(batches, f"{attempt}/batches", 2)
+    plain = lambda b: b.select("id")
+    lost = lambda b: b.select(F.when(F.col("id") == 5, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(PySparkException):
+        lookup_runs(spark, f"{attempt}/batches", f"{attempt}/found", lost, 2)
+    assert open_attempt(spark, root, batches) == attempt         # resumed, not begun anew
+    assert lookup_runs(spark, f"{attempt}/batches", f"{attempt}/found", plain, 2) == [1, 2]
+    assert lookup_runs(spark, f"{attempt}/batches", f"{attempt}/found", plain, 2) == []
+    assert sorted(r["id"] for r in looked_up(spark, f"{attempt}/batches", f"{attempt}/found", plain, 2).collect()) == list(range(10))
+    finish(spark, attempt)
+    assert open_attempt(spark, root, batches) != attempt         # a finished day is asked for anew
+    none = batches.limit(0)
+    write_runs(none, f"{root}/none", 2)
+    assert lookup_runs(spark, f"{root}/none", f"{root}/out", plain, 2) == [] and looked_up(spark, f"{root}/none", f"{root}/out", plain, 2).isEmpty()
