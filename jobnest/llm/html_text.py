@@ -8,12 +8,15 @@ and what only a class, id or role marks stay if they hold the page's main part,
 paragraph points (reader comments by their whole name go however long they are).
 
 A null or empty page, and one without any text, gives an empty text.  Broken markup (unclosed tags, cut pages) is read
-as far as it goes.  Repeated rows are read one by one.
+as far as it goes.  Repeated rows are read one by one; an empty table gives no rows.  Of equal scores the first container
+in page order wins.  Very long and deeply nested pages are read whole, in time about linear in their length.  Other columns
+take no part, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -51,13 +54,17 @@ _WORDS = re.compile(r"[a-z]+")
 KEEP, GONE, HIDDEN, DOUBT, READERS = range(5)
 
 POINTS_EVERY, MOST_LENGTH_POINTS, SIBLING_SHARE, MOST_LINKS = 100, 3, 0.2, 0.25
+#: Levels that a paragraph's points go up; above them its share would be under a hundredth.
+REACH = 50
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "mark", "score", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "children", "cut", "mark", "score", "chars", "link_chars", "inside")
 
     def __init__(self, tag, parent, mark):
         self.tag, self.parent, self.cut, self.mark = tag, parent, mark == GONE, mark
+        #: It is an article or the main part, or in one.
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
         self.children: list = []  # nodes and strings
         self.score = 0.0
         self.chars = self.link_chars = 0
@@ -66,6 +73,7 @@ class Node:
 def parse(html: str) -> Node:
     """A forgiving tree of the page; text is not decoded yet."""
     root = node = Node("#root", None, KEEP)
+    opened: Counter[str] = Counter()
     at = 0
     while at < len(html):
         m = _TAG.search(html, at)
@@ -82,15 +90,15 @@ def parse(html: str) -> Node:
             continue
         tag = tag.lower()
         if closing:
-            up = node
+            up = node if opened[tag] else root
             while up.parent and up.tag != tag:
                 # an inline end tag does not close blocks, and no end tag leaves its list or table
                 up = up.parent if not (tag in INLINE and up.tag not in INLINE) else root
             if up.parent:
-                node = up.parent
+                node = _left(node, up.parent, opened)
             continue
-        if tag not in INLINE:
-            node = _closed(node, tag)
+        if tag not in INLINE and any(opened[t] for t in CLOSES.get(tag, ())) or tag not in INLINE and opened["p"]:
+            node = _left(node, _closed(node, tag), opened)
         new = Node(tag, node, _mark(tag, attrs, node))
         node.children.append(new)
         if tag in RAW:
@@ -98,9 +106,18 @@ def parse(html: str) -> Node:
             at = html.find(">", end.end()) + 1 or len(html) if end else len(html)
         elif tag not in VOID and not attrs.endswith("/"):
             node = new
+            opened[tag] += 1
     return root
 
 
+def _left(node: Node, to: Node, opened: Counter) -> Node:
+    """``to``, after all from ``node`` up to it are no longer open."""
+    while node is not to:
+        opened[node.tag] -= 1
+        node = node.parent
+    return to
+
+
 def _closed(node: Node, tag: str) -> Node:
     """Where a block opens: it ends an open paragraph, heading or list item of its kind."""
     ends = CLOSES.get(tag, set()) | {"p"}
@@ -116,10 +133,10 @@ def _mark(tag: str, attrs: str, parent: Node) -> int:
     if tag in CUT:
         return GONE
     if tag == "header":
-        return GONE if _outside(parent) else KEEP
+        return KEEP if parent.inside else GONE
     if tag == "form":
         return DOUBT
-    if tag in ("html", "body", "main", "p", "h1") or not attrs:
+    if tag in ("html", "body", "main") or not attrs:
         return KEEP
     if tag != "article" and (_BARE_HIDDEN.search(_VALUE.sub("=", attrs)) or _HIDDEN.search(attrs)):
         return HIDDEN
@@ -129,23 +146,17 @@ def _mark(tag: str, attrs: str, parent: Node) -> int:
             words = _WORDS.findall(name)
             if not words or BESIDE & set(words):
                 continue
+            # the page's title is an advert only by its whole name
+            if tag == "h1" and not set(words) <= BOILERPLATE - {"header", "banner", "masthead"}:
+                continue
             # the whole name, or a marker that leads or trails it
             if words[0] in BOILERPLATE or words[-1] in BOILERPLATE:
-                if {words[0], words[-1]} & BOILERPLATE == {"header"} and not _outside(parent):
+                if {words[0], words[-1]} & BOILERPLATE == {"header"} and parent.inside:
                     continue
                 mark = max(mark, READERS if len(words) == 1 and words[0] in COMMENTS else DOUBT)
     return mark
 
 
-def _outside(up: Node | None) -> bool:
-    """Not in an article or the main part."""
-    while up:
-        if up.tag in ("article", "main"):
-            return False
-        up = up.parent
-    return True
-
-
 def prune(root: Node) -> None:
     """Cuts the marked elements that do not hold the main text."""
     nodes: list[Node] = []
@@ -163,7 +174,8 @@ def prune(root: Node) -> None:
             holds.add(id(up))
             up = up.parent
     for n in nodes:
-        if n.mark and n.tag != "article" and id(n) not in holds:
+        # an article of readers' comments goes beside an article that is none
+        if n.mark and id(n) not in holds and (n.tag != "article" or n.mark == READERS and longest):
             n.cut = n.mark != DOUBT or 2 * total[id(n)] <= total[id(root)]
 
 
@@ -194,7 +206,7 @@ def _points(n: Node) -> float:
 
 
 def score(root: Node) -> list[Node]:
-    """Points of paragraphs, passed to the parent whole, to the next one by half and on by less."""
+    """Points of paragraphs, passed to the parent whole, to the next one by half and on by less, ``REACH`` levels up."""
     nodes: list[Node] = []
     _measure(root, False, nodes)
     for n in nodes:
@@ -202,7 +214,7 @@ def score(root: Node) -> list[Node]:
         if not points:
             continue
         up, share = n.parent, 1
-        while up:
+        while up and share < 2 * REACH:
             up.score += points / share
             up, share = up.parent, 2 if share == 1 else share + 2
     return nodes
