@@ -15,7 +15,10 @@ a bucket with all others.  So no link inside a bucket is lost to the stars.
 Two sets with similarity 0.8 miss each other in all 32 bands with a probability of about 5e-8.
 
 A null text or one without words has an empty set and links with nothing; a text with fewer words than a shingle has
-the whole sequence as its one shingle.  Repeated rows and copies fall in one class.  An empty table gives no rows.
+the whole sequence as its one shingle.  Repeated rows and copies fall in one class.  An empty table gives no rows.  Rows
+without an id take part and pass links on; a component is named by its smallest id (null only if none of its rows has
+one), and such rows are kept.  Texts are read whole, whatever their length; other columns take no part, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -99,20 +102,25 @@ def bands(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, keys) of every row; digest and keys null for an empty set."""
+    """(key, doc_id, n_shingles, digest, keys) of every row; ``key`` is a hash of id and text, digest and keys null for an
+    empty set."""
 
     def sketch(batch):
         import pyarrow as pa
 
-        out = {"doc_id": batch.column(0), "n_shingles": [], "digest": [], "keys": []}
-        for text in batch.column(1).cast(pa.binary()).to_pylist():
+        out = {"key": batch.column(0), "doc_id": batch.column(1), "n_shingles": [], "digest": [], "keys": []}
+        for text in batch.column(2).cast(pa.binary()).to_pylist():
             h = shingle_hashes(text, k)
             out["n_shingles"].append(len(h))
             out["digest"].append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
             out["keys"].append(bands(h) if len(h) else None)
         return out
 
-    return map_batches(pick(docs, doc_id="long", text="string"), sketch, "doc_id long, n_shingles long, digest binary, keys array<long>")
+    return map_batches(_keyed(docs), sketch, "key long, doc_id long, n_shingles long, digest binary, keys array<long>")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return pick(docs, doc_id="long", text="string").select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
 
 
 def linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -151,22 +159,22 @@ def _set(text: bytes, k: int) -> set:
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
     sk = written(sketches(docs, shingle), "sketches")
-    classes = sk.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"))
+    # the row that stands for a class: the one with the smallest id, one without an id only if there is no other
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")
+    classes = sk.filter("digest is not null").groupBy("digest").agg(first).select("first.key", F.col("first.doc_id").alias("id"))
     classes = written(classes, "classes")
-    # one row of the representative itself (a repeated id may hold other texts, so digest and id decide)
-    reps = (sk.join(classes, (sk.digest == classes.digest) & (sk.doc_id == classes.id)).select("id", "n_shingles", sk.digest, "keys")
-            .dropDuplicates(["id", "digest"]).withColumn("node", F.xxhash64("id", "digest")))
+    reps = (sk.filter("digest is not null").join(classes, "key").select("id", "n_shingles", "digest", "keys", F.col("key").alias("node"))
+            .dropDuplicates(["node"]))
     reps = written(reps, "representatives")
     rows = reps.select("node", F.col("n_shingles").alias("n"), F.posexplode("keys").alias("band", "key")).withColumn("bucket", F.xxhash64("band", "key")).drop("band", "key")
     shared = rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").select("bucket")
     open_ = written(rows.join(shared, "bucket").select("bucket", "node", "n", F.col("node").alias("comp")), "buckets")
     nodes = open_.select("node").distinct()
-    own = pick(docs, doc_id="long", text="string")
     if open_.isEmpty():
         label = None
     else:
-        picked = written(reps.join(nodes, "node").select(F.col("id").alias("doc_id"), "node", "digest"), "candidates")
-        texts = written(_texts(own, picked, shingle), "texts")
+        picked = written(nodes.select(F.col("node").alias("key")), "candidates")
+        texts = written(_keyed(docs).join(picked, "key").select(F.col("key").alias("id"), "text").dropDuplicates(["id"]), "texts")
         label = _resolve(open_, texts, shingle, percent)
     named = reps.select("node", "id", "digest")
     if label is not None:
@@ -179,19 +187,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _texts(own: DataFrame, picked: DataFrame, k: int) -> DataFrame:
-    """(id: node, text) of the picked representatives."""
-    joined = own.join(picked.select("doc_id").distinct(), "doc_id")
-
-    def digest(batch):
-        import pyarrow as pa
-
-        return {"doc_id": batch.column(0), "digest": [xxhash.xxh3_128_digest(shingle_hashes(t, k).tobytes()) for t in batch.column(1).cast(pa.binary()).to_pylist()], "text": batch.column(1)}
-
-    again = map_batches(joined, digest, "doc_id long, digest binary, text string")
-    return again.join(picked, ["doc_id", "digest"]).select(F.col("node").alias("id"), "text").dropDuplicates(["id"])
-
-
 def _resolve(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, comp) of all nodes in ``open_`` (bucket, node, n, comp)."""
     label = written(texts.select(F.col("id").alias("node"), F.col("id").alias("comp")), "labels")
