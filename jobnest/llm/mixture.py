@@ -6,8 +6,9 @@ block each; the last one is cut to the target) are dealt over the output shards
 every shard its counts by source.  The k-th slot of a source reads block ``permutation(k)`` of pass ``k // blocks``, a
 keyed permutation of the block numbers, so no block comes twice in a pass; blocks are joined by source and number.
 
-All draws are keyed by ``seed``, so reruns agree.  A null text has size 0; a null source is a source of its own, the
-last one; repeated rows count as documents of their own; an empty table gives no rows.
+All draws are keyed by ``seed``, so reruns agree; documents with the same id are ordered by a hash of their text.  A null text has size 0; a null source is a source of its own, the
+last one; repeated rows count as documents of their own; an empty table gives no rows.  Very long texts are packed whole,
+over as many blocks as they need; other columns are carried by position, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST_PASSES = 2
 BLOCK = 64
-#: Slots of an output shard, on average.
-SHARD_SLOTS = 8192
+#: Slots of an output shard, on average, and of a task that makes slots.
+SHARD_SLOTS, TASK_SLOTS = 8192, 1 << 17
 SEED = 23
 
 
@@ -146,7 +147,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, block: int = BLO
     total = quota.agg(F.sum("slots")).first()[0] or 0
     shards = max(1, round(total / SHARD_SLOTS))
     drawn = shard_counts(quota.filter("slots > 0").select("source", "n_words", "slots", "last"), shards, seed)
-    takes = slots(drawn.repartition("source", "shard"), block, seed)
+    # a few rows become all slots, which Spark's estimates can't see: tasks and the join are chosen by their number
+    takes = slots(drawn.repartition(-(-total // TASK_SLOTS) or 1, "source", "shard"), block, seed)
 
     # a document's words lie in these blocks
     spans = (placed.filter("size > 0").select("source", "_row", "_at", "size")
@@ -156,7 +158,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, block: int = BLO
     right = takes.select(*key, "shard", "cut")
     start = F.greatest(F.lit(0), F.col("block") * block - F.col("_at"))
     end = F.least(F.col("size"), F.col("block") * block + F.col("cut") - F.col("_at"))
-    pieces = left.join(right, ["_s", "block"]).select("_row", "shard", "block", start.cast("long").alias("start"), end.cast("long").alias("end")).filter("end > start")
+    pieces = left.join(right.hint("merge"), ["_s", "block"]).select("_row", "shard", "block", start.cast("long").alias("start"), end.cast("long").alias("end")).filter("end > start")
     taken = pieces.groupBy("_row").agg(F.sum(F.col("end") - F.col("start")).alias("taken"))
     known = F.broadcast(quota.select(F.col("source").alias("_s"), "source_size", "target")) if _small(spark, quota) else quota.select(F.col("source").alias("_s"), "source_size", "target")
     documents = (placed.drop("_at", "_at_total").join(taken, "_row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
