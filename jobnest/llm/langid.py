@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import flat, map_batches, pick, place
 
+#: Texts of a batch that are Python strings at a time.
+TEXTS_AT_ONCE = 64
 PROFILE = 300
 #: Bound of the training sample of each language.
 TRAIN_ROWS = 20_000
@@ -131,18 +133,19 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
 
 def identified(docs: DataFrame) -> DataFrame:
     """``docs`` without the texts that are ``und`` or that no learned profile resembles; columns unchanged."""
-    names = docs.columns
     profiles = train(docs, ~held_out(F.col("doc_id")))
-    at = place(docs, "text")
 
-    def keep(batch):
+    def keep(texts):
         import pyarrow as pa
 
         one = Judge(profiles)
         good = []
-        for t in batch.column(at).to_pylist():
-            lang, score = one(t)
-            good.append(lang != UNKNOWN and score >= REJECT_SCORE)
-        return dict(enumerate(batch.filter(pa.array(good, pa.bool_())).columns))
-
-    return map_batches(flat(docs), keep, flat(docs).schema).toDF(*names)
+        for begin in range(0, len(texts), TEXTS_AT_ONCE):
+            for t in texts.slice(begin, TEXTS_AT_ONCE).to_pylist():
+                lang, score = one(t)
+                good.append(lang != UNKNOWN and score >= REJECT_SCORE)
+        return pa.array(good, pa.bool_())
+
+    # the texts alone go to Python; the rows stay in the JVM
+    rows = flat(docs)
+    return rows.filter(F.arrow_udf(keep, "boolean")(F.col(f"c{place(docs, 'text')}").cast("string"))).toDF(*docs.columns)
