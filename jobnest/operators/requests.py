@@ -72,6 +72,14 @@ def search_counts(hits: DataFrame, key_cols: list[str] | None = None, per_page:
             .withColumn("pages", F.ceil(F.col("found") / F.lit(per_page)).cast("bigint")))
 
 
+def answer_searches(searches: DataFrame, hits: DataFrame, key_cols: list[str], per_page: int = PER_PAGE) -> DataFrame:
+    """A2 for a list of searches: as ``search_counts``, and ``found`` and ``pages`` 0 for a search without hits."""
+    counts = search_counts(hits, key_cols, per_page)
+    zero = F.lit(0).cast("bigint")
+    return searches.join(counts, key_cols, "left").select(
+        *key_cols, F.coalesce("found", zero).alias("found"), F.coalesce("pages", zero).alias("pages"))
+
+
 def plan_requests(searches: DataFrame, page_mode: str = "default") -> DataFrame:
     """F2 + G4: the page requests of every non-empty search.
 

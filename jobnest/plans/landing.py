@@ -186,6 +186,18 @@ def area_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.to_json(root, {"ignoreNullFields": "false"}).alias("body"))
 
 
+def chain_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(root_key, body): a forest up to 100 levels deep; the orders of a hundred keys, each the only child of the one before."""
+    o = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k")).distinct()
+    keys = o.groupBy(F.floor(F.col("k") / 100).cast("bigint").alias("root_key")).agg(F.sort_array(F.collect_list("k"), asc=False).alias("ks"))
+    text = lambda x: F.concat(F.lit('"'), x.cast("string"), F.lit('"'))
+    pairs = F.transform("ks", lambda k, i: F.struct(k.alias("k"), F.get("ks", i + 1).alias("p")))
+    body = F.aggregate(pairs, F.lit(""), lambda below, x: F.concat(
+        F.lit('{"id":'), text(x["k"]), F.lit(',"parent_id":'), F.coalesce(text(x["p"]), F.lit("null")),
+        F.lit(',"name":"order '), x["k"].cast("string"), F.lit('","areas":['), below, F.lit("]}")))
+    return keys.select("root_key", body.alias("body"))
+
+
 # ---------------------------------------------------------------- metro
 def metro_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(city_key, body): one city per customer; lines = its orders, stations = their lineitems.

@@ -139,6 +139,28 @@ SPLIT_BASE = """
 )
 """
 
+WIDE_BASE = """
+, whits AS (
+  SELECT CAST(n_regionkey + 1 AS BIGINT) AS search_area, t.term, CAST(year(i.day) AS BIGINT) AS year, i.id, i.url, i.name,
+         o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' AS gone, i.bad_reason
+  FROM idx i JOIN orders ON o_orderkey = i.id JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey,
+       (VALUES ('ring'), ('gear'), ('blue rod'), ('e'), ('violin')) AS t(term)
+  WHERE contains(lower(i.name), t.term)
+), wcounts AS (
+  SELECT CAST(r_regionkey + 1 AS BIGINT) AS search_area, t.term, CAST(y.year AS BIGINT) AS year, count(h.id) AS found, CAST(ceil(count(h.id) / 100.0) AS BIGINT) AS pages
+  FROM region CROSS JOIN (VALUES ('ring'), ('gear'), ('blue rod'), ('e'), ('violin')) AS t(term) CROSS JOIN range(1992, 2003) AS y(year)
+       LEFT JOIN whits h ON h.search_area = r_regionkey + 1 AND h.term = t.term AND h.year = y.year
+  GROUP BY r_regionkey, t.term, y.year
+), wn AS (
+  SELECT *, row_number() OVER (PARTITION BY search_area, term, year ORDER BY id) - 1 AS i FROM whits
+), wpg AS (
+  SELECT search_area, term, year, CAST(i // 100 AS BIGINT) AS page, CAST(i % 100 AS BIGINT) AS pos, url, NOT gone AS has_detail,
+         CASE WHEN NOT gone THEN id END AS id, CASE WHEN NOT gone THEN name END AS name,
+         CASE WHEN gone THEN 'document' ELSE bad_reason END AS bad_reason, id AS hit
+  FROM wn
+)
+"""
+
 
 def _q(body: str) -> str:
     return BASE + body
@@ -397,6 +419,30 @@ SELECT r.run, 'employers', count(e.id), 9, count(*) - count(e.id), TIMESTAMP '20
 FROM emp_ids i LEFT JOIN emp e ON i.id = e.id, (VALUES ('2024-04-22'), ('2024-04-23')) AS r(run) GROUP BY r.run"""),
 }
 
+ORACLES |= {
+    "deep_flatten": """
+WITH k AS (SELECT DISTINCT o_orderkey AS k FROM orders)
+SELECT CAST(k AS VARCHAR) AS area_id, CAST(lag(k) OVER w AS VARCHAR) AS parent_id, 'order ' || CAST(k AS VARCHAR) AS name,
+       row_number() OVER w - 1 AS depth, CAST(first_value(k) OVER w AS VARCHAR) AS root_id
+FROM k WINDOW w AS (PARTITION BY k // 100 ORDER BY k)""",
+    "wide_counts": _q(WIDE_BASE + "SELECT search_area, term, year, found, pages FROM wcounts"),
+    "wide_request_plan": _q(WIDE_BASE + """
+SELECT search_area, term, year, CAST(page AS BIGINT) AS page FROM wcounts, unnest(range(0, pages)) AS r(page) WHERE found > 0"""),
+    "wide_request_plan_reference": _q(WIDE_BASE + """
+SELECT search_area, term, year, CAST(page AS BIGINT) AS page
+FROM wcounts, unnest(CASE WHEN pages > 1 THEN range(1, pages + 1) ELSE [0] END) AS r(page) WHERE found > 0"""),
+    "wide_page_assign": _q(WIDE_BASE + "SELECT search_area, term, year, hit AS id, page, pos FROM wpg"),
+    "wide_items_reference": _q(WIDE_BASE + """
+SELECT p.search_area, p.term, p.year, p.page, p.pos, p.url FROM wpg p JOIN wcounts c USING (search_area, term, year) WHERE p.page > 0 OR c.pages = 1"""),
+    "wide_details": _q(WIDE_BASE + """
+SELECT p.search_area, p.term, p.year, p.page, p.pos, p.url, p.has_detail, p.id, p.name, p.bad_reason,
+       CASE WHEN o_orderstatus = 'O' OR (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT') OR NOT p.has_detail THEN NULL ELSE o_totalprice END AS salary_from
+FROM wpg p JOIN orders ON o_orderkey = p.hit"""),
+    "wide_page_abort": _q(WIDE_BASE + """
+, bad AS (SELECT search_area, term, year, page, min(pos) AS first FROM wpg WHERE bad_reason IS NOT NULL GROUP BY search_area, term, year, page)
+SELECT p.search_area, p.term, p.year, p.page, p.pos, p.id FROM wpg p LEFT JOIN bad b USING (search_area, term, year, page) WHERE b.first IS NULL OR p.pos < b.first"""),
+}
+
 ORACLES["metro_lines_sorted"] = ("SELECT *, row_number() OVER (ORDER BY city_id, metro_line_id, name, hex_color) - 1 AS row_order FROM ("
                                  + ORACLES["metro_lines"] + ")")
 ORACLES["metro_stations_sorted"] = ("SELECT *, row_number() OVER (ORDER BY metro_line_id, metro_station_id, order_station, lat, lon, name) - 1 AS row_order "

@@ -24,6 +24,7 @@ from jobnest.operators.split import split_hits, split_searches
 from jobnest.operators.vacancies import VACANCY_COLUMNS, page_abort, quarantine
 from jobnest.plans import landing as L
 from jobnest.plans import stages as S
+from jobnest.plans import wide
 from jobnest.session import work_root
 from jobnest.sinks.staging import accumulated, append_staging, staged_schema
 from jobnest.sinks.dictionaries import load_all
@@ -81,6 +82,12 @@ def area_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               F.col("depth").cast("bigint").alias("depth"))
 
 
+def deep_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1, P11, F5 on a forest of up to 100 levels: many passes, every node with its depth and root."""
+    flat = TR.area_flatten(L.landed(spark, sf_dir, "chains", L.chain_bodies), root_order_col="root_key")
+    return flat.select("area_id", "parent_id", "name", F.col("depth").cast("bigint").alias("depth"), "root_id")
+
+
 def area_preorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 order: depth-first pre-order position inside each root's tree."""
     return TR.area_preorder(S.area_nodes(spark, sf_dir)).select(
@@ -586,8 +593,10 @@ QUERIES: dict[str, Query] = {
     "clean_vacancies": clean_vacancies,
     "clean_employers": clean_employers,
     "clean_areas": clean_areas,
+    "deep_flatten": deep_flatten,
     "deep_areas": deep_areas,
     "clean_rejects": clean_rejects,
     "text_id_rejects": text_id_rejects,
     "clean_tables": clean_tables,
+    **wide.QUERIES,
 }
