@@ -8,7 +8,8 @@ allows, a contribution lies between 0 and the term's bound.  Two passes:
    order.  The k-th best score of all these is the query's threshold: a score that its k-th best vector reaches at least.
 2. *Search.*  Every query meets every shard with this threshold.  Terms whose bounds together cannot reach it are
    non-essential.  The essential terms' postings are traversed, for a block of queries at once; the other terms are
-   probed, the largest bound first, only for vectors that are still competitive.  A shard where all bounds together stay
+   probed, the largest bounds first, only for vectors that are still competitive (if these are many, the postings of the
+   other terms are traversed as well).  A shard where all bounds together stay
    below the threshold is skipped.
 
 Every vector that might reach the threshold, ties included, is scored in full, so the result is exact.  The shards' best
@@ -32,11 +33,14 @@ K = 20
 QUERY_STEP = 20
 SCALE = 64
 #: Vectors of a shard and queries of a block: what one task holds at a time.
-SHARD, QUERIES = 16_384, 512
+SHARD, QUERIES = 8192, 512
 #: Shards in which a query's threshold is found, and postings scored there of each of its two strongest terms.
 OPENINGS, HEADS = 8, 64
 #: Queries whose scores over a shard are held at a time.
 AT_ONCE = 64
+#: Non-essential terms probed at first (then twice as many, and so on), where at most one vector in ``FEW`` is competitive;
+#: vectors probed at a time.
+PROBES, FEW, PAIRS = 8, 16, 1 << 14
 
 
 def vectors(rows: DataFrame) -> DataFrame:
@@ -130,22 +134,34 @@ def shard_top(ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, querie
         some = slice(at, at + AT_ONCE)
         q, low, names, lifted = queries[some], least[some], query_ids[some], _lifted(thresholds[some], base[some])
         order, sums, n = essential(bound[some], lifted)
-        row = np.arange(len(q))
-        used = np.zeros(q.shape, bool)
-        np.put_along_axis(used, order, np.arange(q.shape[1]) < n[:, None], axis=1)
-        part = np.where(used, q, 0) @ across - np.where(used, low, 0).sum(axis=1)[:, None]
+        row, width = np.arange(len(q)), q.shape[1]
+        at_term = np.empty_like(order)
+        np.put_along_axis(at_term, order, np.broadcast_to(np.arange(width), order.shape), axis=1)
+        # the terms from one place to another in each query's order: factors, and the smallest contributions
+        between = lambda x, y: (np.where(c := (at_term >= x[:, None]) & (at_term < y[:, None]), q, 0), np.where(c, low, 0).sum(axis=1))  # noqa: B023,E731
+        factors, less = between(np.zeros_like(n), n)
+        part = factors @ across - less[:, None]
         # nothing essential though the threshold is above all bounds: the shard is skipped
         may = (part + sums[row, n][:, None] >= lifted[:, None]) & (ids != names[:, None])
+        # where many vectors are competitive, the other postings are traversed too
+        many = np.flatnonzero((may.sum(axis=1) > len(ids) // FEW) & (n < width))
+        if len(many):
+            factors, less = between(n, np.full_like(n, width))
+            part[many] += factors[many] @ across - less[many][:, None]
+            may[many] &= part[many] >= lifted[many][:, None]
+            n[many] = width
         mine, found = np.nonzero(may)
         score = part[mine, found]
-        place = n[mine]
-        while len(mine) and (go := place < q.shape[1]).any():
-            m, p = mine[go], place[go]
-            t = order[m, p]
-            score[go] += values[found[go], t] * q[m, t] - low[m, t]
-            place = place + go
-            stay = score + sums[mine, place] >= lifted[mine]
-            mine, found, score, place = mine[stay], found[stay], score[stay], place[stay]
+        step = PROBES
+        while len(mine) and (n[mine] < width).any():
+            to = np.minimum(n + step, width)
+            factors, less = between(n, to)
+            for x in range(0, len(mine), PAIRS):
+                m = mine[x: x + PAIRS]
+                score[x: x + PAIRS] += (values[found[x: x + PAIRS]] * factors[m]).sum(axis=1) - less[m]
+            n, step = to, step * 2
+            stay = score + sums[mine, n[mine]] >= lifted[mine]
+            mine, found, score = mine[stay], found[stay], score[stay]
         ends = np.searchsorted(mine, np.arange(len(q) + 1))
         for i, (x, y) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
             got, own = score[x:y], ids[found[x:y]]
@@ -160,7 +176,7 @@ def _met(data: DataFrame, queries: DataFrame, shards: int, answer, columns: str)
     """What ``answer(shard ids, shard values, query ids, query values, thresholds)`` yields as dicts for each block of
     queries of each shard.  ``data``: shard, block (-1), id, v, threshold; ``queries``: the same with the blocks' numbers."""
     schema = arrow_schema(columns)
-    both = data.unionByName(queries).repartition(shards, "shard").sortWithinPartitions("shard", "block", "id")
+    both = data.unionByName(queries).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "block", "id")
 
     def run(batches):
         import pyarrow as pa
