@@ -235,28 +235,27 @@ def metro_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     stops = order_lines(spark, sf_dir, "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount").select("l_orderkey", F.transform("items", lambda x: F.struct(
         *[x[k].alias(k) for k in ("l_linenumber", "l_partkey", "l_quantity", "l_discount")])).alias("items"))
     s, p, ok = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_orderkey")
-    # a city's orders go to it once; lines are made there
-    lines = (spread(spread(o, "o_orderkey").join(stops, ok == stops.l_orderkey, "left").drop("l_orderkey"), "o_custkey")
-              .select("*", F.explode(F.when(s == "F", F.array(F.lit(1), F.lit(2)))
-                                     .otherwise(F.array(F.lit(1)))).alias("copy")))
-    line_text = F.when((F.col("copy") == 2) & (p == "1-URGENT"),
-                       F.concat(F.lit("0"), ok.cast("string"))).otherwise(ok.cast("string"))
-    lines = lines.withColumn("line_text", line_text)
+    # a city's orders are gathered as they are, without copies or texts; lines are made of what is gathered
+    orders = spread(spread(o, "o_orderkey").join(stops, ok == stops.l_orderkey, "left").drop("l_orderkey"), "o_custkey")
+    kept = F.struct(ok.alias("k"), s.alias("s"), p.alias("p"), *[F.col(f"items.{f}").alias(f) for f in ("l_linenumber", "l_partkey", "l_quantity", "l_discount")])
     station_t = "array<struct<id:string,name:string,lat:double,lng:double,order:int>>"
-    stations = F.transform(F.coalesce(F.col("items"), F.array().cast(
-        "array<struct<l_linenumber:int,l_partkey:bigint,l_quantity:double,l_discount:double>>")), lambda x: F.struct(
-        F.concat(F.col("line_text"), F.lit("."), x["l_partkey"].cast("string")).alias("id"),
-        F.concat(F.lit("station "), x["l_linenumber"].cast("string")).alias("name"),
-        x["l_quantity"].alias("lat"), x["l_discount"].alias("lng"),
-        x["l_linenumber"].alias("order"))).cast(station_t)
-    line = F.struct(F.col("line_text").alias("id"),
-                    F.concat(F.lit("line "), ok.cast("string")).alias("name"),
-                    F.concat(F.lit("#"), s, F.substring(p, 1, 1)).alias("hex_color"),
-                    stations.alias("stations"))
-    per_city = (lines.groupBy("o_custkey")
-                .agg(F.array_sort(F.collect_list(F.struct(ok.alias("k"), F.col("copy"), line.alias("l"))))
-                     .alias("ls"))
-                .select("o_custkey", F.transform("ls", lambda x: x["l"]).alias("lines")))
+
+    def line(r: Column, copy: int) -> Column:
+        """An order's line; the second copy of an urgent one spells its id with a leading zero."""
+        key = r["k"].cast("string")
+        text = F.when(r["p"] == "1-URGENT", F.concat(F.lit("0"), key)).otherwise(key) if copy == 2 else key
+        stations = F.transform(r["l_linenumber"], lambda x, i: F.struct(
+            F.concat(text, F.lit("."), F.get(r["l_partkey"], i).cast("string")).alias("id"),
+            F.concat(F.lit("station "), x.cast("string")).alias("name"),
+            F.get(r["l_quantity"], i).alias("lat"), F.get(r["l_discount"], i).alias("lng"), x.alias("order"))).cast(station_t)
+        made = F.struct(text.alias("id"), F.concat(F.lit("line "), key).alias("name"),
+                        F.concat(F.lit("#"), r["s"], F.substring(r["p"], 1, 1)).alias("hex_color"),
+                        F.coalesce(stations, F.array().cast(station_t)).alias("stations"))
+        return F.struct(r["k"].alias("k"), F.lit(copy).alias("copy"), made.alias("l"))
+
+    both = lambda r: F.when(r["s"] == "F", F.array(line(r, 1), line(r, 2))).otherwise(F.array(line(r, 1)))
+    per_city = (orders.groupBy("o_custkey").agg(F.collect_list(kept).alias("rows"))
+                .select("o_custkey", F.transform(F.array_sort(F.flatten(F.transform("rows", both))), lambda x: x["l"]).alias("lines")))
     cities = c.join(per_city, c.c_custkey == per_city.o_custkey, "left")
     city = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
                     F.coalesce(F.col("lines"), F.array().cast(

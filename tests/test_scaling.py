@@ -115,3 +115,9 @@ def test_raw_load_takes_employer_ids_from_the_loaded_table(spark, monkeypatch):
     monkeypatch.setattr(Q.E, "employer_ids", lambda v, *a: seen.append(_plan(v)) or plain(v, *a))
     Q.raw_tables(spark, SF_SMALL).collect()
     assert len(seen) == 1 and "from_json" not in seen[0]
+
+
+def test_cities_gather_their_orders_without_copies_and_texts(spark):
+    plan = _plan(L.metro_bodies(spark, SF_SMALL))
+    below = plan[plan.index("Aggregate [o_custkey"):].split("\n", 1)[1]
+    assert "explode" not in below and "station " not in below
