@@ -75,3 +75,20 @@ def test_repeated_pages_and_clashing_columns(spark):
     rows = [(1, "u", html, "x", 5), (1, "u", html, "x", 5), (2, None, None, "y", 6)]
     got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")).collect()
     assert sorted((r.page_id, r.text, r.n_chars) for r in got) == [(1, PROSE.strip(), len(PROSE.strip()))] * 2 + [(2, "", 0)]
+
+
+def test_postings_are_shuffled_once_for_counting_and_joining(spark, monkeypatch):
+    from jobnest.llm import jaccard_join
+
+    docs = spark.createDataFrame([(i, f"one two three four five six {i % 3}") for i in range(9)], "doc_id long, text string")
+    plans = {}
+    written = jaccard_join.written
+
+    def seen(df, what):
+        plans.setdefault(what, df._jdf.queryExecution().optimizedPlan().toString())
+        return written(df, what)
+
+    monkeypatch.setattr(jaccard_join, "written", seen)
+    rows = {r["doc_id"]: r["component_id"] for r in jaccard_join.join(docs).collect()}
+    assert rows == {i: i % 3 for i in range(9)}
+    assert plans["regions"].count("Generate explode") == 1
