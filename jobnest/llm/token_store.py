@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import struct
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,42 @@ _HEAD = struct.Struct("<IIHHI")
 # ---- blocks ----------------------------------------------------------------------------------------------------
 
 
+def _packed(values: np.ndarray, width: int) -> bytes:
+    """Values of ``width`` bits, lowest bits first; up to 16 bits, eight values at a time make ``width`` bytes."""
+    if width > 16:
+        bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little", count=width)
+        return np.packbits(bits.ravel(), bitorder="little").tobytes()
+    if width == 16:
+        return values.astype("<u2").tobytes()
+    x = np.zeros(-(-len(values) // 8) * 8, np.uint64)
+    x[: len(values)] = values
+    for shift in (width, 2 * width):
+        x = x[::2] | x[1::2] << np.uint64(shift)
+    out = np.empty((len(x) // 2, 2), "<u8")
+    out[:, 0] = x[::2] | x[1::2] << np.uint64(4 * width)
+    out[:, 1] = x[1::2] >> np.uint64(64 - 4 * width)
+    return out.view(np.uint8)[:, :width].tobytes()[: -(-len(values) * width // 8)]
+
+
+def _unpacked(data: np.ndarray, n: int, width: int) -> np.ndarray:
+    if width > 16:
+        bits = np.unpackbits(data, bitorder="little", count=n * width).reshape(n, width)
+        ids = np.zeros((n, 4), np.uint8)
+        ids[:, : -(-width // 8)] = np.packbits(bits, axis=1, bitorder="little")
+        return ids.view("<u4").ravel()
+    if width == 16:
+        return data.view("<u2").astype(np.uint32)
+    eights = np.zeros(-(-n // 8) * width, np.uint8)
+    eights[: len(data)] = data
+    x = np.zeros((len(eights) // width, 16), np.uint8)
+    x[:, :width] = eights.reshape(-1, width)
+    x = x.view("<u8")
+    x = np.stack((x[:, 0], x[:, 0] >> np.uint64(4 * width) | x[:, 1] << np.uint64(64 - 4 * width)), axis=1).ravel()
+    for bits in (2 * width, width):
+        x = np.stack((x, x >> np.uint64(bits)), axis=1).ravel()
+    return (x[:n] & np.uint64((1 << width) - 1)).astype(np.uint32)
+
+
 def pack_block(ids: np.ndarray) -> bytes:
     low = int(ids.min())
     rest = (ids - np.uint32(low)).astype(np.uint32)
@@ -43,8 +80,7 @@ def pack_block(ids: np.ndarray) -> bytes:
     over = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
     values = rest[over]
     rest[over] = 0
-    bits = np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little", count=width) if width else rest[:0]
-    packed = np.packbits(bits.ravel(), bitorder="little").tobytes() if width else b""
+    packed = _packed(rest, width) if width else b""
     return _HEAD.pack(len(ids), low, width, 0, len(over)) + packed + over.astype("<u2").tobytes() + values.astype("<u4").tobytes()
 
 
@@ -53,13 +89,7 @@ def unpack_block(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     n, low, width, _, extra = _HEAD.unpack_from(data, at)
     at += _HEAD.size
     size = -(-n * width // 8)
-    if width:
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little", count=n * width).reshape(n, width)
-        ids = np.zeros((n, 4), np.uint8)
-        ids[:, : -(-width // 8)] = np.packbits(bits, axis=1, bitorder="little")
-        ids = ids.view("<u4").ravel()
-    else:
-        ids = np.zeros(n, np.uint32)
+    ids = _unpacked(np.frombuffer(data, np.uint8, size, at), n, width) if width else np.zeros(n, np.uint32)
     at += size
     places = np.frombuffer(data, "<u2", extra, at)
     ids[places] = np.frombuffer(data, "<u4", extra, at + 2 * extra)
@@ -89,8 +119,8 @@ def unpack(payload: bytes, offsets: list[int], first: int = 0, last: int | None
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85   -     　]")
 #: Its pattern never joins a character with white space behind it, so text may be cut before white space.
 #: Nor does it join a letter or digit with an ASCII mark behind it, or a line end with a word: words are cut from the
-#: marks that follow them and from a single line end before them.
-_UNIT = re.compile(r"[\t\n\r](?=[0-9A-Za-z])|[ \t\n\r]*+[0-9A-Za-z]++(?=[ \t\n\r!-/:-@\[-`{-~]|\Z)|[ \t\n\r]*+[^ \t\n\r]++|[ \t\n\r]+")
+#: marks that follow them and from a single line end before them.  Most units are of the first kind.
+_UNIT = re.compile(r" ?+[0-9A-Za-z]++(?=[ \t\n\r!-/:-@\[-`{-~]|\Z)|[\t\n\r](?=[0-9A-Za-z])|[ \t\n\r]*+[0-9A-Za-z]++(?=[ \t\n\r!-/:-@\[-`{-~]|\Z)|[ \t\n\r]*+[^ \t\n\r]++|[ \t\n\r]+")
 _loaded: dict[tuple, Encoder] = {}
 _CACHE = 400_000
 
@@ -150,27 +180,45 @@ class Encoder:
             self.known[unit] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        import pyarrow as pa
+
         cut = [None if _ODD_SPACE.search(t) or any(a in t for a in self.added) else _UNIT.findall(t) for t in texts]
         if len(self.known) > _CACHE:
             self.known, self.older = {}, self.known
-        new = set().union(*filter(None, cut)) - self.known.keys()
-        self._learn([u for u in new if len(u) <= 64])
-        rest = {u: self._whole(u) for u in new if len(u) > 64}
-        get = self.known.__getitem__
-        out = []
-        for text, units in zip(texts, cut):
-            if units is None:
+        # every unit is looked up once for all its places in these texts
+        units = [*chain.from_iterable(filter(None, cut))]
+        places = pa.array(units, pa.string()).dictionary_encode().indices.to_numpy()
+        # places are numbered by first occurrence
+        firsts = np.flatnonzero(np.diff(np.maximum.accumulate(places), prepend=-1))
+        names = [units[i] for i in firsts.tolist()]
+        found = [*map(self.known.get, names)]
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        self._learn([names[i] for i in missing if len(names[i]) <= 64])
+        for i in missing:
+            found[i] = self.known[names[i]] if len(names[i]) <= 64 else self._whole(names[i])
+        ids, ends = _laid_out(found, places)
+        out, at = [], 0
+        for text, some in zip(texts, cut):
+            if some is None:
                 out.append(np.frombuffer(self._whole(text), "<u4"))
-            elif rest:
-                out.append(np.frombuffer(b"".join([rest[u] if u in rest else get(u) for u in units]), "<u4"))
             else:
-                out.append(np.frombuffer(b"".join(map(get, units)), "<u4"))
+                out.append(ids[ends[at]: ends[at + len(some)]])
+                at += len(some)
         return out
 
     def _whole(self, unit: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([unit], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
 
+def _laid_out(found: list[bytes], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the units at ``places`` of ``found`` one after the other, and where each one begins, with the end."""
+    n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    first = (np.cumsum(n) - n)[places]
+    ends = np.concatenate(([0], np.cumsum(n[places])))
+    where = np.repeat(first - ends[:-1], n[places]) + np.arange(ends[-1])
+    return np.frombuffer(b"".join(found), "<u4")[where], ends
+
+
 SEGMENTS = ("shard int, segment int, first long, n_ids long, payload binary, block_starts array<int>, block_offsets array<int>, "
             "doc_ids array<long>, doc_lengths array<int>")
 
