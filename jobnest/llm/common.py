@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,6 +48,36 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Most 64-bit words of a map of keys that is broadcast.
+MAP_WORDS = 1 << 19
+
+
+def _bits(keys: DataFrame, key: str, words: int | None, what: str) -> tuple[DataFrame, Column]:
+    """(_word, _bits) with a bit set for every key, and whether a row's key has its bit; keys are folded to ``words``."""
+    at = F.shiftright(key, 6)
+    at = at if words is None else F.pmod(at, F.lit(words))
+    spot = F.col(key).bitwiseAND(F.lit(63)).cast("int")
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), spot))
+    table = written(keys.groupBy(at.alias("_word")).agg(bits.alias("_bits")), what)
+    own = F.call_function("shiftright", F.col("_bits"), spot).bitwiseAND(F.lit(1).cast("long")) == 1
+    return table, (at == F.col("_word")) & own
+
+
+def likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key``, a 64-bit hash, is none of ``wanted``; all others stay.  A bit map of
+    bounded size is broadcast, so that a join behind this shuffles few rows in vain."""
+    words = min(MAP_WORDS, 1 << max(6, (wanted.count() // 4).bit_length()))
+    table, has = _bits(wanted, key, words, "map")
+    return rows.join(F.broadcast(table), has, "left_semi")
+
+
+def numbered(rows: DataFrame, number: str, kept: DataFrame) -> DataFrame:
+    """``rows`` whose ``number`` is in ``kept``.  Numbers of monotonically_increasing_id() are dense in a partition, so
+    a bit for each is small beside the rows; it is broadcast unless it is long."""
+    table, has = _bits(kept, number, None, "kept")
+    return rows.join(F.broadcast(table) if table.count() <= 2 * MAP_WORDS else table, has, "left_semi")
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str | StructType) -> DataFrame:
     """``fn`` turns one Arrow batch into a dict of columns in the schema's order; batches stay in their partition."""
     target = arrow_schema(schema)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat, map_batches, mixed, pick, place, written
+from .common import flat, likely, map_batches, mixed, numbered, pick, place, written
 from .components import components
 
 BINS, ROWS = 128, 4
@@ -139,7 +139,7 @@ def linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
         for i, a in enumerate(batch.column(0).to_pylist()):
             if a not in recent:
                 recent[a] = _set(left[i].as_py(), k)
-                if len(recent) > 16:
+                if len(recent) > 4:
                     recent.popitem(last=False)
             x, y = recent[a], _set(right[i].as_py(), k)
             both = len(x & y)
@@ -174,7 +174,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -
         label = None
     else:
         picked = written(nodes.select(F.col("node").alias("key")), "candidates")
-        texts = written(_keyed(docs).join(picked, "key").select(F.col("key").alias("id"), "text").dropDuplicates(["id"]), "texts")
+        texts = written(likely(_keyed(docs), "key", picked).join(picked, "key").select(F.col("key").alias("id"), "text").dropDuplicates(["id"]), "texts")
         label = _resolve(open_, texts, shingle, percent)
     named = reps.select("node", "id", "digest")
     if label is not None:
@@ -290,4 +290,5 @@ def keep_one(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -> DataF
     doc_id = F.col(f"c{place(docs, 'doc_id')}").cast("long")
     order = F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.col("_row").alias("row"))
     first = own.select("_row", order.alias("order")).join(root, "_row").groupBy("component_id").agg(F.min("order")["row"].alias("_row"))
-    return own.join(first.select("_row"), "_row", "left_semi").drop("_row").toDF(*names)
+    # whole rows are not shuffled for that
+    return numbered(own, "_row", first.select("_row")).drop("_row").toDF(*names)

@@ -123,14 +123,23 @@ def slots(counts: DataFrame, block: int, seed: int) -> DataFrame:
     return map_batches(counts, fill, "source string, block long, shard long, cut long")
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, block: int = BLOCK, seed: int = SEED, carry: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(documents, pieces).  documents: doc_id, source, size, source_size, target, taken, _row and, with ``carry``, all
-    columns of ``docs``, named c0, c1, ...
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, block: int = BLOCK, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """(documents, pieces).  documents: doc_id, source, size, source_size, target, taken, _row.
     pieces: _row, shard, block, start, end: the words [start, end) of a document that a slot takes."""
-    spark = docs.sparkSession
+    placed, pieces, quota = _mixed(docs, weights, share, block, seed)
+    taken = pieces.groupBy("_row").agg(F.sum(F.col("end") - F.col("start")).alias("taken"))
+    known = quota.select(F.col("source").alias("_s"), "source_size", "target")
+    known = F.broadcast(known) if _small(quota) else known
+    documents = (placed.drop("_at", "_at_total").join(taken, "_row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+                 .join(known, F.col("source").eqNullSafe(F.col("_s"))).drop("_s"))
+    return documents, pieces
+
+
+def _mixed(docs: DataFrame, weights, share: float, block: int, seed: int, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(placed, pieces, quota): the documents in their sources' order with the columns ``carry``, the pieces, the sources."""
     own = flat(docs)
     text = F.col(f"c{place(docs, 'text')}").cast("string")
-    own = own.select(*(own.columns if carry else []), F.col(f"c{place(docs, 'doc_id')}").cast("long").alias("doc_id"),
+    own = own.select(*[F.col(f"c{place(docs, c)}").alias(c) for c in carry], F.col(f"c{place(docs, 'doc_id')}").cast("long").alias("doc_id"),
                      F.col(f"c{place(docs, 'source')}").cast("string").alias("source"), words_of(text).alias("size"), F.xxhash64(text).alias("_tie"))
     placed = running(own, ["source"], ["doc_id", "_tie"], "size", "_at", "mix-documents").drop("_tie")
     goal = targets(own.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share)
@@ -159,14 +168,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, block: int = BLO
     start = F.greatest(F.lit(0), F.col("block") * block - F.col("_at"))
     end = F.least(F.col("size"), F.col("block") * block + F.col("cut") - F.col("_at"))
     pieces = left.join(right.hint("merge"), ["_s", "block"]).select("_row", "shard", "block", start.cast("long").alias("start"), end.cast("long").alias("end")).filter("end > start")
-    taken = pieces.groupBy("_row").agg(F.sum(F.col("end") - F.col("start")).alias("taken"))
-    known = F.broadcast(quota.select(F.col("source").alias("_s"), "source_size", "target")) if _small(spark, quota) else quota.select(F.col("source").alias("_s"), "source_size", "target")
-    documents = (placed.drop("_at", "_at_total").join(taken, "_row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
-                 .join(known, F.col("source").eqNullSafe(F.col("_s"))).drop("_s"))
-    return documents, pieces
+    return placed, pieces, quota
 
 
-def _small(spark, df: DataFrame) -> bool:
+def _small(df: DataFrame) -> bool:
     """One row per source: broadcast it only if its measured row count is small."""
     return df.count() <= 10_000
 
@@ -176,12 +181,16 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> Da
     go (runs of neighbouring blocks of the same pass are joined); a document of which nothing is taken gives none.  The
     text keeps its own white space inside a run; n_chars, where there is such a column, is the run's length."""
     names = docs.columns
-    documents, pieces = mix(docs, block=block, seed=seed, carry=True)
+    # the mix sees numbers and sizes; whole rows meet their runs at the end, in one shuffle
+    own = written(flat(docs).withColumn("_id", F.monotonically_increasing_id()), "rows")
+    slim = own.select("_id", *[F.col(f"c{place(docs, c)}").alias(c) for c in ("doc_id", "source", "text")])
+    placed, pieces, _ = _mixed(slim, WEIGHTS, SHARE, block, seed, carry=("_id",))
     # the second time that a word range is taken is another pass
     turn = F.row_number().over(W.partitionBy("_row", "block").orderBy("shard", "end"))
     runs = pieces.withColumn("_turn", turn)
     per_doc = runs.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_turn", "start", "end"))).alias("_runs"))
-    rows = documents.select("_row", *[f"c{i}" for i in range(len(names))]).join(per_doc, "_row").drop("_row")
+    of_id = placed.select("_row", "_id").join(per_doc, "_row").select("_id", "_runs")
+    rows = own.join(of_id, "_id").drop("_id")
     at = place(docs, "text")
 
     def cut(batch):
