@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import flat, map_batches, pick, place
+from .common import at_work, flat, map_batches, pick, place, short_batches
 
 #: Texts of a batch that are Python strings at a time.
 TEXTS_AT_ONCE = 64
@@ -138,6 +138,7 @@ def identified(docs: DataFrame) -> DataFrame:
     def keep(texts):
         import pyarrow as pa
 
+        at_work(__name__)
         one = Judge(profiles)
         good = []
         for begin in range(0, len(texts), TEXTS_AT_ONCE):
@@ -147,5 +148,5 @@ def identified(docs: DataFrame) -> DataFrame:
         return pa.array(good, pa.bool_())
 
     # the texts alone go to Python; the rows stay in the JVM
-    rows = flat(docs)
+    rows = short_batches(flat(docs))
     return rows.filter(F.arrow_udf(keep, "boolean")(F.col(f"c{place(docs, 'text')}").cast("string"))).toDF(*docs.columns)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat, likely, map_batches, mixed, numbered, pick, place, written
+from .common import at_work, flat, likely, map_batches, memory, mixed, numbered, pick, place, written
 from .components import components
 
 BINS, ROWS = 128, 4
@@ -43,6 +43,11 @@ BLOCK = 1024
 _words: dict[bytes, int] = {}
 
 
+@memory
+def _forget() -> None:
+    _words.clear()
+
+
 def words(text: bytes) -> list[bytes]:
     """bytes.lower() changes A-Z only, bytes.split() splits at ASCII white space only."""
     return text.lower().split()
@@ -230,6 +235,7 @@ def linked_in_blocks(open_: DataFrame, texts: DataFrame, k: int, percent: int) -
     def run(batches):
         import pyarrow as pa
 
+        at_work(__name__)
         last, members = None, []
 
         def flush():

@@ -28,7 +28,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import map_batches, mixed, pick
+from .common import map_batches, memory, mixed, pick
 
 DROPOUT, SEED = 0.1, 29
 BLANK = "▁"
@@ -39,13 +39,18 @@ _MEMORY = 3_000_000
 #: Longer units are cut one by one and not remembered; shorter ones are cut side by side, so many at a time.
 _SHORT, _SIDE = 64, 4096
 #: Characters of texts whose units are held at a time (a longer text is held alone).
-_GROUP = 1 << 20
+_GROUP = 1 << 19
 _MASK = 2**64 - 1
 #: Nodes whose next candidate is not known yet, and nodes where a way ends.
 _OPEN, _END = -1, -2
 _models: dict[tuple, Segmenter] = {}
 
 
+@memory
+def _forget_models() -> None:
+    _models.clear()
+
+
 class Segmenter:
     """Model tables, and a bounded memory of units' trees."""
 
@@ -95,18 +100,18 @@ class Segmenter:
 
     def _forget(self) -> None:
         """Begins all trees anew.  A node has the hash of its candidate, and as its kids the node behind the merge and
-        behind it the one behind the skip; where a way ends it has the place and number of its ids."""
+        behind it the one behind the skip; where a way ends it has the first place and the number of its ids."""
         self.roots: dict[str, int] = {}
         self.n_nodes = self.n_ids = 0
         self.place, self.kids, self.depth = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int16)
-        self.first, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.count = np.zeros(1 << 16, np.int32)
         self.ids = np.zeros(1 << 16, np.uint32)
 
     def _nodes(self, n: int, depth: int) -> int:
         """The first of ``n`` new open nodes."""
         at, self.n_nodes = self.n_nodes, self.n_nodes + n
         if self.n_nodes > len(self.kids):
-            for name in ("place", "kids", "depth", "first", "count"):
+            for name in ("place", "kids", "depth", "count"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros(max(len(old) // 2, n), old.dtype)]))
         self.kids[at: self.n_nodes], self.depth[at: self.n_nodes] = _OPEN, depth
@@ -119,7 +124,7 @@ class Segmenter:
         if self.n_ids + len(new) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids) // 2, len(new)), np.uint32)])
         self.ids[self.n_ids: self.n_ids + len(new)] = new
-        self.kids[nodes], self.first[nodes], self.count[nodes] = _END, self.n_ids + np.cumsum(counts) - counts, counts
+        self.kids[nodes], self.place[nodes], self.count[nodes] = _END, self.n_ids + np.cumsum(counts) - counts, counts
         self.n_ids += len(new)
 
     @classmethod
@@ -318,7 +323,7 @@ class Segmenter:
         node = self._walk([u for units in cut for u in units], keys)
         counts = self.count[node].astype(np.int64)
         stops = np.cumsum(counts)
-        ids = self.ids[np.repeat(self.first[node] - stops + counts, counts) + np.arange(counts.sum())]
+        ids = self.ids[np.repeat(self.place[node].astype(np.int64) - stops + counts, counts) + np.arange(counts.sum())]
         stops = np.append(0, stops)
         return [ids[x:y] for x, y in zip(stops[ends - n].tolist(), stops[ends].tolist())]
 
