@@ -18,14 +18,13 @@ from __future__ import annotations
 
 import re
 import struct
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, pick, slices
+from .common import arrow_schema, at_work, memory, pick, short_batches, slices
 
 END_ID = 2
 BLOCK, SEGMENT = 1024, 1 << 18
@@ -117,14 +116,19 @@ def unpack(payload: bytes, offsets: list[int], first: int = 0, last: int | None
 
 #: White space beyond ASCII that the tokenizer's pattern treats as such, and control characters that only Python does.
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85   -     　]")
-#: Its pattern never joins a character with white space behind it, so text may be cut before white space.
-#: Nor does it join a letter or digit with an ASCII mark behind it, or a line end with a word: words are cut from the
-#: marks that follow them and from a single line end before them.  Most units are of the first kind.
-_UNIT = re.compile(r" ?+[0-9A-Za-z]++(?=[ \t\n\r!-/:-@\[-`{-~]|\Z)|[\t\n\r](?=[0-9A-Za-z])|[ \t\n\r]*+[0-9A-Za-z]++(?=[ \t\n\r!-/:-@\[-`{-~]|\Z)|[ \t\n\r]*+[^ \t\n\r]++|[ \t\n\r]+")
+#: Its pattern never joins a character with white space behind it, nor a letter or digit with an ASCII mark behind it, nor
+#: a single line end with a word behind it, so texts may be cut there.  Kinds of bytes: other, word, mark, blank, line end.
+_WORD, _MARK, _BLANK, _LINE = 1, 2, 3, 4
+_KIND = bytes(_WORD if chr(i).isalnum() else _LINE if i in b"\t\n\r" else _BLANK if i == 32 else _MARK if 33 <= i <= 126 else 0 for i in range(128)) + bytes(128)
 _loaded: dict[tuple, Encoder] = {}
 _CACHE = 400_000
 
 
+@memory
+def _forget() -> None:
+    _loaded.clear()
+
+
 class Encoder:
     """The tokenizer with a bounded memory of short units: text between white spaces is encoded once while known.
 
@@ -180,36 +184,46 @@ class Encoder:
             self.known[unit] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        import pyarrow as pa
-
-        cut = [None if _ODD_SPACE.search(t) or any(a in t for a in self.added) else _UNIT.findall(t) for t in texts]
+        uncut = [bool(_ODD_SPACE.search(t)) or any(a in t for a in self.added) for t in texts]
         if len(self.known) > _CACHE:
             self.known, self.older = {}, self.known
+        names, places, begins = _units(["" if u else t for t, u in zip(texts, uncut)])
         # every unit is looked up once for all its places in these texts
-        units = [*chain.from_iterable(filter(None, cut))]
-        places = pa.array(units, pa.string()).dictionary_encode().indices.to_numpy()
-        # places are numbered by first occurrence
-        firsts = np.flatnonzero(np.diff(np.maximum.accumulate(places), prepend=-1))
-        names = [units[i] for i in firsts.tolist()]
         found = [*map(self.known.get, names)]
         missing = [i for i, ids in enumerate(found) if ids is None]
         self._learn([names[i] for i in missing if len(names[i]) <= 64])
         for i in missing:
             found[i] = self.known[names[i]] if len(names[i]) <= 64 else self._whole(names[i])
         ids, ends = _laid_out(found, places)
-        out, at = [], 0
-        for text, some in zip(texts, cut):
-            if some is None:
-                out.append(np.frombuffer(self._whole(text), "<u4"))
-            else:
-                out.append(ids[ends[at]: ends[at + len(some)]])
-                at += len(some)
-        return out
+        begins = ends[begins].tolist()
+        return [np.frombuffer(self._whole(t), "<u4") if u else ids[x:y] for t, u, x, y in zip(texts, uncut, begins, begins[1:])]
 
     def _whole(self, unit: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([unit], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
 
+def _units(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct units of the texts by first occurrence, each unit's number in turn, and the place of each text's first
+    unit, with the end."""
+    import pyarrow as pa
+
+    whole = [t.encode() for t in texts]
+    data = b"".join(whole)
+    begins = np.cumsum([0, *map(len, whole)])
+    kind = np.frombuffer(data.translate(_KIND), np.uint8)
+    start = np.zeros(len(data), bool)
+    start[begins[begins < len(data)]] = True
+    space = kind >= _BLANK
+    # line ends that are alone: nothing or no white space of their text before them
+    line = kind[:-1] == _LINE
+    line[1:] &= ~space[:-2] | start[1:-1]
+    start[1:] |= space[1:] & ~space[:-1] | (kind[1:] == _MARK) & (kind[:-1] == _WORD) | (kind[1:] == _WORD) & line
+    first = np.flatnonzero(start)
+    offsets = pa.py_buffer(np.append(first, len(data)))
+    units = pa.LargeStringArray.from_buffers(len(first), offsets, pa.py_buffer(data)).dictionary_encode()
+    return units.dictionary.to_pylist(), units.indices.to_numpy(), np.searchsorted(first, begins)
+
+
 def _laid_out(found: list[bytes], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the units at ``places`` of ``found`` one after the other, and where each one begins, with the end."""
     n = np.fromiter(map(len, found), np.int64, len(found)) // 4
@@ -237,6 +251,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> N
         import pyarrow as pa
         from pyspark import TaskContext
 
+        at_work(__name__)
         shard = TaskContext.get().partitionId()
         encoder = Encoder.of(tokenizer, False)
         end = np.array([end_id], np.uint32)
@@ -264,7 +279,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> N
         if lengths:
             yield flush()
 
-    dealt.mapInArrow(encode, SEGMENTS).write.mode("overwrite").parquet(f"{path}/segments")
+    short_batches(dealt).mapInArrow(encode, SEGMENTS).write.mode("overwrite").parquet(f"{path}/segments")
     spark = docs.sparkSession
     shards = spark.read.parquet(f"{path}/segments").groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
     # one row per shard
@@ -284,11 +299,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
             for i in range(batch.num_rows):
-                start, payload, offsets, ids, lengths = (batch.column(c)[i].as_py() for c in range(5))
-                stream = unpack(payload, offsets)
-                ends = np.cumsum(lengths)
-                at = ends - lengths
-                yield pa.RecordBatch.from_pydict({"doc_id": ids, "start": (start + at).tolist(), "n_tokens": lengths, "ids": [stream[a:e].astype("<u4").tobytes() for a, e in zip(at.tolist(), ends.tolist())]}, schema=schema)
+                start, payload, offsets, ids, lengths = (batch.column(c)[i] for c in range(5))
+                stream = unpack(payload.as_buffer(), offsets.as_py()).astype("<u4", copy=False)
+                lengths = lengths.values.to_numpy()
+                ends = np.cumsum(lengths, dtype=np.int64)
+                each = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.append(0, 4 * ends).astype(np.int32)), pa.py_buffer(stream)])
+                yield pa.RecordBatch.from_arrays([ids.values, pa.array(start.as_py() + ends - lengths), pa.array(lengths, pa.int64()), each], schema=schema)
 
     return segments.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
 
