@@ -20,10 +20,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat, map_batches, mixed, pick, place
+from .common import arrow_schema, at_work, flat, likely, map_batches, mixed, pick, place, short_batches, slices, written
 
 WINDOW, STEP = 48, 54
 MIN_WORDS = 20
+#: Bits of a digest that are counted: so many tell its bucket, the 32 below them its place there.
+BUCKET_BITS, COUNTED_BITS = 10, 42
+#: Digests that a task holds before it deals them to the buckets.
+HELD = 1 << 18
 
 
 def _gear() -> np.ndarray:
@@ -88,28 +92,88 @@ def digests(docs: DataFrame) -> DataFrame:
     return map_batches(docs, cut, "digest long, doc_id long")
 
 
+def several(docs: DataFrame) -> DataFrame:
+    """(key): the counted bits of the digests that more than one row of (doc_id, text) has, and of few others.
+
+    Digests go to their bucket as sorted blocks of 32-bit numbers, each at most twice, so a very common one is no burden."""
+    rows = docs.select("text")
+    blocks, keys = "bucket int, digests binary", "key long"
+    as_blocks, as_keys = arrow_schema(blocks), arrow_schema(keys)
+
+    def deal(batches):
+        import pyarrow as pa
+
+        def block():
+            d = np.sort(np.concatenate(held))
+            # the third of a number in a row and those after it tell nothing
+            d = d[np.concatenate(([True] * min(2, len(d)), d[2:] != d[:-2]))]
+            bucket, ends = np.unique(d >> np.uint64(32), return_index=True)
+            parts = np.split(d.astype(np.uint32), ends[1:])
+            return pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array([x.tobytes() for x in parts], pa.binary())], schema=as_blocks)
+
+        at_work(__name__)
+        held, n = [], 0
+        for batch in batches:
+            for part in slices(batch):
+                for text in part.column(0).cast(pa.binary()).to_pylist():
+                    h = hashes(np.frombuffer(text, np.uint8))
+                    held.append(np.unique(h[chosen(h)]) >> np.uint64(64 - COUNTED_BITS))
+                    n += len(held[-1])
+                    if n >= HELD:
+                        yield block()
+                        held, n = [], 0
+        if held:
+            yield block()
+
+    def count(batches):
+        import pyarrow as pa
+
+        def repeated_keys():
+            d = np.sort(np.concatenate(held))
+            again = np.unique(d[1:][d[1:] == d[:-1]])
+            return pa.RecordBatch.from_arrays([pa.array(again.astype(np.int64) + (last << 32))], schema=as_keys)
+
+        at_work(__name__)
+        last, held = None, []
+        for batch in batches:
+            for bucket, digests_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if bucket != last and held:
+                    yield repeated_keys()
+                    held = []
+                last = bucket
+                held.append(np.frombuffer(digests_, np.uint32))
+        if held:
+            yield repeated_keys()
+
+    dealt = short_batches(rows).mapInArrow(deal, blocks).repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(count, keys)
+
+
 class Matcher:
     """The passages that texts share with this one."""
 
     def __init__(self, text: bytes):
         self.text, self.back = text, text[::-1]
         h = hashes(np.frombuffer(text, np.uint8))
-        at = chosen(h)
-        self.at = at[np.argsort(h[at], kind="stable")]
-        self.hash = h[self.at]
+        self.places = chosen(h)
+        self.found = h[self.places]
+        order = np.argsort(self.found, kind="stable")
+        self.at, self.hash = self.places[order], self.found[order]
 
-    def __call__(self, text: bytes, min_words: int) -> list[tuple[int, int, int, int]]:
+    def __call__(self, other: bytes | Matcher, min_words: int) -> list[tuple[int, int, int, int]]:
         """(start, end, first_start, n_words) of every match of ``min_words`` words that is as long as it can be."""
+        text = other if isinstance(other, bytes) else other.text
         if text == self.text:
             n = len(text.split())
             return [(0, len(text), 0, n)] if n >= min_words else []
         if min(len(text), len(self.text)) < WINDOW:
             return []
-        h = hashes(np.frombuffer(text, np.uint8))
-        at = chosen(h)
-        lo, hi = (np.searchsorted(self.hash, h[at], side) for side in ("left", "right"))
+        if isinstance(other, bytes):
+            other = Matcher(other)
+        at, back = other.places, other.back
+        lo, hi = (np.searchsorted(self.hash, other.found, side) for side in ("left", "right"))
         some = np.flatnonzero(hi > lo)
-        out, done, back = [], 0, text[::-1]
+        out, done = [], 0
         for i, x, y in zip(at[some].tolist(), lo[some].tolist(), hi[some].tolist()):
             # a window inside the match before belongs to it
             if i + WINDOW <= done:
@@ -162,34 +226,44 @@ def _agree(a: bytes, i: int, b: bytes, j: int) -> int:
 def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, start, end, n_words, first_doc_id) of every passage (bytes of the text) that another document has too.
 
-    Digests are counted with map-side sums; the joins back to the occurrences and to the texts are ones that Spark can
-    split by size."""
+    Only digests that may repeat are shuffled, counted with map-side sums and joined back to; of a pair the shorter text goes
+    to the longer one.  The joins are ones that Spark can split by size."""
     own = pick(docs, doc_id="long", text="string").filter("doc_id is not null and text <> ''")
-    all_ = digests(own)
+    keyed = digests(own).withColumn("key", F.shiftrightunsigned("digest", 64 - COUNTED_BITS))
+    all_ = written(likely(keyed, "key", written(several(own), "several")).select("digest", "doc_id"), "digests")
     twice = all_.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("_last")).filter("first_doc_id < _last").select("digest", "first_doc_id")
-    pairs = all_.join(twice, "digest").filter("first_doc_id < doc_id").select("doc_id", "first_doc_id").distinct()
+    pairs = written(all_.join(twice, "digest").filter("first_doc_id < doc_id").select("doc_id", "first_doc_id").distinct(), "pairs")
+    involved = written(pairs.select("doc_id").union(pairs.select("first_doc_id")).distinct().withColumn("key", F.xxhash64("doc_id")), "involved")
+    wanted = likely(own.withColumn("key", F.xxhash64("doc_id")), "key", involved.select("key")).drop("key")
     # rows that repeat an id and its text would meet each other's
-    involved = pairs.select("doc_id").union(pairs.select("first_doc_id")).distinct()
-    texts = own.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    later = pairs.join(texts, "doc_id")
-    both = later.join(texts.select(F.col("doc_id").alias("first_doc_id"), F.col("text").alias("first_text")), "first_doc_id")
+    texts = wanted.join(involved.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    sizes = wanted.groupBy("doc_id").agg(F.max(F.octet_length("text")).alias("size"))
+    for x in ("doc_id", "first_doc_id"):
+        pairs = pairs.join(sizes.select(F.col("doc_id").alias(x), F.col("size").alias(f"_{x}")), x)
+    longer = F.col("_doc_id") > F.col("_first_doc_id")
+    pairs = pairs.select(F.when(longer, F.col("doc_id")).otherwise(F.col("first_doc_id")).alias("stays"),
+                         F.when(longer, F.col("first_doc_id")).otherwise(F.col("doc_id")).alias("goes"))
+    gone = pairs.join(texts.select(F.col("doc_id").alias("goes"), F.col("text").alias("goes_text")), "goes")
+    both = gone.join(texts.select(F.col("doc_id").alias("stays"), F.col("text").alias("stays_text")), "stays")
 
     def match(batch):
         import pyarrow as pa
 
         out = {k: [] for k in ("doc_id", "start", "end", "n_words", "first_doc_id")}
-        matcher = None
-        for doc_id, first, text, first_text in zip(*(batch.column(i).to_pylist() for i in range(2)), *(batch.column(i).cast(pa.binary()).to_pylist() for i in (2, 3))):
-            if matcher is None or matcher.text != first_text:
-                matcher = Matcher(first_text)
-            for start, end, at, n in matcher(text, min_words):
+        there = None
+        for stays, goes, stays_text, goes_text in zip(*(batch.column(i).to_pylist() for i in range(2)), *(batch.column(i).cast(pa.binary()).to_pylist() for i in (2, 3))):
+            if there is None or there.text != stays_text:
+                there = Matcher(stays_text)
+            doc_id, first = max(stays, goes), min(stays, goes)
+            matches = there(goes_text, min_words) if stays == first else Matcher(goes_text)(there, min_words)
+            for start, end, at, n in matches:
                 for row in ((doc_id, start, end, n, first), (first, at, at + end - start, n, first)):
                     for k, v in zip(out, row):
                         out[k].append(v)
         return out
 
     schema = "doc_id long, start long, end long, n_words long, first_doc_id long"
-    return map_batches(both.select("doc_id", "first_doc_id", "text", "first_text"), match, schema).distinct()
+    return map_batches(both.select("stays", "goes", "stays_text", "goes_text"), match, schema).distinct()
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
