@@ -20,14 +20,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, at_work, flat, likely, map_batches, mixed, pick, place, short_batches, slices, written
+from .common import counted, flat, frequent, likely, map_batches, mixed, pick, place, written
 
 WINDOW, STEP = 48, 54
 MIN_WORDS = 20
-#: Bits of a digest that are counted: so many tell its bucket, the 32 below them its place there.
-BUCKET_BITS, COUNTED_BITS = 10, 42
-#: Digests that a task holds before it deals them to the buckets.
-HELD = 1 << 18
 
 
 def _gear() -> np.ndarray:
@@ -92,61 +88,17 @@ def digests(docs: DataFrame) -> DataFrame:
     return map_batches(docs, cut, "digest long, doc_id long")
 
 
-def several(docs: DataFrame) -> DataFrame:
-    """(key): the counted bits of the digests that more than one row of (doc_id, text) has, and of few others.
+def several(own: DataFrame) -> DataFrame:
+    """(key): the counted bits of the digests that more than one row of (doc_id, text) has, and of few others."""
 
-    Digests go to their bucket as sorted blocks of 32-bit numbers, each at most twice, so a very common one is no burden."""
-    rows = docs.select("text")
-    blocks, keys = "bucket int, digests binary", "key long"
-    as_blocks, as_keys = arrow_schema(blocks), arrow_schema(keys)
-
-    def deal(batches):
-        import pyarrow as pa
-
-        def block():
-            d = np.sort(np.concatenate(held))
-            # the third of a number in a row and those after it tell nothing
-            d = d[np.concatenate(([True] * min(2, len(d)), d[2:] != d[:-2]))]
-            bucket, ends = np.unique(d >> np.uint64(32), return_index=True)
-            parts = np.split(d.astype(np.uint32), ends[1:])
-            return pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array([x.tobytes() for x in parts], pa.binary())], schema=as_blocks)
-
-        at_work(__name__)
-        held, n = [], 0
-        for batch in batches:
-            for part in slices(batch):
-                for text in part.column(0).cast(pa.binary()).to_pylist():
-                    h = hashes(np.frombuffer(text, np.uint8))
-                    held.append(np.unique(h[chosen(h)]) >> np.uint64(64 - COUNTED_BITS))
-                    n += len(held[-1])
-                    if n >= HELD:
-                        yield block()
-                        held, n = [], 0
-        if held:
-            yield block()
-
-    def count(batches):
+    def numbers(batch):
         import pyarrow as pa
 
-        def repeated_keys():
-            d = np.sort(np.concatenate(held))
-            again = np.unique(d[1:][d[1:] == d[:-1]])
-            return pa.RecordBatch.from_arrays([pa.array(again.astype(np.int64) + (last << 32))], schema=as_keys)
-
-        at_work(__name__)
-        last, held = None, []
-        for batch in batches:
-            for bucket, digests_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if bucket != last and held:
-                    yield repeated_keys()
-                    held = []
-                last = bucket
-                held.append(np.frombuffer(digests_, np.uint32))
-        if held:
-            yield repeated_keys()
+        for text in batch.column(0).cast(pa.binary()).to_pylist():
+            h = hashes(np.frombuffer(text, np.uint8))
+            yield np.unique(h[chosen(h)])
 
-    dealt = short_batches(rows).mapInArrow(deal, blocks).repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(count, keys)
+    return frequent(own.select("text"), numbers, 1)
 
 
 class Matcher:
@@ -229,7 +181,7 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Only digests that may repeat are shuffled, counted with map-side sums and joined back to; of a pair the shorter text goes
     to the longer one.  The joins are ones that Spark can split by size."""
     own = pick(docs, doc_id="long", text="string").filter("doc_id is not null and text <> ''")
-    keyed = digests(own).withColumn("key", F.shiftrightunsigned("digest", 64 - COUNTED_BITS))
+    keyed = digests(own).withColumn("key", counted("digest"))
     all_ = written(likely(keyed, "key", written(several(own), "several")).select("digest", "doc_id"), "digests")
     twice = all_.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("_last")).filter("first_doc_id < _last").select("digest", "first_doc_id")
     pairs = written(all_.join(twice, "digest").filter("first_doc_id < doc_id").select("doc_id", "first_doc_id").distinct(), "pairs")

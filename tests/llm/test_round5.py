@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from jobnest.llm import passages
+from jobnest.llm import common, jaccard_join, passages
 
 
 def _texts(n: int) -> list[str]:
@@ -27,10 +27,10 @@ def test_digests_that_no_other_document_has_are_not_joined(spark, monkeypatch):
 
 
 def test_several_is_told_across_partitions_and_blocks(spark, monkeypatch):
-    monkeypatch.setattr(passages, "HELD", 8)
+    monkeypatch.setattr(common, "HELD", 8)
     rows = [(i, t) for i, t in enumerate(_texts(40) * 3)]
     own = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    want = {(r.digest % 2**64) >> (64 - passages.COUNTED_BITS) for r in passages.digests(own).select("digest").distinct().collect()}
+    want = {r.digest & common.COUNTED for r in passages.digests(own).select("digest").distinct().collect()}
     assert sorted(want) == sorted(r.key for r in passages.several(own).collect())
     assert passages.several(own.limit(0)).count() == 0
 
@@ -45,3 +45,43 @@ def test_the_shorter_text_of_a_pair_goes_to_the_longer_one(spark):
     got = {(r.doc_id, r.start, r.end, r.first_doc_id) for r in df.collect()}
     assert {(d, f) for d, _, _, f in got} == {(1, 1), (2, 1), (3, 1)}
     assert all(text[d][s:e].decode() == shared for d, s, e, _ in got)
+
+
+def _family(n: int, words: int = 60, change: int = 4) -> list[str]:
+    return [" ".join(f"x{i}x{j}" if (i + j) % words < change else f"word{j}" for j in range(words)) for i in range(n)]
+
+
+def test_pivots_that_no_other_has_are_not_dealt(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SMALL", 2)
+    kept = {}
+    monkeypatch.setattr(jaccard_join, "written", lambda df, what, write=jaccard_join.written: kept.setdefault(what, []).append(write(df, what)) or kept[what][-1])
+    texts = _texts(100) + _family(30) + _family(30)[:3]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.join(docs).collect()}
+    sets = [set(jaccard_join.hashes(t.encode(), 5).tolist()) for t in texts]
+    up = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((up[a], up[b]))
+                up = [low if x == high else x for x in up]
+    assert got == dict(enumerate(up))
+    postings = sum(len(jaccard_join.first_pivots(jaccard_join.hashes(t.encode(), 5), 80, None)) for t in texts[:130])
+    shared = kept["shared"][0].count()
+    assert 0 < shared < postings / 4
+    assert kept["regions"][0].count() < postings / 2
+    # one copy of the sketches, and in blocks only pivots that others have
+    assert len(kept["sketches"]) == 1
+    for held in kept["pivots"]:
+        n = [p for r in held.collect() for p in r.pivots]
+        assert all(n.count(p) > 1 for p in n)
+
+
+def test_frequent_counts_more_than_two(spark):
+    import numpy as np
+
+    rows = spark.range(1000).repartition(4).selectExpr("id % 10 as x", "id").filter("x < 5 or id < 20").select("x")
+    numbers = lambda batch: [batch.column(0).to_numpy().astype(np.uint64)]
+    assert sorted(r.key for r in common.frequent(rows, numbers, 50).collect()) == [0, 1, 2, 3, 4]
+    assert sorted(r.key for r in common.frequent(rows, numbers, 1).collect()) == list(range(10))
+    assert common.frequent(rows, numbers, 100).count() == 0
