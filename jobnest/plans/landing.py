@@ -287,7 +287,12 @@ def write_json_arrays(bodies: DataFrame, path: str, key: str, per_file: int = 10
     order = Window.partitionBy("file").orderBy("end", "key")
     first = F.row_number().over(order) == 1
     text = F.when(first & F.col("end"), F.lit("[]")).when(first, F.concat(F.lit("["), "body")).when(F.col("end"), F.col("body")).otherwise(F.concat(F.lit(","), "body"))
-    own.unionByName(ends).select("file", text.alias("value")).write.mode("overwrite").partitionBy("file").text(path)
+    own.unionByName(ends).select("file", text.alias("value")).write.mode("overwrite").option("compression", "gzip").partitionBy("file").text(path)
+
+
+def write_lines(bodies: DataFrame, path: str, per_file: int = 10000) -> None:
+    """Files of at most ``per_file`` bodies, one a line; a compressed file is read by one task."""
+    bodies.write.option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
 # ---------------------------------------------------------------- dictionaries

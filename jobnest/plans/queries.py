@@ -137,7 +137,7 @@ def body_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + X3: broken rules of damaged metro bodies, landed one body a line and as files that hold a JSON array."""
     root = work_root(spark, "scratch", "bodies", unique=True)
     damaged = L.damaged_metro(spark, sf_dir)
-    damaged.select(F.coalesce("cut", "body").alias("value")).write.text(f"{root}/lines")
+    L.write_lines(damaged.select(F.coalesce("cut", "body").alias("value")), f"{root}/lines")
     L.write_json_arrays(damaged.select("city_key", "body"), f"{root}/arrays", "city_key")
     lines = read_bodies(spark, f"{root}/lines", whole_text=False).withColumn("city", F.regexp_extract("body", '"name":"([^"]*)"', 1))
     records = read_json_records(spark, f"{root}/arrays", readable(M.CITY), CORRUPT).withColumn("city", F.col("name"))
